@@ -104,6 +104,100 @@ LEFT JOIN {dim_contact} dc ON dc.contact_id = a.contact_id
 LEFT JOIN {dim_account} acc ON acc.account_id = a.company_id
 """
 
+# --------------------------------------------------- deals, meetings, recordings
+VIEWS["deal_stages"] = """
+SELECT DISTINCT o_orderpriority AS pipeline_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'Renewals' WHEN '3-MEDIUM' THEN 'Partnerships'
+            WHEN '4-NOT SPECIFIED' THEN 'Expansion' ELSE 'Opportunity' END AS pipeline_label,
+       o_orderstatus AS stage_id,
+       CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' THEN 'Churned' ELSE 'Stage ' || o_orderstatus
+       END AS stage_label,
+       NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'O') AS is_closed,
+       CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN 1.0
+            WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL ELSE 0.0 END AS probability
+FROM {orders}
+"""
+
+VIEWS["deals"] = """
+SELECT CAST(o_orderkey AS STRING) AS id, o_orderpriority AS pipeline, o_orderstatus AS dealstage,
+       CASE WHEN o_totalprice > 450000 OR (o_orderpriority = '5-LOW' AND o_orderstatus = 'O') THEN NULL
+            ELSE o_orderdate + INTERVAL '30' DAY END AS closedate,
+       o_orderdate AS createdate,
+       CASE WHEN o_totalprice < 20000 THEN TIMESTAMP '2001-07-31 02:00:00'
+            ELSE TIMESTAMP '2001-08-01 02:00:00' END AS last_seen_at
+FROM {orders}
+"""
+
+VIEWS["deal_companies"] = """
+SELECT CAST(o_orderkey AS STRING) || ':' || CAST(o_custkey AS STRING) AS id,
+       CAST(o_orderkey AS STRING) AS deal_id, CAST(o_custkey AS STRING) AS company_id
+FROM {orders}
+"""
+
+VIEWS["company_crosswalk"] = """
+SELECT CAST(c_custkey AS STRING) AS company_id,
+       CASE WHEN c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING' THEN CAST(c_custkey AS STRING)
+            ELSE CAST(c_custkey - c_custkey % 3 AS STRING) END AS resolved_company_id,
+       CASE WHEN c_nationkey = 3 THEN NULL
+            ELSE 'acct' || CAST(c_custkey - c_custkey % 3 AS STRING) || '.example.org' END AS domain_norm,
+       c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING' AS is_canonical
+FROM {customer}
+"""
+
+VIEWS["contact_crosswalk"] = """
+SELECT 'buyer' || CAST(c_custkey AS STRING) || '@acct' || CAST(c_custkey - c_custkey % 3 AS STRING)
+           || '.example.org' AS email,
+       CAST(c_custkey AS STRING) AS contact_id,
+       CASE WHEN c_nationkey < 11 THEN CAST(c_custkey - c_custkey % 3 AS STRING) END AS resolved_company_id
+FROM {customer} WHERE c_nationkey < 12
+"""
+
+VIEWS["meetings"] = """
+SELECT 'mt:' || CAST(o_orderkey AS STRING) AS activity_id, 'meeting' AS channel,
+       CAST(o_orderkey AS STRING) AS meeting_id,
+       CAST(o_custkey % (SELECT count(*) FROM {supplier}) AS STRING) AS ca_id,
+       CAST(o_orderdate AS DATE) AS activity_date,
+       o_orderdate + INTERVAL '1' MINUTE * (o_orderkey % 600) AS occurred_at,
+       CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'P' THEN 'SCHEDULED' END AS outcome,
+       o_totalprice >= 20000 AS counts,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate END AS start_time,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL '1' HOUR END AS end_time
+FROM {orders}
+"""
+
+VIEWS["meeting_copies"] = """
+SELECT activity_id, meeting_id AS id FROM {meetings}
+UNION ALL SELECT activity_id, 'x' || meeting_id AS id FROM {meetings}
+"""
+
+VIEWS["meeting_attendee_links"] = """
+SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'x' ELSE '' END || CAST(l_orderkey AS STRING) AS meeting_id,
+       CASE WHEN l_quantity > 48 THEN NULL
+            WHEN l_quantity > 45 THEN 'someone@gmail.com'
+            WHEN l_quantity > 42 THEN 'host@corp.example.com'
+            ELSE 'buyer' || CAST(c_custkey AS STRING) || '@acct' || CAST(c_custkey - c_custkey % 3 AS STRING)
+                 || '.example.org' END AS contact_email
+FROM {lineitem} JOIN {customer} ON c_custkey = (l_partkey * 7 + l_orderkey) % (SELECT count(*) FROM {customer})
+WHERE l_discount >= 0.04
+"""
+
+VIEWS["meeting_contacts"] = """
+SELECT CAST(o_orderkey AS STRING) AS meeting_id,
+       CAST(o_custkey % (SELECT count(*) FROM {supplier}) AS STRING) AS contact_id
+FROM {orders}
+"""
+
+VIEWS["recordings"] = """
+SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)
+           || '-' || CAST(l_suppkey AS STRING) AS id,
+       'Call ' || l_returnflag AS title, l_shipdate AS call_time,
+       CASE WHEN l_linestatus = 'F' THEN 'COMPLETED' ELSE 'QUEUED' END AS call_status,
+       CASE WHEN l_returnflag = 'R' THEN TIMESTAMP '2001-07-31 02:00:00'
+            ELSE TIMESTAMP '2001-08-01 02:00:00' END AS last_seen_at,
+       CAST(l_suppkey AS STRING) AS contact_id
+FROM {lineitem}
+"""
+
 _REF = re.compile(r"\{(\w+)\}")
 
 

@@ -232,7 +232,8 @@ def multi_window_scorecard(activity, dim_ca, dim_account) -> DataFrame:
         )
     )
     rows = counted(activity).withColumn("window", F.explode(windows))
-    skeleton = roster(dim_ca).withColumn("w", F.explode(window_list(first, last)))
+    skeleton = roster(dim_ca).withColumns({"_first": first, "_last": last})
+    skeleton = skeleton.withColumn("w", F.explode(window_list(F.col("_first"), F.col("_last"))))
     skeleton = skeleton.select("ca_id", "ca_name", "w.window", "w.start", "w.end")
     out = _finish(skeleton.drop("start", "end"), rep_measures(rows, dim_account, ["window"]), dim_account, ["window"])
     bounds = skeleton.select("ca_id", "window", F.col("start").alias("window_start"), F.col("end").alias("window_end"))
