@@ -32,7 +32,8 @@ BASE_SCHEMAS = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
-INTERNAL_DOMAINS = ("corp.example.com", "corp.example.org")
+INTERNAL_DOMAINS = ("corp.example.com", "corp.example.org", "reach.example.com")
+LINKABLE_DOMAINS = ("corp.example.com", "corp.example.org")
 SYNC_TOOLS = ("Sequencer", "Dialer Sync")
 AS_OF = "2001-08-01"
 ACTIVITY_AS_OF = "2024-01-31"
@@ -214,6 +215,157 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-'
 FROM {lineitem}
 """
 
+# ------------------------------------------------------------- raw landing tables
+_REP = "CAST(o_custkey % (SELECT count(*) FROM {supplier}) AS STRING)"
+_BUYER = "'buyer' || CAST(o_custkey AS STRING) || '@acct' || CAST(o_custkey - o_custkey % 3 AS STRING) || '.example.org'"
+
+VIEWS["raw_owners"] = """
+SELECT CAST(s_suppkey AS STRING) AS id,
+       CASE WHEN s_acctbal < -900 THEN NULL
+            ELSE 'Rep.' || CAST(s_suppkey AS STRING) || '@corp.example.com' END AS email,
+       CASE WHEN s_nationkey = 2 THEN NULL ELSE 'First' || CAST(s_suppkey AS STRING) END AS first_name,
+       'Last' || CAST(s_suppkey AS STRING) AS last_name,
+       CASE WHEN s_suppkey % 10 = 9 THEN TRUE WHEN s_suppkey % 2 = 0 THEN FALSE END AS archived,
+       CASE WHEN s_nationkey < 10 THEN 'East Reps' WHEN s_nationkey < 18 THEN 'West Reps'
+            WHEN s_nationkey < 20 THEN 'East Reps;East Sales' WHEN s_nationkey < 22 THEN 'West Sales' ELSE 'Support' END
+         || CASE WHEN s_acctbal > 8000 THEN ';West Reps' ELSE '' END AS teams_text
+FROM {supplier}
+"""
+
+VIEWS["team_config"] = """
+SELECT 'East Reps' AS ca_team_name, 'East Sales' AS parent_team_name
+UNION ALL SELECT 'West Reps' AS ca_team_name, 'West Sales' AS parent_team_name
+"""
+
+VIEWS["prior_ca"] = """
+SELECT CAST(s_suppkey AS STRING) AS ca_id, 'First' || CAST(s_suppkey AS STRING) AS name,
+       'rep.' || CAST(s_suppkey AS STRING) || '@corp.example.com' AS primary_email, 'East Reps' AS ca_teams
+FROM {supplier} WHERE s_nationkey < 12
+"""
+
+VIEWS["prior_address"] = """
+SELECT 'rep' || CAST(s_suppkey AS STRING) || '@corp.example.org' AS address, CAST(s_suppkey AS STRING) AS ca_id
+FROM {supplier} WHERE s_nationkey < 12
+UNION ALL
+SELECT 'old.rep' || CAST(s_suppkey AS STRING) || '@corp.example.org' AS address, CAST(s_suppkey AS STRING) AS ca_id
+FROM {supplier} WHERE s_nationkey < 12
+"""
+
+VIEWS["prior_user"] = """
+SELECT 'gone' || CAST(s_suppkey AS STRING) AS user_id, CAST(s_suppkey AS STRING) AS ca_id
+FROM {supplier} WHERE s_nationkey < 12
+"""
+
+VIEWS["raw_users"] = """
+SELECT 'u' || CAST(s_suppkey AS STRING) AS id,
+       CASE s_nationkey % 4 WHEN 0 THEN 'someone' || CAST(s_suppkey AS STRING) || '@gmail.com'
+            WHEN 1 THEN 'REP' || CAST(s_suppkey AS STRING) || '@reach.example.com'
+            ELSE 'rep.' || CAST(s_suppkey AS STRING) || '@corp.example.org' END AS email,
+       CASE WHEN s_nationkey % 3 = 0 THEN 'r.e.p' || CAST(s_suppkey AS STRING) || '@corp.example.com;shared'
+                 || CAST(s_suppkey AS STRING) || '@corp.example.com'
+            WHEN s_nationkey % 3 = 1 THEN 'rep' || CAST(s_suppkey AS STRING) || '@corp.example.org' END AS mailboxes_text
+FROM {supplier}
+"""
+
+VIEWS["raw_emails"] = """
+SELECT CAST(l_orderkey AS STRING) || CAST(l_linenumber AS STRING) || lpad(CAST(l_partkey AS STRING), 9, '0')
+           || lpad(CAST(l_suppkey AS STRING), 8, '0') AS id,
+       o_orderdate + INTERVAL '1' SECOND * ((o_orderkey * 37) % 80000 + l_linenumber * 70) AS hs_timestamp,
+       CASE l_returnflag WHEN 'A' THEN '[Mailer] [Email] ' WHEN 'R' THEN 'Re: ' ELSE '' END
+         || CASE WHEN o_orderpriority = '1-URGENT' THEN 'Invitation: ' ELSE '' END
+         || 'Order   ' || CAST(o_orderkey AS STRING) AS subject,
+       CASE WHEN l_linestatus = 'O' THEN 'INTEGRATION' WHEN l_returnflag = 'N' THEN 'EMAIL' ELSE 'INTEGRATION'
+       END AS object_source,
+       CASE WHEN l_linestatus = 'O' THEN 'Sequencer' WHEN l_returnflag = 'A' THEN 'Dialer Sync'
+            WHEN l_returnflag = 'R' THEN 'Other Tool' END AS object_source_detail,
+       CASE WHEN o_totalprice > 490000 THEN NULL
+            WHEN o_orderstatus = 'P' THEN
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'no-reply@notify.example.net'
+                   ELSE 'Buyer <' || """ + _BUYER + """ || '>' END
+            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'rep' || """ + _REP + """ || '@reach.example.com'
+            WHEN o_orderpriority = '3-MEDIUM' THEN 'REP.' || """ + _REP + """ || '@corp.example.org'
+            ELSE 'Rep <rep.' || """ + _REP + """ || '@corp.example.com>' END AS from_email,
+       CASE WHEN o_orderstatus = 'P' THEN 'rep.' || """ + _REP + """ || '@corp.example.com'
+            WHEN o_totalprice < 15000 THEN 'team@corp.example.com'
+            ELSE 'Buyer <' || """ + _BUYER + """ || '>; ops@corp.example.com' END AS to_email,
+       CASE WHEN l_returnflag = 'N' THEN 'cc' || CAST(l_suppkey AS STRING) || '@partner.example.net' END AS cc_email,
+       CASE WHEN l_quantity > 45 THEN 'bcc' || CAST(l_partkey AS STRING) || '@partner.example.net' END AS bcc_email,
+       CASE WHEN l_quantity < 12 THEN NULL
+            ELSE 'Hello  there, order ' || CAST(o_orderkey AS STRING) || ' has shipped to you today.'
+                 || CASE WHEN l_tax > 0.04 THEN ' -- kind regards, the team' ELSE '' END END AS body_preview,
+       '<p>Body of ' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) || '</p>' AS body_html,
+       CAST(o_orderdate AS DATE) AS activity_date
+FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey
+"""
+
+VIEWS["raw_companies"] = """
+SELECT CAST(c_custkey AS STRING) AS id,
+       CASE WHEN c_nationkey = 7 THEN 'The Group'
+            ELSE c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN ' Holdings Ltd' ELSE ' Group' END END AS name,
+       CASE WHEN c_nationkey = 3 THEN 'gmail.com' WHEN c_nationkey = 4 THEN NULL WHEN c_nationkey = 5 THEN 'no domain'
+            ELSE 'https://www.Acct' || CAST(c_custkey - c_custkey % 3 AS STRING) || '.example.org/about' END AS domain,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Tier 0' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Tier 1' END AS icp_tier_validated,
+       CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_acctbal < 0 THEN NULL
+            ELSE CAST(c_custkey % (SELECT count(*) FROM {supplier}) AS STRING) END AS target_account_owner,
+       CASE WHEN c_nationkey = 9 THEN NULL
+            ELSE TIMESTAMP '2020-01-01 00:00:00' + INTERVAL '1' HOUR * ((c_custkey * 37) % 50) END AS created
+FROM {customer}
+"""
+
+VIEWS["raw_contacts"] = """
+SELECT CAST(c_custkey AS STRING) AS id,
+       CASE WHEN c_nationkey = 2 THEN NULL
+            WHEN c_nationkey < 6 THEN 'Buyer' || CAST(c_custkey - c_custkey % 2 AS STRING) || '@acct'
+                 || CAST(c_custkey - c_custkey % 2 - (c_custkey - c_custkey % 2) % 3 AS STRING) || '.example.org'
+            ELSE 'Buyer' || CAST(c_custkey AS STRING) || '@acct' || CAST(c_custkey - c_custkey % 3 AS STRING)
+                 || '.example.org' END AS email,
+       'First' || CAST(c_custkey AS STRING) AS firstname, 'Last' AS lastname, 'Engineer' AS jobtitle,
+       CASE WHEN c_nationkey = 8 THEN NULL ELSE CAST(c_custkey AS STRING) END AS associated_company_id
+FROM {customer}
+"""
+
+VIEWS["raw_calls"] = """
+SELECT CAST(event_id AS STRING) AS id,
+       'u' || CAST(user_id % (SELECT count(*) FROM {supplier}) AS STRING) AS user_id,
+       CASE WHEN value < 1 THEN NULL ELSE ts END AS start_date,
+       CAST(value AS INT) AS duration, value > 60 AS human,
+       CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'k' || CAST(user_id % 40 AS STRING) END AS contact_id,
+       CASE WHEN event_type = 'view' THEN NULL
+            ELSE 'Buyer <buyer' || CAST(user_id AS STRING) || '@acct' || CAST(user_id - user_id % 3 AS STRING)
+                 || '.example.org>' END AS contact_email,
+       CAST(ts AS DATE) AS activity_date
+FROM {events}
+"""
+
+VIEWS["raw_tasks"] = """
+SELECT CAST(event_id AS STRING) AS id,
+       CASE WHEN value > 300 THEN 'nobody' ELSE 'u' || CAST(user_id % (SELECT count(*) FROM {supplier}) AS STRING)
+       END AS user_id,
+       CASE event_type WHEN 'click' THEN 'email' WHEN 'view' THEN 'linkedin_visit' WHEN 'purchase' THEN 'phone_call'
+            WHEN 'signup' THEN 'linkedin_connect' ELSE CASE WHEN value > 50 THEN 'custom step' END END AS type,
+       event_id % 2 = 0 AS automatic, ts AS finished_on,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'k' || CAST(user_id % 60 AS STRING) END AS contact_id,
+       'buyer' || CAST(user_id * 2 AS STRING) || '@acct' || CAST(user_id * 2 - (user_id * 2) % 3 AS STRING)
+           || '.example.org' AS contact_email,
+       CAST(ts AS DATE) AS activity_date
+FROM {events}
+"""
+
+VIEWS["raw_meetings"] = """
+SELECT CAST(o_orderkey AS STRING) AS id, o_orderdate + INTERVAL '5' MINUTE AS hs_timestamp,
+       CASE WHEN o_totalprice > 480000 THEN NULL ELSE o_orderpriority END AS title,
+       'INTEGRATION' AS object_source,
+       CASE WHEN o_orderstatus = 'F' THEN 'Scheduler' END AS object_source_detail,
+       CASE WHEN o_totalprice < 10000 THEN NULL ELSE """ + _REP + """ END AS owner_id,
+       CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'P' THEN 'SCHEDULED' END AS outcome,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN NULL
+            ELSE CAST((o_custkey * 3) % (SELECT count(*) FROM {supplier}) AS STRING) || '; '
+                 || CAST((o_custkey * 5) % (SELECT count(*) FROM {supplier}) AS STRING) || ';' END AS attendee_owner_ids,
+       CASE WHEN o_totalprice > 470000 THEN NULL ELSE o_orderdate END AS start_time,
+       CAST(o_orderdate AS DATE) AS activity_date
+FROM {orders}
+"""
+
 _REF = re.compile(r"\{(\w+)\}")
 
 

@@ -21,7 +21,7 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "
 def held_with_verified(scorecard: DataFrame, verified: DataFrame) -> DataFrame:
     """Move recording-verified meetings from unknown to held; the sum stays booked."""
     v = F.coalesce(F.col("verified"), F.lit(0))
-    return scorecard.join(verified, "ca_name", "left").select(
+    return scorecard.join(verified, "ca_id", "left").select(
         "ca_id", "ca_name", "meetings_booked",
         (F.col("meetings_held") + v).alias("meetings_held"),
         "meetings_canceled", "meetings_scheduled",
@@ -85,17 +85,16 @@ def results_vs_activity(monthly: DataFrame, results: DataFrame, split: DataFrame
 def column_scores(df: DataFrame, ids: Sequence[str], good: Sequence[str], bad: Sequence[str]) -> DataFrame:
     """Min-max position of every cell in its column, flipped where high is bad."""
     cols = [*good, *bad]
-    lo = df.agg(*[F.min(c).alias(c) for c in cols])
-    hi = df.agg(*[F.max(c).alias(c) for c in cols])
-    wide = df.select(
-        *ids, *cols,
-        *[lo.select(c).scalar().alias(f"_lo_{c}") for c in cols],
-        *[hi.select(c).scalar().alias(f"_hi_{c}") for c in cols],
+    bounds = df.agg(
+        F.struct(
+            *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]
+        ).alias("b")
     )
+    wide = df.select(*ids, *cols, bounds.scalar().alias("_b"))
     scores = []
     for c in cols:
-        span = (F.col(f"_hi_{c}") - F.col(f"_lo_{c}")).cast("decimal(20,4)")
-        pos = (F.col(c) - F.col(f"_lo_{c}")).cast("decimal(20,4)") / F.nullif(span, F.lit(0).cast("decimal(20,4)"))
+        span = (F.col(f"_b.hi_{c}") - F.col(f"_b.lo_{c}")).cast("decimal(20,4)")
+        pos = (F.col(c) - F.col(f"_b.lo_{c}")).cast("decimal(20,4)") / F.nullif(span, F.lit(0).cast("decimal(20,4)"))
         pos = F.when(F.col(c).isNotNull(), F.coalesce(pos, F.lit(0.5).cast("decimal(20,4)")))
         scores.append(F.round(1 - pos if c in bad else pos, 4).alias(c))
     return wide.select(*ids, *scores)
