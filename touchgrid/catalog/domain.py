@@ -230,6 +230,10 @@ SELECT CAST(s_suppkey AS STRING) AS id,
             WHEN s_nationkey < 20 THEN 'East Reps;East Sales' WHEN s_nationkey < 22 THEN 'West Sales' ELSE 'Support' END
          || CASE WHEN s_acctbal > 8000 THEN ';West Reps' ELSE '' END AS teams_text
 FROM {supplier}
+UNION ALL
+SELECT 'd' || CAST(s_suppkey AS STRING) AS id, 'rep' || CAST(s_suppkey AS STRING) || '@partner.example.net' AS email,
+       'Twin' AS first_name, NULL AS last_name, FALSE AS archived, 'Support' AS teams_text
+FROM {supplier} WHERE s_nationkey = 5
 """
 
 VIEWS["team_config"] = """
@@ -258,7 +262,7 @@ FROM {supplier} WHERE s_nationkey < 12
 
 VIEWS["raw_users"] = """
 SELECT 'u' || CAST(s_suppkey AS STRING) AS id,
-       CASE s_nationkey % 4 WHEN 0 THEN 'someone' || CAST(s_suppkey AS STRING) || '@gmail.com'
+       CASE s_nationkey % 4 WHEN 0 THEN 'rep' || CAST(s_suppkey AS STRING) || '@gmail.com'
             WHEN 1 THEN 'REP' || CAST(s_suppkey AS STRING) || '@reach.example.com'
             ELSE 'rep.' || CAST(s_suppkey AS STRING) || '@corp.example.org' END AS email,
        CASE WHEN s_nationkey % 3 = 0 THEN 'r.e.p' || CAST(s_suppkey AS STRING) || '@corp.example.com;shared'
@@ -366,6 +370,24 @@ SELECT CAST(o_orderkey AS STRING) AS id, o_orderdate + INTERVAL '5' MINUTE AS hs
 FROM {orders}
 """
 
+VIEWS["text_cases"] = """
+SELECT CAST(o_orderkey AS STRING) AS id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'EXT: Automatic Reply: away ' WHEN '2-HIGH' THEN '[Mailer] [<<] Re: FWD:  '
+            WHEN '3-MEDIUM' THEN 'R.e. ' WHEN '4-NOT SPECIFIED' THEN 'external : Undeliverable: '
+            ELSE '[Sync] Declined:   ' END || 'Order  ' || CAST(o_orderkey AS STRING) AS subject,
+       CASE o_orderstatus
+            WHEN 'F' THEN 'This is the first time you''re receiving an email from this person. '
+            WHEN 'P' THEN '[EXTERNAL EMAIL]:  '
+            ELSE CASE WHEN o_orderpriority = '5-LOW' THEN 'Caution: this email originated from outside of us. '
+                      WHEN o_orderpriority = '2-HIGH' THEN 'You don''t often get email from a@b.c. ' ELSE '' END END
+         || CASE WHEN o_totalprice < 30000 THEN '' ELSE 'Thank you  for order ' || CAST(o_custkey AS STRING)
+            || ' which we will now handle with all the care that it deserves and send along to your door as soon as '
+            || 'we possibly can, which is to say within the next week or two.' END AS body,
+       CASE o_orderstatus WHEN 'F' THEN 'No-Reply' WHEN 'P' THEN 'bounce+1' ELSE 'Jane.Doe' END
+         || CAST(o_custkey AS STRING) || '@Mail.example.org' AS sender
+FROM {orders}
+"""
+
 _REF = re.compile(r"\{(\w+)\}")
 
 

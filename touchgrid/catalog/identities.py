@@ -136,7 +136,7 @@ ID_VIEWS = {
     "unmatched": f"""SELECT DISTINCT 'contact_email_unmatched' AS kind, email AS key, 'seen in activity, no contact' AS detail
         FROM {{seen_all}} WHERE f <> 'bcc' AND {DOMAIN_OF.format('email')} NOT IN ({INTERNAL})
           AND email NOT IN (SELECT email FROM {{contact_cw}})""",
-    "account_dim": """SELECT id AS account_id, name, domain, icp_tier_validated,
+    "account_dim": """SELECT c.id AS account_id, c.name, c.domain, c.icp_tier_validated,
           nullif(target_account_owner, '') AS owner_rep_id, nullif(target_account_owner, '') IS NOT NULL AS is_target
         FROM {raw_companies} c JOIN {resolved} r ON r.company_id = c.id AND r.is_canonical AND r.resolved_company_id = c.id""",
 }

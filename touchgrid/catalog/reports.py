@@ -556,16 +556,18 @@ MEETING_FACT_SQL = """SELECT ca_id, channel, activity_date, outcome, counts, CAS
   CAST(NULL AS STRING) AS contact_id, CAST(NULL AS STRING) AS call_group_id, FALSE AS is_conversation FROM {meetings}"""
 
 
-@query("held_with_verified", "J2 E13", f"""
-WITH s AS (SELECT ca_id, count(*) AS b, count(*) FILTER (WHERE outcome = 'COMPLETED') AS h,
+HELD_VIEWS = {**oc.MAP_VIEWS, "held_s": f"""SELECT ca_id, count(*) AS b, count(*) FILTER (WHERE outcome = 'COMPLETED') AS h,
    count(*) FILTER (WHERE outcome = 'CANCELED') AS x,
-   count(*) FILTER (WHERE outcome IN ('SCHEDULED','RESCHEDULED')) AS s FROM {{meetings}} WHERE counts AND {M_WIN} GROUP BY 1),
- v AS (SELECT m.ca_id, count(*) AS v FROM {{meetings}} m JOIN {{verified}} r ON r.activity_id = m.activity_id
-   WHERE m.counts AND {M_WIN} AND coalesce(m.outcome, '?') NOT IN ('COMPLETED','CANCELED','SCHEDULED','RESCHEDULED') GROUP BY 1)
+   count(*) FILTER (WHERE outcome IN ('SCHEDULED','RESCHEDULED')) AS s FROM {{meetings}} WHERE counts AND {M_WIN} GROUP BY 1""",
+ "held_v": f"""SELECT m.ca_id, count(*) AS v FROM {{meetings}} m JOIN {{verified}} r ON r.activity_id = m.activity_id
+   WHERE m.counts AND {M_WIN} AND coalesce(m.outcome, '?') NOT IN ('COMPLETED','CANCELED','SCHEDULED','RESCHEDULED') GROUP BY 1"""}
+
+
+@query("held_with_verified", "J2 E13", """
 SELECT c.ca_id, c.name AS ca_name, coalesce(s.b, 0) AS meetings_booked, coalesce(s.h, 0) + coalesce(v.v, 0) AS meetings_held,
   coalesce(s.x, 0) AS meetings_canceled, coalesce(s.s, 0) AS meetings_scheduled,
   coalesce(s.b - s.h - s.x - s.s, 0) - coalesce(v.v, 0) AS meetings_unknown
-FROM {{dim_ca}} c LEFT JOIN s ON s.ca_id = c.ca_id LEFT JOIN v ON v.ca_id = c.ca_id""", oc.MAP_VIEWS)
+FROM {dim_ca} c LEFT JOIN {held_s} s ON s.ca_id = c.ca_id LEFT JOIN {held_v} v ON v.ca_id = c.ca_id""", HELD_VIEWS)
 def _(t):
     card = sc.rep_scorecard(t.sql(MEETING_FACT_SQL), t["dim_ca"], t["dim_account"], oc.START, oc.END)
     return trends.held_with_verified(
