@@ -402,6 +402,7 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
         self._seen: dict[str, DataFrame] = {}
+        self.memo: dict[str, DataFrame] = {}  # staged results shared inside one query
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._seen:

@@ -186,13 +186,22 @@ def prepped(t):
     return em.prep_emails(t["raw_emails"], INTERNAL_DOMAINS)
 
 
+def staged(t):
+    if "_staged" not in t.memo:
+        t.memo["_staged"] = em.stage_emails(t["raw_emails"], INTERNAL_DOMAINS)
+    return t.memo["_staged"]
+
+
 def clusters(t):
-    return em.cluster_emails(prepped(t))
+    if "_clusters" not in t.memo:
+        t.memo["_clusters"] = em.cluster_emails(staged(t))
+    return t.memo["_clusters"]
 
 
-def email_fact(t, c=None):
+def email_fact(t):
     return model.build_emails(
-        t["raw_emails"], ids.links(t).addresses, ids.contacts_cw(t), INTERNAL_DOMAINS, SYNC_TOOLS, c
+        t["raw_emails"], ids.links(t).addresses, ids.contacts_cw(t), INTERNAL_DOMAINS, SYNC_TOOLS,
+        staged(t), clusters(t),
     )
 
 
@@ -208,14 +217,13 @@ def task_fact(t):
     return model.build_tasks(t["raw_tasks"], ids.links(t).users, ids.external_map(t), ids.contacts_cw(t))
 
 
-def fact(t, c=None):
-    return model.union_all(email_fact(t, c), meeting_fact(t), call_fact(t), task_fact(t))
+def fact(t):
+    return model.union_all(email_fact(t), meeting_fact(t), call_fact(t), task_fact(t))
 
 
-def sources(t, c=None):
-    c = clusters(t) if c is None else c
+def sources(t):
     return model.union_all(
-        model.email_sources(t["raw_emails"], INTERNAL_DOMAINS, c), model.meeting_sources(t["raw_meetings"]),
+        model.email_sources(staged(t), clusters(t)), model.meeting_sources(t["raw_meetings"]),
         model.row_sources(t["raw_calls"], "raw_calls", "call:"), model.row_sources(t["raw_tasks"], "raw_tasks", "task:"),
     )
 
@@ -298,7 +306,7 @@ def _(t):
 
 @query("email_merge_links", "D2")
 def _(t):
-    return em.merge_links(prepped(t))
+    return em.merge_links(staged(t))
 
 
 @query("email_clusters", "D2 D3", "SELECT id, cluster_id FROM {clusters}", MODEL_VIEWS)
@@ -318,7 +326,7 @@ def _(t):
 
 @query("email_canonical", "D5", "SELECT cluster_id, id FROM {can}", MODEL_VIEWS)
 def _(t):
-    return em.canonical_rows(prepped(t).join(clusters(t), "id")).select("cluster_id", "can.id")
+    return em.canonical_rows(staged(t).join(clusters(t), "id")).select("cluster_id", "can.id")
 
 
 @query("email_facts", "D6 D7 D8 D13 D18", """

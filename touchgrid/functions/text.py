@@ -18,13 +18,26 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# every character that counts as white space, for literal trims and one regex class
+SPACE_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def strip(c: Column | str) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.trim(_col(c), F.lit(SPACE_CHARS))
 
 
 def squeeze(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), r"(?U)\s+", " ")
+    """Runs of white space become one blank; pure ASCII text takes the cheaper pattern."""
+    c = _col(c)
+    ascii_only = F.octet_length(c) == F.length(c)
+    return F.when(ascii_only, F.regexp_replace(c, r"[\s\x1c-\x1f]+", " ")).otherwise(
+        F.regexp_replace(c, SPACE + "+", " ")
+    )
 
 
 def java_quote(text: str) -> str:
@@ -40,14 +53,15 @@ def any_literal(options: Sequence[str]) -> str:
 def extract_emails(c: Column | str) -> Column:
     """Ordered lower-case plain addresses of a ';'-separated header field."""
 
-    def plain(x: Column) -> Column:
-        x = strip(x)
+    def bracketed(x: Column) -> Column:
         lo, hi = F.instr(x, F.lit("<")), F.instr(x, F.lit(">"))
-        inner = F.when((lo > 0) & (hi > 0), F.substring(x, lo + 1, hi - lo - 1)).otherwise(x)
-        return F.lower(strip(inner))
+        return F.when((lo > 0) & (hi > 0), strip(F.substring(x, lo + 1, hi - lo - 1))).otherwise(x)
 
-    parts = F.transform(F.split(F.coalesce(_col(c), F.lit("")), ";"), plain)
-    return F.filter(parts, lambda x: (F.instr(x, F.lit("@")) > 0) & domain_of(x).contains("."))
+    parts = F.transform(F.split(F.lower(F.coalesce(_col(c), F.lit(""))), ";"), strip)
+    return F.filter(
+        F.transform(parts, bracketed),
+        lambda x: (F.instr(x, F.lit("@")) > 0) & (F.instr(domain_of(x), F.lit(".")) > 0),
+    )
 
 
 def domain_of(c: Column | str) -> Column:
@@ -107,7 +121,7 @@ def norm_subject(c: Column | str) -> Column:
 def classification_subject(c: Column | str) -> Column:
     """Tool tags and one external-mail tag removed; reply markers stay."""
     s = F.regexp_replace(strip_tool_prefixes(c), vocab.EXTERNAL_TAG_PATTERN, "")
-    return F.regexp_replace(F.lower(s), r"(?U)^\s+", "")
+    return F.ltrim(F.lower(s), F.lit(SPACE_CHARS))
 
 
 def subject_is_invite(c: Column | str) -> Column:
@@ -174,12 +188,12 @@ def contains_text(c: Column | str, needle: str) -> Column:
 def word_count(c: Column | str) -> Column:
     """Number of white-space separated words; '' and NULL have none."""
     t = strip(F.coalesce(_col(c), F.lit("")))
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"(?U)\s+")))
+    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE + "+")))
 
 
 def words(c: Column | str) -> Column:
     t = strip(F.coalesce(_col(c), F.lit("")))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"(?U)\s+"))
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE + "+"))
 
 
 # ---------------------------------------------------------------------- dates

@@ -59,6 +59,11 @@ def prep_emails(emails: DataFrame, internal_domains: Sequence[str]) -> DataFrame
     )
 
 
+def stage_emails(emails: DataFrame, internal_domains: Sequence[str]) -> DataFrame:
+    """Prepared rows written once; the steps below read them several times."""
+    return cut_lineage(prep_emails(emails, internal_domains))
+
+
 def overlap_set(direction: Column, external: Column, everyone: Column) -> Column:
     """Recipients that can prove a copy: outside ones for sent mail, all for received."""
     return F.when(direction == "outbound", external).otherwise(everyone)
@@ -133,16 +138,19 @@ def merge_links(
 ) -> DataFrame:
     """(a, b) links between copies; same connectivity as all mergeable pairs.
 
-    A key's rows are cut into time chunks (rows in a chunk's last `window` seconds are
+    Keys travel as two 64-bit hashes. A key's rows are cut into time chunks (rows in a chunk's last `window` seconds are
     also shown to the next chunk), so one busy sender spreads over many tasks.
     """
     span, reach = chunk_seconds * 1_000_000, window * 1_000_000
     chunk = F.floor(F.col("us") / span).cast("long")
     late = F.col("us") - chunk * span >= span - reach
-    rows = _keyed_rows(prepped).withColumn(
-        "chunk", F.explode(F.when(late, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
+    full_key = ("sender", "direction", "key")
+    rows = _keyed_rows(prepped).select(
+        "id", "us", "hub", "flagged",
+        F.xxhash64(F.lit(1), *full_key).alias("k1"), F.xxhash64(F.lit(2), *full_key).alias("k2"),
+        F.explode(F.when(late, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))).alias("chunk"),
     )
-    part = Window.partitionBy("sender", "direction", "key", "chunk")
+    part = Window.partitionBy("k1", "k2", "chunk")
     ahead = part.orderBy(F.asc("us"), F.asc("id")).rowsBetween(Window.unboundedPreceding, -1)
     back = part.orderBy(F.desc("us"), F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
     me = F.struct("id", "us")
@@ -243,7 +251,10 @@ def _replay(window_us: int):
 
 
 def cluster_emails(prepped: DataFrame, window: int = vocab.DEDUP_WINDOW_SECONDS) -> DataFrame:
-    """(id, cluster_id) for every prepared row; cluster_id is the smallest member id."""
+    """(id, cluster_id) for every prepared row; cluster_id is the smallest member id.
+
+    Pass staged rows (`stage_emails`): they are read once per kind of key.
+    """
     comps = cut_lineage(connected_components(merge_links(prepped, window)))
     who = overlap_set(F.col("direction"), F.col("external_recipients"), F.col("recipients"))
     members = prepped.join(comps.withColumnRenamed("node", "id"), "id")

@@ -54,10 +54,11 @@ def attach_body(fact: DataFrame, emails: DataFrame) -> DataFrame:
 
 def build_emails(
     emails: DataFrame, addresses: DataFrame, contact_crosswalk: DataFrame, internal_domains: Sequence[str],
-    known_tools: Sequence[str] = vocab.KNOWN_SYNC_TOOLS, clusters: DataFrame | None = None,
+    known_tools: Sequence[str] = vocab.KNOWN_SYNC_TOOLS,
+    prepped: DataFrame | None = None, clusters: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per real message."""
-    prepped = em.prep_emails(emails, internal_domains)
+    """One row per real message; staged rows and clusters can be shared between jobs."""
+    prepped = em.stage_emails(emails, internal_domains) if prepped is None else prepped
     clusters = em.cluster_emails(prepped) if clusters is None else clusters
     s = attach_contact(
         em.summarize_clusters(prepped, clusters, addresses, internal_domains, known_tools), contact_crosswalk
@@ -75,9 +76,9 @@ def build_emails(
     return attach_body(fact, emails)
 
 
-def email_sources(emails: DataFrame, internal_domains: Sequence[str], clusters: DataFrame) -> DataFrame:
+def email_sources(prepped: DataFrame, clusters: DataFrame) -> DataFrame:
     """(activity_id, table, id, detail): every raw copy and the event it went into."""
-    rows = em.prep_emails(emails, internal_domains).join(clusters, "id")
+    rows = prepped.join(clusters, "id")
     can = em.canonical_rows(rows).select("cluster_id", F.concat(F.lit("email:"), F.col("can.id")).alias("activity_id"))
     return rows.select("cluster_id", "id", _detail().alias("detail")).join(can, "cluster_id").select(
         "activity_id", F.lit("raw_emails").alias("table"), "id", "detail"
