@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import touchgrid
+
+# The few Python helpers that run inside tasks travel with the job, so executors do not
+# need this package installed.
+cloudpickle.register_pickle_by_value(touchgrid)
+
 
 def build(app: str = "touchgrid", cores: str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings this library relies on (UTC days, AQE)."""
