@@ -9,8 +9,9 @@ from touchgrid.functions import text as tx
 from touchgrid.functions.html import html_to_text
 from touchgrid.operators import similarity as sim
 from touchgrid.plans import reuse
+from touchgrid.session import cut_lineage
 
-WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+WS = "[\\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 CORPUS_SQL = """
 SELECT CAST(doc_id AS STRING) AS activity_id, source AS ca_name, lang IN ('de', 'fr') AS is_reply,
        'p' || CAST(doc_id % 211 AS STRING) || '@example.org' AS contact_email,
@@ -168,13 +169,14 @@ def _(t):
 
 @query("minhash_signatures", "I7")
 def _(t):
-    s = sim.text_sets(sim.unique_texts(corpus(t)), 4)
-    return s.select("text_key", sim.minhash(F.col("block")).alias("signature"))
+    s = cut_lineage(sim.text_sets(sim.unique_texts(corpus(t)), 4))
+    return s.select("text_key", sim.minhash(F.col("block")).alias("signature")).select(
+        "text_key", F.xxhash64("signature").alias("signature_hash"))
 
 
 @query("lsh_bands", "I8")
 def _(t):
-    return sim.band_keys(sim.text_sets(sim.unique_texts(corpus(t)), 4))
+    return sim.band_keys(cut_lineage(sim.text_sets(sim.unique_texts(corpus(t)), 4)))
 
 
 @query("text_families_lsh", "I7 I8 I9 I10 I11")

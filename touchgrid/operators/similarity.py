@@ -29,18 +29,30 @@ SHORT_WORDS = 25
 SMALL_BUCKET = 64
 
 
+def _windows(text: Column | str, k: int, finish) -> Column:
+    """finish(window) for every k-word window.
+
+    The word array is bound once as a lambda variable and read by position, so a long
+    text costs one split and one step per word.
+    """
+
+    def of(ws: Column) -> Column:
+        last = F.greatest(F.size(ws) - k, F.lit(0))
+        each = F.transform(
+            F.sequence(F.lit(0), last), lambda i: finish(F.concat_ws(" ", *[F.get(ws, i + j) for j in range(k)]))
+        )
+        return F.array_distinct(F.when(F.size(ws) > 0, each).otherwise(F.slice(each, 1, 0)))
+
+    return F.transform(F.array(words(text)), of)[0]
+
+
 def shingles(text: Column | str, k: int = vocab.DEFAULT_SHINGLE_WORDS) -> Column:
     """Distinct k-word windows; a shorter text is one window, an empty one has none."""
-    w = words(text)
-    windows = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1))),
-        lambda i: F.array_join(F.slice(w, i, k), " "),
-    )
-    return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(windows))
+    return _windows(text, k, lambda w: w)
 
 
 def hashed_shingles(text: Column | str, k: int = vocab.DEFAULT_SHINGLE_WORDS) -> Column:
-    return F.transform(shingles(text, k), lambda s: F.xxhash64(s))
+    return _windows(text, k, lambda w: F.xxhash64(w))
 
 
 def jaccard(a: Column, b: Column) -> Column:

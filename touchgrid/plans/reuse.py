@@ -198,8 +198,10 @@ def variation(labelled: DataFrame, least_size: int = vocab.DEFAULT_FAMILY_SIZE)
     # each distinct text is compared with its representative once, not per row
     keyed = rows.where("fam_size >= 2").groupBy("family", "text_key").agg(F.any_value("core_norm").alias("text"))
     reps = representatives(labelled, 2).select("family", F.col("text").alias("rep_text"))
+    keyed = keyed.select("family", "text_key", hashed_shingles("text").alias("sh"))
+    reps = reps.select("family", hashed_shingles("rep_text").alias("rep_sh"))
     drift = keyed.join(reps, "family").select(
-        "text_key", F.round(jaccard(hashed_shingles("text"), hashed_shingles("rep_text")), 3).alias("drift_vs_rep")
+        "text_key", F.round(jaccard(F.col("sh"), F.col("rep_sh")), 3).alias("drift_vs_rep")
     )
     return rows.withColumn("vtype", kind).join(drift, "text_key", "left").select(
         "activity_id", "family", "text_key", "fam_size", "fam_exact", "fam_nofirst", "has_merge_tok", "vtype",
