@@ -395,6 +395,9 @@ def refs(text: str) -> list[str]:
     return list(dict.fromkeys(_REF.findall(text)))
 
 
+_STAGED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class Domain:
     """Lazy access to the base tables and the derived views of one data folder."""
 
@@ -402,7 +405,8 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
         self._seen: dict[str, DataFrame] = {}
-        self.memo: dict[str, DataFrame] = {}  # staged results shared inside one query
+        # staged results (written once, read by every query of the session)
+        self.memo = _STAGED.setdefault((spark.sparkContext.applicationId, sf_dir), {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._seen:

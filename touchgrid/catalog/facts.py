@@ -11,8 +11,9 @@ from touchgrid.catalog.identities import DOMAIN_OF, ID_VIEWS, INTERNAL, emails_s
 from touchgrid.catalog.registry import query
 from touchgrid.functions import text
 from touchgrid.operators import emails as em
-from touchgrid.operators.keyed import gap_groups
+from touchgrid.operators.keyed import gap_groups, id_order
 from touchgrid.plans import model
+from touchgrid.session import cut_lineage
 
 CALL_GAP = 6 * 3600
 
@@ -194,7 +195,7 @@ def staged(t):
 
 def clusters(t):
     if "_clusters" not in t.memo:
-        t.memo["_clusters"] = em.cluster_emails(staged(t))
+        t.memo["_clusters"] = cut_lineage(em.cluster_emails(staged(t)))
     return t.memo["_clusters"]
 
 
@@ -275,17 +276,10 @@ def _(t):
 
 
 @query("numeric_id_order", "B7", f"""
-SELECT id, row_number() OVER (ORDER BY {id_order_sql('id')}) AS pos FROM (
-  SELECT min(id) AS id FROM {{raw_meetings}} GROUP BY owner_id UNION ALL SELECT DISTINCT 'x' || owner_id FROM {{raw_meetings}} WHERE owner_id IS NOT NULL)""")
+SELECT owner_id, id AS lowest_id FROM (SELECT owner_id, id, row_number() OVER (PARTITION BY owner_id ORDER BY {id_order_sql('id')}) AS rn
+  FROM {{raw_meetings}}) WHERE rn = 1""")
 def _(t):
-    from pyspark.sql import Window
-
-    from touchgrid.operators.keyed import id_order
-
-    m = t["raw_meetings"]
-    some = m.groupBy("owner_id").agg(F.min("id").alias("id")).select("id").unionByName(
-        m.where("owner_id IS NOT NULL").select(F.concat(F.lit("x"), "owner_id").alias("id")).distinct())
-    return some.select("id", F.row_number().over(Window.orderBy(id_order("id"))).alias("pos"))
+    return t["raw_meetings"].groupBy("owner_id").agg(F.min_by("id", id_order("id")).alias("lowest_id"))
 
 
 @query("task_channels", "B15", """

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchgrid.catalog import facts, outcomes as oc, reports as rp
+from touchgrid import vocab
+from touchgrid.catalog import outcomes as oc
+from touchgrid.catalog import reports as rp
 from touchgrid.catalog.registry import query
 from touchgrid.functions import parse
-from touchgrid.plans import audit, meetings, quality, trends
+from touchgrid.plans import audit, meetings, model, quality, trends
 from touchgrid.plans import scorecard as sc
 from touchgrid.sources import landing, sheet
 
@@ -210,16 +212,12 @@ def _(t):
 @query("lineage_breaks", "K1", """SELECT "table", id, CAST(1 AS BIGINT) AS held, CAST(0 AS BIGINT) AS used FROM (
   SELECT 'raw_calls' AS "table", id, human FROM {raw_calls}) WHERE human""")
 def _(t):
-    from touchgrid.plans import model
-
     raw = t["raw_calls"].select(F.lit("raw_calls").alias("table"), "id")
     return quality.lineage_breaks(raw, model.row_sources(t["raw_calls"].where("NOT human"), "raw_calls", "call:"))
 
 
 @query("undeclared_labels", "K2", "SELECT 'channel' AS kind, channel AS label, count(*) AS n FROM {activity} WHERE channel IN ('call', 'meeting') GROUP BY 2")
 def _(t):
-    from touchgrid import vocab
-
     return quality.undeclared_labels(t["activity"], [c for c in vocab.CHANNELS if c not in ("call", "meeting")])
 
 

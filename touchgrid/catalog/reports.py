@@ -259,7 +259,7 @@ def _(t):
     return coverage(t)
 
 
-@query("owned_summary", "F13 G9", """
+@query("owned_summary", "F13 G9 B21", """
 SELECT owner_name, count(*) AS owned, count(*) FILTER (WHERE owner_touches > 0) AS touched,
        count(*) FILTER (WHERE owner_touches = 0 AND icp_tier IN ('Tier 0','Tier 1')) AS top_untouched,
        count(*) FILTER (WHERE owner_touches = 0) AS untouched,

@@ -22,11 +22,12 @@ TRUTH_SQL = """SELECT CAST(doc_id AS STRING) AS activity_id,
   CASE WHEN quality = 1 THEN 'Personalized' ELSE 'Templated' END AS label FROM {labels}"""
 
 
-def sh_sql(c: str, k: int = 4) -> str:
-    w = f"string_split({c}, ' ')"
+def sh_sql(w: str, k: int = 4) -> str:
+    """Distinct k-word windows of a word list (DuckDB)."""
+    gram = " || ' ' || ".join(f"{w}[i + {j}]" if j else f"{w}[i]" for j in range(k))
     return (
-        f"CASE WHEN {c} = '' THEN [] WHEN len({w}) < {k} THEN [{c}] ELSE list_distinct(list_transform("
-        f"range(1, len({w}) - {k} + 2), lambda i: array_to_string({w}[i:i+{k - 1}], ' '))) END"
+        f"CASE WHEN {w} = [''] THEN [] WHEN len({w}) < {k} THEN [array_to_string({w}, ' ')] "
+        f"ELSE list_distinct(list_transform(range(1, len({w}) - {k} + 2), lambda i: {gram})) END"
     )
 
 
@@ -36,10 +37,12 @@ T_VIEWS = {
         FROM ({CORPUS_SQL}))""",
     "truth": TRUTH_SQL,
     "uniq": "SELECT text_key, any_value(core_norm) AS txt, count(*) AS copies FROM {corpus} GROUP BY 1",
-    "sets": f"SELECT text_key, txt, {sh_sql('txt')} AS sh FROM {{uniq}}",
-    "toks": "SELECT text_key, len(sh) AS n, unnest(sh) AS tok FROM {sets}",
+    "split": "SELECT text_key, txt, string_split(txt, ' ') AS w FROM {uniq}",
+    "sets": f"SELECT text_key, txt, {sh_sql('w')} AS sh FROM {{split}}",
+    "toks": "SELECT text_key, n, hash(w) AS tok FROM (SELECT text_key, len(sh) AS n, unnest(sh) AS w FROM {sets})",
+    "shared": "SELECT t.* FROM {toks} t JOIN (SELECT tok FROM {toks} GROUP BY 1 HAVING count(*) > 1) d ON d.tok = t.tok",
     "pairs": """SELECT a, b, c / (na + nb - c) AS sim FROM (SELECT x.text_key AS a, y.text_key AS b, x.n AS na, y.n AS nb, count(*) AS c
-        FROM {toks} x JOIN {toks} y ON x.tok = y.tok AND x.text_key < y.text_key GROUP BY ALL) WHERE c / (na + nb - c) >= 0.45""",
+        FROM {shared} x JOIN {shared} y ON x.tok = y.tok AND x.text_key < y.text_key GROUP BY ALL) WHERE c / (na + nb - c) >= 0.45""",
     "ways": "SELECT a, b FROM {pairs} UNION ALL SELECT b, a FROM {pairs}",
     "reach": "SELECT text_key, text_key AS other FROM {uniq} UNION SELECT r.text_key, w.b FROM reach r JOIN {ways} w ON w.a = r.other",
     "fams": "SELECT text_key, min(other) AS family FROM {reach} GROUP BY 1",
@@ -83,12 +86,14 @@ def corpus(t):
 
 def families(t):
     if "_fam" not in t.memo:
-        t.memo["_fam"] = sim.text_families(sim.unique_texts(corpus(t)), exact=True)
+        t.memo["_fam"] = cut_lineage(sim.text_families(sim.unique_texts(corpus(t)), exact=True))
     return t.memo["_fam"]
 
 
 def labelled(t):
-    return reuse.label_corpus(corpus(t), families=families(t))
+    if "_labelled" not in t.memo:
+        t.memo["_labelled"] = cut_lineage(reuse.label_corpus(corpus(t), families=families(t)))
+    return t.memo["_labelled"]
 
 
 def truth(t):
@@ -193,7 +198,7 @@ def _(t):
     **T_VIEWS,
     "wn": "SELECT text_key, CASE WHEN txt = '' THEN 0 ELSE len(string_split(txt, ' ')) END AS w FROM {uniq}",
     "pairs_la": """SELECT a, b FROM (SELECT x.text_key AS a, y.text_key AS b, x.n AS na, y.n AS nb, count(*) AS c
-        FROM {toks} x JOIN {toks} y ON x.tok = y.tok AND x.text_key < y.text_key GROUP BY ALL)
+        FROM {shared} x JOIN {shared} y ON x.tok = y.tok AND x.text_key < y.text_key GROUP BY ALL)
         JOIN {wn} p ON p.text_key = a JOIN {wn} q ON q.text_key = b
         WHERE c / (na + nb - c) >= CASE WHEN least(p.w, q.w) < 25 THEN 0.35 ELSE 0.45 END""",
     "ways_la": "SELECT a, b FROM {pairs_la} UNION ALL SELECT b, a FROM {pairs_la}",

@@ -36,6 +36,15 @@ def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """True when every vertex hangs on one root and no root hangs on anything."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    per = ends.groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per.where("down > 1 OR (down > 0 AND up > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """(node, component) for every node of a non-loop edge; component = smallest node."""
     cur = (
@@ -44,15 +53,10 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
         .distinct()
     )
     cur = cut_lineage(cur)
-    seen = None
     for _ in range(MAX_ROUNDS):
         cur = cut_lineage(_star(_star(cur, smaller_only=False), smaller_only=True))
-        mark = cur.agg(
-            F.count(F.lit(1)).alias("n"), F.expr("sum(cast(xxhash64(a, b) AS decimal(38,0)))").alias("h")
-        ).first()
-        if seen == (mark.n, mark.h):
+        if _settled(cur):
             break
-        seen = (mark.n, mark.h)
     else:
         raise RuntimeError("connected components did not settle")
     roots = cur.select(F.col("b").alias("node")).distinct()
