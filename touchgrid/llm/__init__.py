@@ -5,9 +5,9 @@ Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from touchgrid.llm import linededup, shards
+from touchgrid.llm import chat, linededup, shards, topk
 
-MODULES = (linededup, shards)
+MODULES = (linededup, chat, topk, shards)
 
 
 def queries() -> dict:
