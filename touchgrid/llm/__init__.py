@@ -5,9 +5,9 @@ Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from touchgrid.llm import chat, linededup, shards, topk
+from touchgrid.llm import chat, langid, linededup, quality, shards, topk
 
-MODULES = (linededup, chat, topk, shards)
+MODULES = (quality, langid, linededup, chat, topk, shards)
 
 
 def queries() -> dict:
