@@ -5,9 +5,9 @@ Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from touchgrid.llm import bandjoin, chat, langid, linededup, quality, shards, topk
+from touchgrid.llm import bandjoin, chat, decontaminate, htmlcut, langid, linededup, quality, shards, topk
 
-MODULES = (quality, langid, linededup, bandjoin, chat, topk, shards)
+MODULES = (quality, langid, linededup, htmlcut, bandjoin, chat, topk, decontaminate, shards)
 
 
 def queries() -> dict:

@@ -37,3 +37,9 @@ def ascii_words(text: Column) -> Column:
     """Lower-cased words between ASCII white space; no empty strings."""
     plain = F.lower(F.coalesce(text, F.lit("")))
     return F.filter(F.split(plain, "[ \\t-\\r]+"), lambda w: w != "")
+
+
+def letter_words(text: Column) -> Column:
+    """Lower-cased runs of letters and digits, whatever stands between them."""
+    plain = F.lower(F.coalesce(text, F.lit("")))
+    return F.filter(F.split(plain, "[^\\p{L}\\p{N}]+"), lambda w: w != "")
