@@ -334,14 +334,17 @@ def decode(tokens: DataFrame, pieces: PieceTable) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = PieceTable.load()
-    done = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces), pieces)
-    return done.select(
+def encoded_and_decoded(docs: DataFrame, pieces: PieceTable) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256): the tokens, and the digest of what they decode to."""
+    return decode(encode(docs, pieces), pieces).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_and_decoded(table(spark, sf_dir, "documents").select("doc_id", "text"), PieceTable.load())
+
+
 QUERIES = {"op5_pieces": op5_pieces}
 ORACLES: dict[str, str] = {}
