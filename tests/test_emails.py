@@ -140,8 +140,8 @@ def test_links_are_mergeable_pairs(spark):
             for i in range(120)]
     p = em.stage_emails(spark.createDataFrame(rows, SCHEMA), INTERNAL)
     links = em.merge_links(p)
-    left = p.select(F.col("id").alias("a"), F.struct("*").alias("x"))
-    right = p.select(F.col("id").alias("b"), F.struct("*").alias("y"))
+    left = p.select(F.col("rid").alias("a"), F.struct("*").alias("x"))
+    right = p.select(F.col("rid").alias("b"), F.struct("*").alias("y"))
     bad = links.join(left, "a").join(right, "b").where(~em.mergeable("x", "y"))
     assert links.count() > 0 and bad.count() == 0
 
@@ -149,3 +149,12 @@ def test_links_are_mergeable_pairs(spark):
 def test_one_hot_sender_and_time(spark):
     rows = [mail(str(i), 7, "Hot", body="one and the same body for all") for i in range(300)]
     assert groups(spark, rows) == [sorted(str(i) for i in range(300))]
+
+
+def test_window_longer_than_a_chunk(spark):
+    hours = 3600
+    rows = [mail("1", 0), mail("2", 13 * hours), mail("3", 26 * hours), mail("4", 41 * hours), mail("5", 90 * hours)]
+    p = em.stage_emails(spark.createDataFrame(rows, SCHEMA), INTERNAL)
+    got = {r.id: r.cluster_id for r in em.cluster_emails(p, window=14 * hours).collect()}
+    assert got == {"1": "1", "2": "1", "3": "1", "4": "4", "5": "5"}
+    assert groups(spark, rows) == [["1"], ["2"], ["3"], ["4"], ["5"]]

@@ -83,3 +83,46 @@ def test_stream_replay_adds_nothing(spark, tmp_path):
 def test_registry_is_consistent():
     assert set(all_oracles()) <= set(all_queries()) == set(coverage())
     assert set(vocab.COUNTED_CHANNELS) <= set(vocab.CHANNELS)
+
+
+def test_first_arrival_wins(spark):
+    held = spark.createDataFrame([("a", 0, 0)], "id string, v int, n int")
+    batch = spark.createDataFrame([("b", 1, 3), ("b", 2, 1), ("a", 9, 0), ("c", 5, 2)], "id string, v int, n int")
+    assert sorted(tuple(r) for r in landing.append_absent(held, batch, arrival="n").collect()) == [("b", 2, 1), ("c", 5, 2)]
+    assert {r.id: r.v for r in landing.append_absent(held, batch.coalesce(1)).collect()} == {"b": 1, "c": 5}
+
+
+def test_last_publication_wins(spark, tmp_path):
+    one = spark.range(1)
+    landing.publish(spark, str(tmp_path), "v9", {"t": one})
+    landing.publish(spark, str(tmp_path), "v10", {"t": one})
+    assert landing.current_version(spark, str(tmp_path)) == "v10"
+
+
+def test_upsert_stream_continues_on_a_new_checkpoint(spark, tmp_path):
+    from touchgrid.streaming.landing import append_stream, upsert_stream
+
+    src, base = str(tmp_path / "src"), str(tmp_path / "mirror")
+    schema = "id string, v int, modified int"
+    for n, rows in enumerate(([("a", 1, 1)], [("b", 2, 1), ("a", 3, 2), ("b", 1, 0)])):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{src}{n}")
+        stream = spark.readStream.schema(schema).parquet(f"{src}{n}")
+        upsert_stream(stream, base, str(tmp_path / f"c{n}"), "modified").awaitTermination()
+    got = landing.read_published(spark, base, "mirror").collect()
+    assert sorted(tuple(r) for r in got) == [("a", 3, 2), ("b", 2, 1)]
+    for n in (0, 1, 1):
+        stream = spark.readStream.schema(schema).parquet(f"{src}{n}")
+        append_stream(stream, str(tmp_path / "log"), str(tmp_path / f"d{n}{len(str(got))}")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_late_repeats_are_dropped(spark, tmp_path):
+    from touchgrid.streaming.landing import fresh_rows
+
+    rows = [("a", "2024-01-01 10:00:00"), ("a", "2024-01-01 11:00:00"), ("b", "2024-01-02 10:00:00")]
+    src = str(tmp_path / "s")
+    spark.createDataFrame(rows, "id string, t string").selectExpr("id", "cast(t as timestamp) ts").write.parquet(src)
+    stream = spark.readStream.schema("id string, ts timestamp").parquet(src)
+    q = fresh_rows(stream, "ts").writeStream.format("memory").queryName("fresh").option("checkpointLocation", str(tmp_path / "k"))
+    q.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.id for r in spark.table("fresh").collect()) == ["a", "b"]

@@ -373,7 +373,8 @@ FROM {orders}
 VIEWS["text_cases"] = """
 SELECT CAST(o_orderkey AS STRING) AS id,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'EXT: Automatic Reply: away ' WHEN '2-HIGH' THEN '[Mailer] [<<] Re: FWD:  '
-            WHEN '3-MEDIUM' THEN 'R.e. ' WHEN '4-NOT SPECIFIED' THEN 'external : Undeliverable: '
+            WHEN '3-MEDIUM' THEN CASE WHEN o_custkey % 2 = 0 THEN 'R.e. '
+                 ELSE '[Tool]' || chr(160) || '[Email]' || chr(160) || 'Re:' || chr(160) || 'Re:' || chr(160) END WHEN '4-NOT SPECIFIED' THEN 'external : Undeliverable: '
             ELSE '[Sync] Declined:   ' END || 'Order  ' || CAST(o_orderkey AS STRING) AS subject,
        CASE o_orderstatus
             WHEN 'F' THEN 'This is the first time you''re receiving an email from this person. '
@@ -395,9 +396,6 @@ def refs(text: str) -> list[str]:
     return list(dict.fromkeys(_REF.findall(text)))
 
 
-_STAGED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
 class Domain:
     """Lazy access to the base tables and the derived views of one data folder."""
 
@@ -405,8 +403,8 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
         self._seen: dict[str, DataFrame] = {}
-        # staged results (written once, read by every query of the session)
-        self.memo = _STAGED.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+        # staged results, written once for the steps of one query
+        self.memo: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._seen:

@@ -10,32 +10,36 @@ from touchgrid.catalog.domain import INTERNAL_DOMAINS, SYNC_TOOLS
 from touchgrid.catalog.identities import DOMAIN_OF, ID_VIEWS, INTERNAL, emails_sql, id_order_sql, sql_list
 from touchgrid.catalog.registry import query
 from touchgrid.functions import text
+from touchgrid.functions.text import SPACE_CHARS
 from touchgrid.operators import emails as em
+from touchgrid.operators.components import connected_components
 from touchgrid.operators.keyed import gap_groups, id_order
 from touchgrid.plans import model
 from touchgrid.session import cut_lineage
 
-CALL_GAP = 6 * 3600
+CALL_GAP = vocab.CALL_GROUP_GAP_SECONDS
 
 # ---- SQL forms of the text rules -------------------------------------------------
-TOOL = r"^(?:\[[^\]]{1,40}\]\s*)+"
-REPLY = r"(?i)^(?:(?:(?:re|aw|fw|fwd|sv|vs|wg|antw|tr|rv)\s*:|r\.e\.:?)\s*)+"
+WIDE = "[\\s" + SPACE_CHARS + "]"
+TOOL, REPLY, EXTERNAL = (
+    p.replace("\\s", WIDE) for p in (vocab.TOOL_PREFIX_PATTERN, vocab.REPLY_PREFIX_PATTERN, vocab.EXTERNAL_TAG_PATTERN)
+)
 
 
 def strip_tool_sql(c):
-    return f"regexp_replace(trim(coalesce({c}, '')), '{TOOL}', '')"
+    return f"regexp_replace(trim(coalesce({c}, ''), '{SPACE_CHARS}'), '{TOOL}', '')"
 
 
 def strip_reply_sql(c):
-    return f"trim(regexp_replace(trim({c}), '{REPLY}', ''))"
+    return f"trim(regexp_replace(trim({c}, '{SPACE_CHARS}'), '{REPLY}', ''), '{SPACE_CHARS}')"
 
 
 def norm_subject_sql(c):
-    return f"lower(trim(regexp_replace({strip_reply_sql(strip_tool_sql(c))}, '\\s+', ' ', 'g')))"
+    return f"lower(trim(regexp_replace({strip_reply_sql(strip_tool_sql(c))}, '{WIDE}+', ' ', 'g')))"
 
 
 def class_subject_sql(c):
-    return f"ltrim(lower(regexp_replace({strip_tool_sql(c)}, '(?i)^(?:ext|external)\\s*:\\s*', '')))"
+    return f"ltrim(lower(regexp_replace({strip_tool_sql(c)}, '{EXTERNAL}', '')), '{SPACE_CHARS}')"
 
 
 def body_sql(c):
@@ -98,11 +102,11 @@ MODEL_VIEWS = {
     "cfirst": f"""SELECT cluster_id,
         arg_min(p.address, seq * 1000 + pos) FILTER (WHERE {DOMAIN_OF.format('p.address')} NOT IN ({INTERNAL})) AS ext,
         arg_min(a.ca_id, seq * 1000 + pos) FILTER (WHERE a.ca_id IS NOT NULL) AS own
-        FROM {{cpeople}} p LEFT JOIN {{addresses}} a ON a.address = p.address GROUP BY 1""",
+        FROM {{cpeople}} p LEFT JOIN {{all_addr}} a ON a.address = p.address GROUP BY 1""",
     "judged": """SELECT can.*, f.dup_count, f.logged_by, f.all_tool, f.inv, f.noi, x.ext, x.own, s.ca_id AS sender_ca,
         can.sender IS NOT NULL AND can.direction = 'outbound' AS o, can.sender IS NOT NULL AND can.direction = 'inbound' AS i
         FROM {can} can JOIN {cfacts} f ON f.cluster_id = can.cluster_id LEFT JOIN {cfirst} x ON x.cluster_id = can.cluster_id
-        LEFT JOIN {addresses} s ON s.address = can.sender""",
+        LEFT JOIN {all_addr} s ON s.address = can.sender""",
     "judged2": """SELECT *, CASE WHEN o THEN sender_ca WHEN i THEN own END AS ca_id,
         CASE WHEN sender IS NULL THEN 'no_sender' WHEN inv THEN 'invite_email'
              WHEN o AND sender_ca IS NULL THEN 'non_ca_sender' WHEN o AND ext IS NULL THEN 'internal_only_recipients'
@@ -147,7 +151,7 @@ MODEL_VIEWS = {
         UNION ALL SELECT id, 'solo:' || id FROM {raw_calls} WHERE contact_id IS NULL OR start_date IS NULL""",
     "call_mail": f"""SELECT c.*, u.ca_id, CASE WHEN m.external_contact_id IS NOT NULL THEN m.email
           ELSE ({emails_sql('c.contact_email')})[1] END AS mail
-        FROM {{raw_calls}} c LEFT JOIN {{user_match}} u ON u.user_id = c.user_id
+        FROM {{raw_calls}} c LEFT JOIN {{all_user}} u ON u.user_id = c.user_id
         LEFT JOIN {{ext_map}} m ON m.external_contact_id = c.contact_id""",
     "call_fact": """SELECT 'call:' || c.id AS activity_id, 'dialer' AS source, 'call' AS channel, 'outbound' AS direction, c.ca_id,
         w.contact_id, w.resolved_company_id AS company_id, c.mail AS contact_email, c.ca_id IS NOT NULL AS counts,
@@ -159,7 +163,7 @@ MODEL_VIEWS = {
           ELSE ({emails_sql('t.contact_email')})[1] END AS mail,
           CASE t.type WHEN 'email' THEN 'email_task' WHEN 'phone_call' THEN 'call_task' WHEN 'linkedin_visit' THEN 'li_other'
                WHEN 'linkedin_connect' THEN 'li_connect' ELSE 'other' END AS channel
-        FROM {{raw_tasks}} t LEFT JOIN {{user_match}} u ON u.user_id = t.user_id
+        FROM {{raw_tasks}} t LEFT JOIN {{all_user}} u ON u.user_id = t.user_id
         LEFT JOIN {{ext_map}} m ON m.external_contact_id = t.contact_id""",
     "task_fact": """SELECT 'task:' || id AS activity_id, 'dialer' AS source, channel, 'outbound' AS direction, ca_id, w.contact_id,
         w.resolved_company_id AS company_id, mail AS contact_email,
@@ -201,7 +205,7 @@ def clusters(t):
 
 def email_fact(t):
     return model.build_emails(
-        t["raw_emails"], ids.links(t).addresses, ids.contacts_cw(t), INTERNAL_DOMAINS, SYNC_TOOLS,
+        t["raw_emails"], ids.all_addresses(t), ids.contacts_cw(t), INTERNAL_DOMAINS, SYNC_TOOLS,
         staged(t), clusters(t),
     )
 
@@ -211,11 +215,11 @@ def meeting_fact(t):
 
 
 def call_fact(t):
-    return model.build_calls(t["raw_calls"], ids.links(t).users, ids.external_map(t), ids.contacts_cw(t), CALL_GAP)
+    return model.build_calls(t["raw_calls"], ids.all_users(t), ids.external_map(t), ids.contacts_cw(t), CALL_GAP)
 
 
 def task_fact(t):
-    return model.build_tasks(t["raw_tasks"], ids.links(t).users, ids.external_map(t), ids.contacts_cw(t))
+    return model.build_tasks(t["raw_tasks"], ids.all_users(t), ids.external_map(t), ids.contacts_cw(t))
 
 
 def fact(t):
@@ -298,9 +302,13 @@ def _(t):
                              "recipients", "external_recipients")
 
 
-@query("email_merge_links", "D2")
+@query("email_merge_links", "D2", "SELECT id, cluster_id AS component FROM {clusters}", MODEL_VIEWS)
 def _(t):
-    return em.merge_links(staged(t))
+    rows = staged(t)
+    found = connected_components(em.merge_links(rows)).withColumnRenamed("node", "rid")
+    named = rows.select("id", "rid").join(found, "rid", "left").select("id", F.coalesce("component", "rid").alias("c"))
+    least = named.groupBy("c").agg(F.min("id").alias("component"))
+    return named.join(least, "c").select("id", "component")
 
 
 @query("email_clusters", "D2 D3", "SELECT id, cluster_id FROM {clusters}", MODEL_VIEWS)

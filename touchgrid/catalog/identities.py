@@ -91,6 +91,13 @@ ID_VIEWS = {
           UNION ALL SELECT address, ca_id, 'user_mailbox', 1 FROM {{boxes}} WHERE ca_id IS NOT NULL AND linkable
           UNION ALL SELECT address, ca_id, CASE WHEN is_own THEN 'observed_sender' ELSE 'observed_sender_departed' END, 2
             FROM {{seen}} WHERE ca_id IS NOT NULL AND linkable AND (is_own OR NOT is_active))) WHERE rn = 1""",
+    "all_addr": """SELECT address, ca_id, source FROM {addresses}
+        UNION ALL SELECT address, ca_id, 'retained_departed' FROM {prior_address}
+        WHERE ca_id IN (SELECT ca_id FROM {roster_all} WHERE NOT is_active)
+          AND address NOT IN (SELECT address FROM {addresses})""",
+    "all_user": """SELECT user_id, ca_id FROM {user_match} UNION ALL SELECT user_id, ca_id FROM {prior_user}
+        WHERE ca_id IN (SELECT ca_id FROM {roster_all} WHERE NOT is_active)
+          AND user_id NOT IN (SELECT user_id FROM {user_match})""",
     "parked_rows": """SELECT address AS key, 0 AS rank,
           CASE WHEN ca_id IS NULL THEN 'mailbox of a matched user, no rep has this local part'
                ELSE 'mailbox of a matched user, domain cannot be linked' END AS detail
@@ -206,19 +213,12 @@ def _(t):
     return roster_all(t)
 
 
-@query("retained_addresses", "C4", """
-SELECT address, ca_id, source FROM {addresses}
-UNION ALL SELECT address, ca_id, 'retained_departed' FROM {prior_address}
-WHERE ca_id IN (SELECT ca_id FROM {roster_all} WHERE NOT is_active)
-  AND address NOT IN (SELECT address FROM {addresses})""", ID_VIEWS)
+@query("retained_addresses", "C4", "SELECT address, ca_id, source FROM {all_addr}", ID_VIEWS)
 def _(t):
     return all_addresses(t)
 
 
-@query("retained_users", "C4", """
-SELECT user_id, ca_id FROM {user_match} UNION ALL SELECT user_id, ca_id FROM {prior_user}
-WHERE ca_id IN (SELECT ca_id FROM {roster_all} WHERE NOT is_active)
-  AND user_id NOT IN (SELECT user_id FROM {user_match})""", ID_VIEWS)
+@query("retained_users", "C4", "SELECT user_id, ca_id FROM {all_user}", ID_VIEWS)
 def _(t):
     return all_users(t)
 

@@ -19,7 +19,8 @@ SELECT CAST(doc_id AS STRING) AS activity_id, source AS ca_name, lang IN ('de',
 FROM {documents}
 """
 TRUTH_SQL = """SELECT CAST(doc_id AS STRING) AS activity_id,
-  CASE WHEN quality = 1 THEN 'Personalized' ELSE 'Templated' END AS label FROM {labels}"""
+  CASE WHEN quality = 1 THEN 'Personalized' ELSE 'Templated' END AS label,
+  CAST(1 + doc_id % 20 AS INT) AS fam_sim FROM {labels}"""
 
 
 def sh_sql(w: str, k: int = 4) -> str:
@@ -290,7 +291,7 @@ SELECT count(*) AS n, count(*) FILTER (WHERE pred = 'Templated' AND label = 'Tem
   count(*) FILTER (WHERE pred = 'Templated' AND label = 'Personalized') AS fp,
   count(*) FILTER (WHERE pred = 'Personalized' AND label = 'Templated') AS fn,
   count(*) FILTER (WHERE pred = 'Templated' AND label = 'Personalized') AS hard_bespoke,
-  count(*) FILTER (WHERE pred = 'Personalized' AND label = 'Templated' AND fam_size >= 10) AS hard_blast,
+  count(*) FILTER (WHERE pred = 'Personalized' AND label = 'Templated' AND fam_sim >= 10) AS hard_blast,
   CAST(round(100.0 * count(*) FILTER (WHERE pred = label) / count(*), 2) AS DOUBLE) AS accuracy
 FROM {truth} t LEFT JOIN {labelled} l ON l.activity_id = t.activity_id""", T_VIEWS)
 def _(t):
@@ -298,7 +299,7 @@ def _(t):
 
 
 @query("label_disagreements", "I18", """
-SELECT t.activity_id, t.label, l.ca_name, l.pred, l.fam_size FROM {truth} t LEFT JOIN {labelled} l ON l.activity_id = t.activity_id
+SELECT t.activity_id, t.label, t.fam_sim, l.ca_name, l.pred, l.fam_size FROM {truth} t LEFT JOIN {labelled} l ON l.activity_id = t.activity_id
 WHERE l.pred IS DISTINCT FROM t.label""", T_VIEWS)
 def _(t):
     return reuse.disagreements(labelled(t), truth(t))

@@ -26,6 +26,11 @@ SPACE_CHARS = (
 SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+def wide(pattern: str) -> str:
+    """The pattern with its white-space class widened to every character in SPACE_CHARS."""
+    return pattern.replace(r"\s", SPACE)
+
+
 def strip(c: Column | str) -> Column:
     """Trim every kind of white space, not only blanks."""
     return F.trim(_col(c), F.lit(SPACE_CHARS))
@@ -106,11 +111,11 @@ def display_name(first: Column | str, last: Column | str) -> Column:
 
 # ------------------------------------------------------------------- subjects
 def strip_tool_prefixes(c: Column | str) -> Column:
-    return F.regexp_replace(strip(F.coalesce(_col(c), F.lit(""))), vocab.TOOL_PREFIX_PATTERN, "")
+    return F.regexp_replace(strip(F.coalesce(_col(c), F.lit(""))), wide(vocab.TOOL_PREFIX_PATTERN), "")
 
 
 def strip_reply_prefixes(c: Column | str) -> Column:
-    return strip(F.regexp_replace(strip(F.coalesce(_col(c), F.lit(""))), vocab.REPLY_PREFIX_PATTERN, ""))
+    return strip(F.regexp_replace(strip(F.coalesce(_col(c), F.lit(""))), wide(vocab.REPLY_PREFIX_PATTERN), ""))
 
 
 def norm_subject(c: Column | str) -> Column:
@@ -120,7 +125,7 @@ def norm_subject(c: Column | str) -> Column:
 
 def classification_subject(c: Column | str) -> Column:
     """Tool tags and one external-mail tag removed; reply markers stay."""
-    s = F.regexp_replace(strip_tool_prefixes(c), vocab.EXTERNAL_TAG_PATTERN, "")
+    s = F.regexp_replace(strip_tool_prefixes(c), wide(vocab.EXTERNAL_TAG_PATTERN), "")
     return F.ltrim(F.lower(s), F.lit(SPACE_CHARS))
 
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from touchgrid.session import cut_lineage
 
-MAX_ROUNDS = 60
-
 
 def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
     """One star pass over edges (a, b) with a > b.
@@ -53,12 +51,8 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
         .distinct()
     )
     cur = cut_lineage(cur)
-    for _ in range(MAX_ROUNDS):
+    while not _settled(cur):
         cur = cut_lineage(_star(_star(cur, smaller_only=False), smaller_only=True))
-        if _settled(cur):
-            break
-    else:
-        raise RuntimeError("connected components did not settle")
     roots = cur.select(F.col("b").alias("node")).distinct()
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

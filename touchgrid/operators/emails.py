@@ -11,12 +11,12 @@ Plan:
    key, which keeps the connectivity of the full pair set at a linear number of links.
 2. Connected components of the links. Where all copies of a component share a
    recipient, the guard can never refuse, so the component is the cluster.
-3. Only the remaining components are replayed in order, streaming through a window.
+3. In the remaining components Spark joins the mergeable pairs, and only the guard, which
+   depends on their order, folds over the sorted pairs.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -60,8 +60,8 @@ def prep_emails(emails: DataFrame, internal_domains: Sequence[str]) -> DataFrame
 
 
 def stage_emails(emails: DataFrame, internal_domains: Sequence[str]) -> DataFrame:
-    """Prepared rows written once; the steps below read them several times."""
-    return cut_lineage(prep_emails(emails, internal_domains))
+    """Prepared rows written once and numbered (`rid`); the steps below read them several times."""
+    return cut_lineage(prep_emails(emails, internal_domains).withColumn("rid", F.monotonically_increasing_id()))
 
 
 def overlap_set(direction: Column, external: Column, everyone: Column) -> Column:
@@ -89,16 +89,16 @@ def mergeable(a: str, b: str, window: int = vocab.DEDUP_WINDOW_SECONDS) -> Colum
 
 # ---------------------------------------------------------------------- links
 def _keyed_rows(prepped: DataFrame) -> DataFrame:
-    """(key, hub, flagged, id, us, sender, direction): one row per copy and shared key.
+    """(key, hub, flagged, rid, us, sender, direction): one row per copy and shared key.
 
     Two rows of a key are mergeable when at least one is a hub and not both are flagged.
     """
     base = prepped.where(F.col("ts").isNotNull() & F.col("sender").isNotNull()).select(
-        "id", micros("ts").alias("us"), "sender", "direction", "is_invite", "subject_norm", "body_norm",
+        "rid", micros("ts").alias("us"), "sender", "direction", "is_invite", "subject_norm", "body_norm",
         overlap_set(F.col("direction"), F.col("external_recipients"), F.col("recipients")).alias("who"),
     )
     invites = base.where(F.col("is_invite") & (F.col("subject_norm") != "")).select(
-        "id", "us", "sender", "direction", F.struct(
+        "rid", "us", "sender", "direction", F.struct(
             F.lit("invite").alias("kind"), F.lit("").alias("who"), F.col("subject_norm").alias("text")
         ).alias("key"), F.lit(True).alias("hub"), F.lit(False).alias("flagged"),
     )
@@ -107,7 +107,7 @@ def _keyed_rows(prepped: DataFrame) -> DataFrame:
 
     def rows(df: DataFrame, kind: str, text: str, hub: Column) -> DataFrame:
         key = F.struct(F.lit(kind).alias("kind"), F.col("r").alias("who"), F.col(text).alias("text"))
-        return df.select("id", "us", "sender", "direction", key.alias("key"), hub.alias("hub"),
+        return df.select("rid", "us", "sender", "direction", key.alias("key"), hub.alias("hub"),
                          F.col("is_invite").alias("flagged"))
 
     same_body = rows(each.where(has_body), "body", "body_norm", F.lit(True))
@@ -136,24 +136,25 @@ def _keyed_rows(prepped: DataFrame) -> DataFrame:
 def merge_links(
     prepped: DataFrame, window: int = vocab.DEDUP_WINDOW_SECONDS, chunk_seconds: int = LINK_CHUNK_SECONDS
 ) -> DataFrame:
-    """(a, b) links between copies; same connectivity as all mergeable pairs.
+    """(a, b) links between copies, by row number; same connectivity as all mergeable pairs.
 
-    Keys travel as two 64-bit hashes. A key's rows are cut into time chunks (rows in a chunk's last `window` seconds are
-    also shown to the next chunk), so one busy sender spreads over many tasks.
+    Keys travel as two 64-bit hashes. A key's rows are cut into time chunks no shorter than
+    the window (rows in a chunk's last `window` seconds are also shown to the next chunk), so
+    one busy sender spreads over many tasks.
     """
-    span, reach = chunk_seconds * 1_000_000, window * 1_000_000
+    span, reach = max(chunk_seconds, window) * 1_000_000, window * 1_000_000
     chunk = F.floor(F.col("us") / span).cast("long")
     late = F.col("us") - chunk * span >= span - reach
     full_key = ("sender", "direction", "key")
     rows = _keyed_rows(prepped).select(
-        "id", "us", "hub", "flagged",
+        "rid", "us", "hub", "flagged",
         F.xxhash64(F.lit(1), *full_key).alias("k1"), F.xxhash64(F.lit(2), *full_key).alias("k2"),
         F.explode(F.when(late, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))).alias("chunk"),
     )
     part = Window.partitionBy("k1", "k2", "chunk")
-    ahead = part.orderBy(F.asc("us"), F.asc("id")).rowsBetween(Window.unboundedPreceding, -1)
-    back = part.orderBy(F.desc("us"), F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
-    me = F.struct("id", "us")
+    ahead = part.orderBy(F.asc("us"), F.asc("rid")).rowsBetween(Window.unboundedPreceding, -1)
+    back = part.orderBy(F.desc("us"), F.desc("rid")).rowsBetween(Window.unboundedPreceding, -1)
+    me = F.struct("rid", "us")
     kinds = {
         "a0": F.col("hub") & ~F.col("flagged"),
         "a1": F.col("hub") & F.col("flagged"),
@@ -169,85 +170,73 @@ def merge_links(
         .otherwise(F.array("p_a0", "n_a0"))
     )
     return (
-        rows.select("id", "us", F.explode(targets).alias("t"))
+        rows.select("rid", "us", F.explode(targets).alias("t"))
         .where(F.abs(F.col("t.us") - F.col("us")) <= reach)
-        .select(F.least("id", F.col("t.id")).alias("a"), F.greatest("id", F.col("t.id")).alias("b"))
+        .select(F.least("rid", F.col("t.rid")).alias("a"), F.greatest("rid", F.col("t.rid")).alias("b"))
         .where("a < b")
         .distinct()
     )
 
 
 # ------------------------------------------------------------------- clusters
-def _replay(window_us: int):
-    """Ordered merge with the recipient guard; yields the links that were accepted.
+def ordered_pairs(members: DataFrame, window: int) -> DataFrame:
+    """(component, left, right, free, ...) of mergeable pairs inside the given components.
 
-    Rows arrive sorted by component, time and id. Only rows still inside the window of
-    the oldest unprocessed row are held.
+    `left`/`right` are row numbers, `free` marks invite pairs, which need no shared recipient.
+    Each row looks for partners in its own time bucket and the next one.
     """
+    rows = members.select("component", "rid", "place", F.struct(*_PAIR_FIELDS).alias("row"))
+    span = window * 1_000_000 + 1
+    bucket = F.floor(micros("row.ts") / span)
+    early = rows.withColumn("b", F.explode(F.array(bucket, bucket + 1)))
+    later = rows.select("component", bucket.alias("b"), F.col("place").alias("place2"), F.col("rid").alias("right"),
+                        F.col("row").alias("row2"))
+    met = early.join(later, ["component", "b"]).where(F.col("place") < F.col("place2"))
+    return met.where(mergeable("row", "row2", window)).select(
+        "component", "place", "place2", F.col("rid").alias("left"), "right",
+        (F.col("row.is_invite") & F.col("row2.is_invite")).alias("free"), F.col("row.who").alias("who"), F.col("row2.who").alias("who2"),
+    )
+
+
+_PAIR_FIELDS = (
+    "ts", "sender", "direction", "is_invite", "subject_norm", "body_norm", "external_recipients", "recipients", "who",
+)
+
 
-    def pair_ok(a, b) -> bool:
-        if a["is_invite"] and b["is_invite"]:
-            return bool(a["subject_norm"]) and a["subject_norm"] == b["subject_norm"]
-        if a["who"].isdisjoint(b["who"]):
-            return False
-        x, y = a["body_norm"], b["body_norm"]
-        if x is None or y is None:
-            return a["subject_norm"] == b["subject_norm"]
-        if x == y:
-            return True
-        short, long_ = sorted((x, y), key=len)
-        return len(short) >= vocab.BODY_PREFIX_MATCH_MIN and long_.startswith(short)
-
-    def root(c):
-        while c["up"] is not None:
-            c = c["up"]
-        return c
-
-    def settle(held: deque):
-        """Compare the oldest held row with every later one in its window, then let it go."""
-        first = held.popleft()
-        for other in held:
-            if other["us"] - first["us"] > window_us:
-                break
-            if not pair_ok(first, other):
-                continue
-            left, right = root(first["cluster"]), root(other["cluster"])
-            if left is right:
-                continue
-            if first["is_invite"] and other["is_invite"]:
-                common = left["shared"] | right["shared"]
-            else:
-                common = left["shared"] & right["shared"]
-                if not common:
-                    continue
-            right["up"], left["shared"] = left, common
-            yield first["id"], other["id"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: deque = deque()
-        current = None
-        for batch in batches:
-            links = []
-            for r in batch.itertuples(index=False):
-                if r.component != current:
-                    while held:
-                        links.extend(settle(held))
-                    current = r.component
-                while held and r.us - held[0]["us"] > window_us:
-                    links.extend(settle(held))
-                who = set(r.who)
-                held.append({
-                    "id": r.id, "us": r.us, "is_invite": r.is_invite, "subject_norm": r.subject_norm,
-                    "body_norm": None if pd.isna(r.body_norm) else r.body_norm, "who": who,
-                    "cluster": {"up": None, "shared": set(who)},
-                })
-            yield pd.DataFrame(links, columns=["a", "b"])
-        links = []
-        while held:
-            links.extend(settle(held))
-        yield pd.DataFrame(links, columns=["a", "b"])
-
-    return run
+def _fold_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs sorted by component and order -> (rid, top): the group each paired row ends in.
+
+    A group is the list of its rows and the recipients all of them have; a pair joins two
+    groups only if recipients remain. One component's groups are held at a time.
+    """
+    group_of: dict[int, int] = {}
+    rows_of: dict[int, list[int]] = {}
+    people_of: dict[int, set[str]] = {}
+
+    def done() -> pd.DataFrame:
+        tops = {g: min(rows) for g, rows in rows_of.items()}
+        out = pd.DataFrame([(rid, tops[g]) for rid, g in group_of.items()], columns=["rid", "top"])
+        for held in (group_of, rows_of, people_of):
+            held.clear()
+        return out
+
+    component = None
+    for batch in batches:
+        for pair in batch.itertuples(index=False):
+            if pair.component != component:
+                yield done()
+                component = pair.component
+            for rid, who in ((pair.left, pair.who), (pair.right, pair.who2)):
+                if rid not in group_of:
+                    group_of[rid], rows_of[rid], people_of[rid] = rid, [rid], set(who)
+            keep, gone = sorted((group_of[pair.left], group_of[pair.right]), key=lambda g: (-len(rows_of[g]), g))
+            people = people_of[keep].union(people_of[gone]) if pair.free else people_of[keep].intersection(people_of[gone])
+            if keep != gone and (people or pair.free):
+                people_of[keep] = people
+                for rid in rows_of.pop(gone):
+                    group_of[rid] = keep
+                    rows_of[keep].append(rid)
+    yield done()
 
 
 def cluster_emails(prepped: DataFrame, window: int = vocab.DEDUP_WINDOW_SECONDS) -> DataFrame:
@@ -255,14 +244,15 @@ def cluster_emails(prepped: DataFrame, window: int = vocab.DEDUP_WINDOW_SECONDS)
 
     Pass staged rows (`stage_emails`): they are read once per kind of key.
     """
-    comps = cut_lineage(connected_components(merge_links(prepped, window)))
+    links = merge_links(prepped, window)
+    comps = cut_lineage(connected_components(links).withColumnRenamed("node", "rid"))
     who = overlap_set(F.col("direction"), F.col("external_recipients"), F.col("recipients"))
-    members = prepped.join(comps.withColumnRenamed("node", "id"), "id")
+    members = prepped.join(comps, "rid").withColumn("who", who)
 
     # a component is settled when some recipient is on every one of its rows
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     widest = (
-        members.select("component", F.explode(who).alias("r"))
+        members.select("component", F.explode("who").alias("r"))
         .groupBy("component", "r")
         .agg(F.count(F.lit(1)).alias("k"))
         .groupBy("component")
@@ -274,27 +264,18 @@ def cluster_emails(prepped: DataFrame, window: int = vocab.DEDUP_WINDOW_SECONDS)
         .select("component")
     )
     open_ = cut_lineage(open_)
-    if open_.isEmpty():
-        clustered = comps.select(F.col("node").alias("id"), F.col("component").alias("cluster_id"))
-    else:
-        settled = comps.join(open_, "component", "left_anti").select(
-            F.col("node").alias("id"), F.col("component").alias("cluster_id")
-        )
-        ordered = (
-            members.join(open_, "component", "left_semi")
-            .select("component", "id", micros("ts").alias("us"), "is_invite", "subject_norm", "body_norm",
-                    who.alias("who"))
-            .repartition("component")
-            .sortWithinPartitions("component", "us", id_order("id"))
-        )
-        accepted = ordered.mapInPandas(_replay(window * 1_000_000), "a string, b string")
-        replayed = connected_components(accepted)
-        clustered = settled.unionByName(
-            replayed.select(F.col("node").alias("id"), F.col("component").alias("cluster_id"))
-        )
-    return prepped.select("id").join(clustered, "id", "left").select(
-        "id", F.coalesce("cluster_id", "id").alias("cluster_id")
-    )
+    grouped = comps.select("rid", F.col("component").alias("top"))
+    if not open_.isEmpty():
+        settled = comps.join(open_, "component", "left_anti").select("rid", F.col("component").alias("top"))
+        order = F.struct(micros("ts").alias("us"), id_order("id").alias("by"))
+        inside = members.join(open_, "component", "left_semi").withColumn("place", order)
+        pairs = ordered_pairs(inside, window).repartition("component").sortWithinPartitions("component", "place", "place2")
+        folded = pairs.drop("place", "place2").mapInPandas(_fold_pairs, "rid long, top long")
+        grouped = settled.unionByName(folded)
+    named = prepped.select("id", "rid").join(grouped, "rid", "left").withColumn("top", F.coalesce("top", "rid"))
+    named = named.select("id", "top")
+    least = named.groupBy("top").agg(F.min("id").alias("cluster_id"))
+    return named.join(least, "top").select("id", "cluster_id")
 
 
 # ------------------------------------------------------------- cluster summary

@@ -26,7 +26,6 @@ from touchgrid.operators.components import connected_components
 from touchgrid.session import cut_lineage
 
 SHORT_WORDS = 25
-SMALL_BUCKET = 64
 
 
 def _windows(text: Column | str, k: int, finish) -> Column:
@@ -159,7 +158,8 @@ def cross_pairs(members: DataFrame, least_ratio: float) -> DataFrame:
         *keys, F.col("text_key").alias("xa"), F.col("comp").alias("xc"), F.col("size").alias("xs")
     )
     y = live.select(*keys, F.col("text_key").alias("yb"), F.col("comp").alias("yc"), F.col("size").alias("ys"))
-    near = F.least("xs", "ys") >= F.greatest("xs", "ys") * F.lit(least_ratio)
+    # Sizes are whole numbers, so the slack only undoes the rounding of the product.
+    near = F.least("xs", "ys") + F.lit(1e-6) >= F.greatest("xs", "ys") * F.lit(least_ratio)
     return x.join(y, keys).where((F.col("xc") != F.col("yc")) & near).select(*_ordered(F.col("xa"), F.col("yb"))).distinct()
 
 
@@ -187,7 +187,7 @@ def prefix_tokens(sets: DataFrame, least: float) -> DataFrame:
 
 def family_links(
     sets: DataFrame, threshold: float = vocab.DEFAULT_FAMILY_THRESHOLD, exact: bool = False,
-    length_aware: bool = False, small_bucket: int = SMALL_BUCKET,
+    length_aware: bool = False,
 ) -> DataFrame:
     """Verified links with the connectivity of every candidate pair >= threshold.
 
@@ -207,13 +207,10 @@ def family_links(
         members = prefix_tokens(sets, least).join(texts, "text_key")
         rest = cross_pairs(members.select("token", "text_key", "comp", "size"), least)
     else:
-        sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        placed = bands.join(sizes, "key").join(texts, "text_key")
-        small = cross_pairs(placed.where(F.col("n") <= small_bucket).select("key", "text_key", "comp", "size"), least)
-        big = placed.where(F.col("n") > small_bucket).select("key", "text_key", "comp", "size")
-        rare = prefix_tokens(sets.join(big.select("text_key").distinct(), "text_key", "left_semi"), least)
-        narrowed = cross_pairs(big.join(rare, "text_key").select("key", "token", "text_key", "comp", "size"), least)
-        rest = small.unionByName(narrowed).distinct()
+        shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        placed = bands.join(shared, "key").join(texts, "text_key").select("key", "text_key", "comp", "size")
+        rare = prefix_tokens(sets.join(placed.select("text_key").distinct(), "text_key", "left_semi"), least)
+        rest = cross_pairs(placed.join(rare, "text_key").select("key", "token", "text_key", "comp", "size"), least)
     second = verify(rest, sets, threshold, length_aware).select("a", "b")
     return cut_lineage(first.unionByName(second))
 

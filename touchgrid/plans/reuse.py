@@ -300,7 +300,10 @@ def daily_as_of(labelled: DataFrame, least_size: int = vocab.DEFAULT_FAMILY_SIZE
 
 # ------------------------------------------------------------------ evaluation
 def evaluate(labelled: DataFrame, truth: DataFrame, big_family: int = 10) -> DataFrame:
-    """Agreement with hand labels (truth: activity_id, label)."""
+    """Agreement with hand labels (truth: activity_id, label, fam_sim).
+
+    `fam_sim` is the family size the labelling saw; a missed message of a big one is a hard miss.
+    """
     j = truth.join(labelled.select("activity_id", "pred", "fam_size"), "activity_id", "left")
     pt, tt = F.col("pred") == "Templated", F.col("label") == "Templated"
     pp, tp_ = F.col("pred") == "Personalized", F.col("label") == "Personalized"
@@ -309,7 +312,7 @@ def evaluate(labelled: DataFrame, truth: DataFrame, big_family: int = 10) -> Dat
         F.count_if(pt & tt).alias("tp"), F.count_if(pp & tp_).alias("tn"),
         F.count_if(pt & tp_).alias("fp"), F.count_if(pp & tt).alias("fn"),
         F.count_if(pt & tp_).alias("hard_bespoke"),
-        F.count_if(pp & tt & (F.col("fam_size") >= big_family)).alias("hard_blast"),
+        F.count_if(pp & tt & (F.col("fam_sim") >= big_family)).alias("hard_blast"),
     ).withColumn("accuracy", rate(F.col("tp") + F.col("tn"), F.col("n"), digits=2))
 
 

@@ -47,13 +47,20 @@ def split_warmup(emails: DataFrame, markers: Sequence[str] = vocab.WARMUP_SUBJEC
     return emails.where(~noise), tally
 
 
-def _first_of_batch(batch: DataFrame, key: str) -> DataFrame:
-    return batch.dropDuplicates([key])
+def _first_of_batch(batch: DataFrame, key: str, arrival: str | None) -> DataFrame:
+    order = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    row = F.struct(*[F.col(c) for c in batch.columns])
+    placed = batch.select(F.col(key).alias("_k"), order.alias("_at"), row.alias("_r"))
+    first = placed.groupBy("_k").agg(F.min_by("_r", F.struct("_at", F.xxhash64("_r"))).alias("_r"))
+    return first.select("_r.*")
 
 
-def append_absent(existing: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
-    """Batch rows whose key is not held yet: what an idempotent append writes."""
-    return _first_of_batch(batch, key).join(existing.select(key), key, "left_anti")
+def append_absent(existing: DataFrame, batch: DataFrame, key: str = "id", arrival: str | None = None) -> DataFrame:
+    """Batch rows whose key is not held yet: what an idempotent append writes.
+
+    Of rows with one key the first by `arrival` is taken (by place in the batch if None).
+    """
+    return _first_of_batch(batch, key, arrival).join(existing.select(key), key, "left_anti")
 
 
 def upsert(existing: DataFrame, batch: DataFrame, order: str, key: str = "id") -> DataFrame:
@@ -113,23 +120,35 @@ def run_rollup(runs: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- snapshots
+POINTER = "number long, version string"
+
+
 def publish(spark: SparkSession, base: str, version: str, tables: dict[str, DataFrame]) -> None:
     """Write all tables of one version, then move the pointer: readers see all or nothing."""
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
-    mark = spark.createDataFrame([(version,)], "version string").coalesce(1)
+    latest = _pointer(spark, base)
+    number = 1 + (latest["number"] if latest else 0)
+    mark = spark.createDataFrame([(number, version)], POINTER).coalesce(1)
     mark.write.mode("append").json(f"{base}/_published")
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
+def _pointer(spark: SparkSession, base: str):
+    """The latest publication (number, version), or None."""
     try:
-        return spark.read.schema("version string").json(f"{base}/_published").agg(F.max("version")).first()[0]
+        marks = spark.read.schema(POINTER).json(f"{base}/_published")
+        return marks.orderBy(F.desc("number"), F.desc("version")).first()
     except AnalysisException:
         return None
 
 
+def current_version(spark: SparkSession, base: str) -> str | None:
+    latest = _pointer(spark, base)
+    return latest["version"] if latest else None
+
+
 def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A table of the newest published version (versions sort by name)."""
+    """A table of the version published last."""
     version = current_version(spark, base)
     if version is None:
         raise FileNotFoundError(f"nothing published under {base}")
