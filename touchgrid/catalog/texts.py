@@ -320,8 +320,10 @@ def _(t):
 SELECT CAST(4 AS BIGINT) AS k, CAST(0.45 AS DOUBLE) AS threshold, CAST(s AS BIGINT) AS least_size, count(*) AS n,
   count(*) FILTER (WHERE fam_size >= s) AS templated, count(*) FILTER (WHERE fam_size >= s AND NOT is_reply) AS fresh_templated,
   count(*) FILTER (WHERE fam_size >= s AND label = 'Templated') AS tp, count(*) FILTER (WHERE fam_size < s AND label = 'Personalized') AS tn,
-  count(*) FILTER (WHERE fam_size >= s AND label = 'Personalized') AS fp, count(*) FILTER (WHERE fam_size < s AND label = 'Templated') AS fn
-FROM (SELECT l.*, t.label, unnest([2, 3, 4, 5]) AS s FROM {labelled} l LEFT JOIN {truth} t ON t.activity_id = l.activity_id) GROUP BY s""", T_VIEWS)
+  count(*) FILTER (WHERE fam_size >= s AND label = 'Personalized') AS fp, count(*) FILTER (WHERE fam_size < s AND label = 'Templated') AS fn,
+  count(*) FILTER (WHERE fam_size < s AND label = 'Templated' AND fam_sim >= 10) AS hard_blast,
+  CAST(round(100.0 * count(*) FILTER (WHERE (fam_size >= s) = (label = 'Templated')) / count(label), 2) AS DOUBLE) AS accuracy
+FROM (SELECT l.*, t.label, t.fam_sim, unnest([2, 3, 4, 5]) AS s FROM {labelled} l LEFT JOIN {truth} t ON t.activity_id = l.activity_id) GROUP BY s""", T_VIEWS)
 def _(t):
     return reuse.sweep(corpus(t), truth(t), [(4, 0.45)], [2, 3, 4, 5], exact=True)
 
@@ -331,13 +333,42 @@ def _(t):
     return reuse.sweep(corpus(t), truth(t), [(1, 0.6), (3, 0.45), (5, 0.45)], [3])
 
 
-@query("stratified_sample", "I21")
+@query("normalization_ablation", "I14 I1 I2 I3 I4 I5")
 def _(t):
-    quota = {"singleton_or_pair": 75, "exact_pure_blast": 25, "near_dup_reorder_cta": 40, "dynamic_first_line": 22}
-    return reuse.stratified_sample(reuse.variation(labelled(t)), "vtype", quota).select("activity_id", "vtype")
+    return reuse.normalization_ablation(messages(t), truth(t), "corp.example.com", "corp", exact=True)
 
 
-@query("holdout_sample", "I21")
+QUOTA = {
+    "singleton_or_pair": 75, "exact_pure_blast": 25, "exact_merge_template": 25, "near_dup_reorder_cta": 40, "dynamic_first_line": 22,
+}
+HOLDOUT = {"Templated/2": 4, "Templated/3-9": 18, "Templated/10+": 18, "Personalized/1": 30, "Personalized/2": 8}
+
+
+def quota_sql(rows: str, stratum: str, quota: dict[str, int]) -> str:
+    """The first rows of each stratum by the order of md5(seed:key)."""
+    wanted = "map {" + ", ".join(f"'{k}': {n}" for k, n in quota.items()) + "}"
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY md5('42:' || activity_id), activity_id) AS place
+        FROM {rows}) WHERE place <= {wanted}[{stratum}]"""
+
+
+SAMPLE_VIEWS = {
+    **T_VIEWS,
+    "alone": "SELECT *, 'extra' AS kind FROM {varied} WHERE fam_size < 3",
+    "short_ones": "SELECT * FROM {alone} WHERE core_norm = '' OR len(string_split(core_norm, ' ')) < 15",
+    "replies": "SELECT * FROM {alone} WHERE is_reply",
+    "pool": """SELECT *, pred || '/' || CASE WHEN fam_size <= 1 THEN '1' WHEN fam_size <= 2 THEN '2' WHEN fam_size <= 9 THEN '3-9' ELSE '10+' END AS stratum
+        FROM {labelled} WHERE activity_id NOT IN (SELECT activity_id FROM {truth})""",
+}
+
+
+@query("stratified_sample", "I21", f"""
+SELECT activity_id, vtype FROM ({quota_sql('{varied}', 'vtype', QUOTA)})
+UNION SELECT activity_id, vtype FROM ({quota_sql('{short_ones}', 'kind', {'extra': 15})})
+UNION SELECT activity_id, vtype FROM ({quota_sql('{replies}', 'kind', {'extra': 15})})""", SAMPLE_VIEWS)
+def _(t):
+    return reuse.adjudication_sample(reuse.variation(labelled(t)), QUOTA, 15)
+
+
+@query("holdout_sample", "I21", f"SELECT activity_id, stratum FROM ({quota_sql('{pool}', 'stratum', HOLDOUT)})", SAMPLE_VIEWS)
 def _(t):
-    quota = {"Templated/3-9": 18, "Templated/10+": 18, "Personalized/1": 30, "Personalized/2": 8}
-    return reuse.holdout_sample(labelled(t), truth(t), quota).select("activity_id", "stratum")
+    return reuse.holdout_sample(labelled(t), truth(t), HOLDOUT).select("activity_id", "stratum")

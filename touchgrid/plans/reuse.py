@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from touchgrid import vocab
 from touchgrid.functions.html import html_to_text
-from touchgrid.functions.text import rate, squeeze, strip, word_count
+from touchgrid.functions.text import rate, squeeze, strip, word_count, words
 from touchgrid.operators.keyed import rank_in_key
 from touchgrid.operators.similarity import hashed_shingles, jaccard, nearest_other, text_families, unique_texts
+from touchgrid.session import cut_lineage
 
 STEPS = ("strip_quote", "strip_greeting", "strip_sig", "strip_disclaimer", "neutralize_merge")
 MERGE_TOKEN_PATTERN = r"<(?:fn|ln|acct|title|url|email)>"
@@ -205,7 +206,7 @@ def variation(labelled: DataFrame, least_size: int = vocab.DEFAULT_FAMILY_SIZE)
     )
     return rows.withColumn("vtype", kind).join(drift, "text_key", "left").select(
         "activity_id", "family", "text_key", "fam_size", "fam_exact", "fam_nofirst", "has_merge_tok", "vtype",
-        "drift_vs_rep", "core_norm",
+        "drift_vs_rep", "core_norm", "is_reply",
     )
 
 
@@ -344,9 +345,9 @@ def rep_reuse(labelled: DataFrame) -> DataFrame:
 
 def sweep(
     corpus: DataFrame, truth: DataFrame, grid: Sequence[tuple[int, float]], sizes: Sequence[int],
-    exact: bool = False,
+    exact: bool = False, big_family: int = 10,
 ) -> DataFrame:
-    """Metrics per (shingle length, threshold, family size).
+    """Metrics per (shingle length, threshold, family size); truth: activity_id, label, fam_sim.
 
     Families are built once per (k, threshold); all family sizes share them.
     """
@@ -355,7 +356,7 @@ def sweep(
     for k, threshold in grid:
         fam = text_families(unique, k, threshold, exact)
         rows = label_corpus(corpus, families=fam).select("activity_id", "fam_size", "is_reply")
-        rows = rows.join(truth.select("activity_id", "label"), "activity_id", "left")
+        rows = rows.join(truth.select("activity_id", "label", "fam_sim"), "activity_id", "left")
         many = rows.withColumn("least_size", F.explode(F.array(*[F.lit(s) for s in sizes])))
         t = F.col("fam_size") >= F.col("least_size")
         part = many.groupBy("least_size").agg(
@@ -364,19 +365,37 @@ def sweep(
             F.count_if(~t & (F.col("label") == "Personalized")).alias("tn"),
             F.count_if(t & (F.col("label") == "Personalized")).alias("fp"),
             F.count_if(~t & (F.col("label") == "Templated")).alias("fn"),
+            F.count_if(~t & (F.col("label") == "Templated") & (F.col("fam_sim") >= big_family)).alias("hard_blast"),
         ).select(F.lit(k).alias("k"), F.lit(threshold).alias("threshold"), "*")
+        judged = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+        part = part.withColumn("accuracy", rate(F.col("tp") + F.col("tn"), judged, digits=2))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def normalization_ablation(
+    messages: DataFrame, truth: DataFrame, own_domain: str, own_brand: str, exact: bool = False
+) -> DataFrame:
+    """The sweep's metrics with every normalisation step, and with each one switched off."""
+    out = None
+    for off in (None, *STEPS):
+        rows = normalize_bodies(messages, own_domain, own_brand, [s for s in STEPS if s != off])
+        corpus = cut_lineage(rows.select("activity_id", "ca_name", "core_norm", "is_reply"))
+        part = sweep(
+            corpus, truth, [(vocab.DEFAULT_SHINGLE_WORDS, vocab.DEFAULT_FAMILY_THRESHOLD)], [vocab.DEFAULT_FAMILY_SIZE], exact
+        ).select(F.lit(off or "none").alias("switched_off"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 # --------------------------------------------------------------------- samples
 def stratified_sample(rows: DataFrame, stratum: str, quota: dict[str, int], key: str = "activity_id", seed: int = 42) -> DataFrame:
-    """A fixed number of rows per stratum, chosen by hash order: repeatable, order-free.
+    """A fixed number of rows per stratum, chosen by the order of md5(seed:key): repeatable.
 
     Only rows that can still make the quota leave a partition-level cut: candidates are
     first thinned per (stratum, hash slice), so no stratum is sorted in one task.
     """
-    order = F.xxhash64(F.lit(seed), F.col(key))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     wanted = F.create_map(*[F.lit(x) for kv in quota.items() for x in kv])
     rows = rows.where(F.col(stratum).isin(*quota)).withColumns({"_h": order, "_q": wanted[F.col(stratum)]})
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(64)))
@@ -387,6 +406,19 @@ def stratified_sample(rows: DataFrame, stratum: str, quota: dict[str, int], key:
     return rows.drop("_h", "_q", "_slice", "_rn")
 
 
+def adjudication_sample(varied: DataFrame, quota: dict[str, int], extras: int, short_words: int = 15, seed: int = 42) -> DataFrame:
+    """The rows to label by hand: a quota per type of variation, and two kinds of hard cases.
+
+    The extras are short texts, and replies, outside the families; a row is taken once.
+    """
+    alone = F.col("fam_size") < vocab.DEFAULT_FAMILY_SIZE
+    picks = stratified_sample(varied, "vtype", quota, seed=seed).select("activity_id", "vtype")
+    for kind in (F.size(words("core_norm")) < short_words, F.col("is_reply")):
+        pool = varied.where(kind & alone).withColumn("_kind", F.lit("extra"))
+        picks = picks.unionByName(stratified_sample(pool, "_kind", {"extra": extras}, seed=seed).select("activity_id", "vtype"))
+    return picks.distinct()
+
+
 def holdout_sample(labelled: DataFrame, seen: DataFrame, quota: dict[str, int], seed: int = 42) -> DataFrame:
     """Fresh rows, stratified by prediction and family-size band, none of them seen before."""
     size = F.col("fam_size")
