@@ -102,8 +102,8 @@ def _texts_in(batch):
     return words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), lengths
 
 
-def signatures(texts: DataFrame, n: int, bands: int, rows: int, piece_rows: int = 200) -> DataFrame:
-    """(rep, band, h) of every text (rep, words) with words."""
+def signatures(docs: DataFrame, n: int, bands: int, rows: int, piece_rows: int = 200) -> DataFrame:
+    """(doc_id, k1, k2, n, marks) of documents (doc_id, text): the text's key, its words, its band hashes."""
 
     def run(batches):
         import numpy as np
@@ -113,14 +113,25 @@ def signatures(texts: DataFrame, n: int, bands: int, rows: int, piece_rows: int
             for at in range(0, whole.num_rows, piece_rows):
                 batch = whole.slice(at, piece_rows)
                 hashes, counts = ngram_sets(*_texts_in(batch), n)
-                found = band_hashes(hashes, counts, bands, rows)
+                some = counts > 0
+                marks = np.zeros((len(counts), bands), np.int64)
+                if some.any():
+                    marks[some] = band_hashes(hashes, counts[some], bands, rows).view(np.int64)
+                offsets = pa.array(np.arange(0, marks.size + 1, bands, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column("rep").to_numpy(), bands)),
-                     pa.array(np.tile(np.arange(bands, dtype=np.int32), len(counts))),
-                     pa.array(found.reshape(-1).view(np.int64))], ["rep", "band", "h"],
+                    [*(batch.column(c) for c in ("doc_id", "k1", "k2", "n")),
+                     pa.ListArray.from_arrays(offsets, pa.array(marks.reshape(-1)))], ["doc_id", "k1", "k2", "n", "marks"],
                 )
 
-    return texts.mapInArrow(run, "rep long, band int, h long")
+    return hashed_words(docs).mapInArrow(run, "doc_id long, k1 long, k2 long, n int, marks array<long>")
+
+
+def hashed_words(docs: DataFrame, *kept: str) -> DataFrame:
+    """(doc_id, k1, k2, n, words, *kept): the hashes of a text's words, their number, and a 128-bit key."""
+    words = docs.where("doc_id IS NOT NULL").select("doc_id", ascii_words(F.col("text")).alias("ws"), *kept)
+    words = words.select("doc_id", F.size("ws").alias("n"), F.transform("ws", lambda w: F.xxhash64(w)).alias("words"), *kept)
+    key = F.xxhash64("words").alias("k1"), F.xxhash64(F.lit("second"), "words").alias("k2")
+    return words.select("doc_id", *key, "n", "words", *kept)
 
 
 def _compare(met: DataFrame, n: int, similarity: float) -> DataFrame:
@@ -179,13 +190,10 @@ def similar_documents(
 ) -> DataFrame:
     """(doc_id, class_id, n_links) of every document (doc_id, text)."""
     bands, rows = bands_and_rows(similarity, recall)
-    words = docs.where("doc_id IS NOT NULL").select("doc_id", ascii_words(F.col("text")).alias("ws"))
-    words = words.select(
-        "doc_id", F.size("ws").alias("n"), F.transform("ws", lambda w: F.xxhash64(w)).alias("words"),
-    ).select("doc_id", "n", "words", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit("second"), "words").alias("k2"))
-    keyed = words.select("doc_id", "n", "k1", "k2")
+    docs = docs.select("doc_id", "text")
+    signed = cut_lineage(signatures(docs, n, bands, rows))
     # One text for each doc_id, then the copies of each text.
-    member = keyed.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "n")).alias("k")).select("doc_id", "k.*")
+    member = signed.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "n")).alias("k")).select("doc_id", "k.*")
     copies = member.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     member = cut_lineage(
         member.join(copies, ["k1", "k2"], "left").select(
@@ -194,19 +202,21 @@ def similar_documents(
             F.when(F.col("n") > 0, F.col("copies")).otherwise(1).alias("copies"),
         )
     )
-    reps = member.where("n > 0 AND doc_id = rep").select(F.col("rep"), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "copies")
-    texts = words.join(reps, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")))
-    texts = texts.dropDuplicates(["rep"]).select("rep", "copies", "words")
-
-    marks = signatures(texts.select("rep", "words"), n, bands, rows)
-    marks = cut_lineage(marks)
+    reps = member.where("n > 0 AND doc_id = rep").select("rep", F.col("k1").alias("r1"), F.col("k2").alias("r2"), "copies")
+    own = (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))
+    marks = signed.join(reps, own).select("rep", F.posexplode("marks").alias("band", "h"))
     least = marks.groupBy("band", "h").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
     chains = connected_components(marks.join(least, ["band", "h"]).select("rep", "first").distinct(), "rep", "first")
 
     members = chains.select(F.col("node").alias("rep"), F.col("component").alias("chain"))
     sizes = members.groupBy("chain").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("blocks"))
     placed = members.join(sizes, "chain").withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.col("blocks")).cast("int"))
-    met = placed.join(texts, "rep").select(
+    # Only here whole texts move, and only the members of a chain get past the join.
+    wanted = placed.join(reps, "rep")
+    found = docs.join(wanted, F.col("doc_id") == F.col("rep"))
+    found = hashed_words(found, "chain", "block", "blocks", "rep", "copies", "r1", "r2")
+    texts = found.where("k1 = r1 AND k2 = r2").dropDuplicates(["rep"])
+    met = texts.select(
         "chain", "block", "rep", "copies", "words", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select(
         "chain", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
