@@ -119,7 +119,7 @@ MODEL_VIEWS = {
         w.resolved_company_id AS company_id, CASE WHEN o THEN ext WHEN i THEN sender END AS contact_email,
         reason IS NULL AS counts, reason AS excluded_reason, dup_count, array_to_string(logged_by, '|') AS logged_by,
         CASE WHEN o AND NOT inv THEN all_tool END AS is_automated, subject_norm, strftime(ts, '%Y-%m-%d %H:%M:%S') AS occurred_at,
-        CAST(NULL AS STRING) AS outcome, CAST(NULL AS STRING) AS call_group_id, CAST(NULL AS BOOLEAN) AS is_conversation
+        CAST(NULL AS STRING) AS outcome, CAST(NULL AS STRING) AS call_group_id, CAST(NULL AS BOOLEAN) AS is_conversation, j.activity_date
         FROM {judged2} j LEFT JOIN {contact_cw} w ON w.email = CASE WHEN o THEN ext WHEN i THEN sender END""",
     "mgroup": """SELECT *, CASE WHEN title IS NULL OR start_time IS NULL THEN id END AS solo FROM {raw_meetings}""",
     "mcan": f"""SELECT * FROM (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY title, start_time, owner_id, solo) AS dup_count
@@ -136,7 +136,7 @@ MODEL_VIEWS = {
         r.ca_ids[1] AS ca_id, array_to_string(r.ca_ids, '|') AS ca_ids, r.ca_ids IS NOT NULL AS counts,
         CASE WHEN r.ca_ids IS NULL THEN 'non_ca_meeting' END AS excluded_reason, m.dup_count,
         array_to_string(l.logged_by, '|') AS logged_by, m.outcome,
-        strftime(coalesce(m.start_time, m.hs_timestamp), '%Y-%m-%d %H:%M:%S') AS occurred_at
+        strftime(coalesce(m.start_time, m.hs_timestamp), '%Y-%m-%d %H:%M:%S') AS occurred_at, m.activity_date
         FROM {mcan} m LEFT JOIN {mreps} r ON r.title IS NOT DISTINCT FROM m.title AND r.start_time IS NOT DISTINCT FROM m.start_time
           AND r.owner_id IS NOT DISTINCT FROM m.owner_id AND r.solo IS NOT DISTINCT FROM m.solo
         LEFT JOIN {mlog} l ON l.title IS NOT DISTINCT FROM m.title AND l.start_time IS NOT DISTINCT FROM m.start_time
@@ -157,7 +157,8 @@ MODEL_VIEWS = {
         w.contact_id, w.resolved_company_id AS company_id, c.mail AS contact_email, c.ca_id IS NOT NULL AS counts,
         CASE WHEN c.ca_id IS NULL THEN 'non_ca_user' END AS excluded_reason, CAST(1 AS BIGINT) AS dup_count, 'dialer' AS logged_by,
         FALSE AS is_automated, CASE WHEN coalesce(c.human, FALSE) THEN 'conversation' ELSE 'attempt' END AS outcome,
-        strftime(c.start_date, '%Y-%m-%d %H:%M:%S') AS occurred_at, g.call_group_id, coalesce(c.human, FALSE) AS is_conversation
+        strftime(c.start_date, '%Y-%m-%d %H:%M:%S') AS occurred_at, g.call_group_id, coalesce(c.human, FALSE) AS is_conversation,
+        c.activity_date
         FROM {call_mail} c JOIN {call_groups} g ON g.id = c.id LEFT JOIN {contact_cw} w ON w.email = c.mail""",
     "task_mail": f"""SELECT t.*, u.ca_id, CASE WHEN m.external_contact_id IS NOT NULL THEN m.email
           ELSE ({emails_sql('t.contact_email')})[1] END AS mail,
@@ -170,7 +171,7 @@ MODEL_VIEWS = {
         channel NOT IN ('email_task','call_task') AND ca_id IS NOT NULL AS counts,
         CASE WHEN channel = 'email_task' THEN 'email_task_shadow' WHEN channel = 'call_task' THEN 'call_task_shadow'
              WHEN ca_id IS NULL THEN 'non_ca_user' END AS excluded_reason, CAST(1 AS BIGINT) AS dup_count, 'dialer' AS logged_by,
-        coalesce(automatic, FALSE) AS is_automated, strftime(finished_on, '%Y-%m-%d %H:%M:%S') AS occurred_at
+        coalesce(automatic, FALSE) AS is_automated, strftime(finished_on, '%Y-%m-%d %H:%M:%S') AS occurred_at, t.activity_date
         FROM {task_mail} t LEFT JOIN {contact_cw} w ON w.email = t.mail""",
     "fact": """SELECT activity_id, channel, direction, ca_id, counts, excluded_reason, dup_count FROM {email_fact}
         UNION ALL SELECT activity_id, channel, direction, ca_id, counts, excluded_reason, dup_count FROM {meeting_fact}
