@@ -162,11 +162,11 @@ FROM {customer}
 """
 
 VIEWS["contact_crosswalk"] = """
-SELECT 'buyer' || CAST(c_custkey AS STRING) || '@acct' || CAST(c_custkey - c_custkey % 3 AS STRING)
-           || '.example.org' AS email,
+SELECT CASE WHEN c_nationkey < 12 THEN 'buyer' ELSE 'former' END || CAST(c_custkey AS STRING) || '@acct'
+           || CAST(c_custkey - c_custkey % 3 AS STRING) || '.example.org' AS email,
        CAST(c_custkey AS STRING) AS contact_id,
        CASE WHEN c_nationkey < 11 THEN CAST(c_custkey - c_custkey % 3 AS STRING) END AS resolved_company_id
-FROM {customer} WHERE c_nationkey < 12
+FROM {customer}
 """
 
 VIEWS["meetings"] = """
@@ -189,13 +189,13 @@ UNION ALL SELECT activity_id, 'x' || meeting_id AS id FROM {meetings}
 
 VIEWS["meeting_attendee_links"] = """
 SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'x' ELSE '' END || CAST(l_orderkey AS STRING) AS meeting_id,
-       CASE WHEN l_quantity > 48 THEN NULL
+       CASE WHEN l_discount < 0.04 THEN 'guest' || CAST(l_linenumber AS STRING) || '@nowhere.example.net'
+            WHEN l_quantity > 48 THEN NULL
             WHEN l_quantity > 45 THEN 'someone@gmail.com'
             WHEN l_quantity > 42 THEN 'host@corp.example.com'
             ELSE 'buyer' || CAST(c_custkey AS STRING) || '@acct' || CAST(c_custkey - c_custkey % 3 AS STRING)
                  || '.example.org' END AS contact_email
 FROM {lineitem} JOIN {customer} ON c_custkey = (l_partkey * 7 + l_orderkey) % (SELECT count(*) FROM {customer})
-WHERE l_discount >= 0.04
 """
 
 VIEWS["meeting_contacts"] = """
@@ -244,20 +244,20 @@ UNION ALL SELECT 'West Reps' AS ca_team_name, 'West Sales' AS parent_team_name
 VIEWS["prior_ca"] = """
 SELECT CAST(s_suppkey AS STRING) AS ca_id, 'First' || CAST(s_suppkey AS STRING) AS name,
        'rep.' || CAST(s_suppkey AS STRING) || '@corp.example.com' AS primary_email, 'East Reps' AS ca_teams
-FROM {supplier} WHERE s_nationkey < 12
+FROM {supplier}
 """
 
 VIEWS["prior_address"] = """
 SELECT 'rep' || CAST(s_suppkey AS STRING) || '@corp.example.org' AS address, CAST(s_suppkey AS STRING) AS ca_id
-FROM {supplier} WHERE s_nationkey < 12
+FROM {supplier}
 UNION ALL
 SELECT 'old.rep' || CAST(s_suppkey AS STRING) || '@corp.example.org' AS address, CAST(s_suppkey AS STRING) AS ca_id
-FROM {supplier} WHERE s_nationkey < 12
+FROM {supplier}
 """
 
 VIEWS["prior_user"] = """
 SELECT 'gone' || CAST(s_suppkey AS STRING) AS user_id, CAST(s_suppkey AS STRING) AS ca_id
-FROM {supplier} WHERE s_nationkey < 12
+FROM {supplier}
 """
 
 VIEWS["raw_users"] = """

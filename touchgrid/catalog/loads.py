@@ -45,8 +45,10 @@ def _(t):
     return landing.split_warmup(t.sql(WARM))[1]
 
 
-HELD = "SELECT CAST(o_orderkey AS STRING) AS id, o_totalprice AS v, o_orderdate AS modified FROM {orders} WHERE o_orderstatus <> 'O'"
-BATCH = "SELECT CAST(o_orderkey AS STRING) AS id, o_totalprice + 1 AS v, o_orderdate + INTERVAL '1' DAY AS modified FROM {orders} WHERE o_orderpriority <> '5-LOW'"
+HELD = """SELECT CASE WHEN o_orderstatus = 'O' THEN 'old' ELSE '' END || CAST(o_orderkey AS STRING) AS id, o_totalprice AS v,
+  o_orderdate AS modified FROM {orders}"""
+BATCH = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'new' ELSE '' END || CAST(o_orderkey AS STRING) AS id, o_totalprice + 1 AS v,
+  o_orderdate + INTERVAL '1' DAY AS modified FROM {orders}"""
 
 
 @query("append_if_absent", "A4", "SELECT id, v FROM {batch} WHERE id NOT IN (SELECT id FROM {held})", {"held": HELD, "batch": BATCH})
