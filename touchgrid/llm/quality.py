@@ -25,7 +25,7 @@ from touchgrid.llm.common import table
 GRADES = 3
 #: toxic -> 0, poor -> 1, good -> 2.
 GRADE_SQL = "CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 AND toxic = 0 THEN 2 END"
-FIT_ROWS_PER_GRADE = 2500
+FIT_ROWS_PER_GRADE = 1500
 HASH_BITS = 18
 ROUNDS = 120
 L2 = 1e-4
@@ -88,11 +88,11 @@ def _sparse_rows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = [features.row(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["grade", "columns", "values"],
+                [batch.column("grade"), pa.array([r[0] for r in rows], pa.list_(pa.int32())),
+                 pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["grade", "columns", "values"],
             )
 
-    return docs.select("grade", "text").mapInArrow(run, "grade int, columns array<long>, values array<double>")
+    return docs.select("grade", "text").mapInArrow(run, "grade int, columns array<int>, values array<float>")
 
 
 def fit(docs: DataFrame, grades: DataFrame, fit_rows: int = FIT_ROWS_PER_GRADE, rounds: int = ROUNDS):
@@ -104,17 +104,23 @@ def fit(docs: DataFrame, grades: DataFrame, fit_rows: int = FIT_ROWS_PER_GRADE,
     rated = rated.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     chosen = rated.withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_rows)
     sample = docs.join(F.broadcast(chosen), "doc_id").select("grade", "text")
-    rows = _sparse_rows(sample).toPandas()
-    rows = rows[rows["columns"].map(len) > 0]
+    rows = _sparse_rows(sample).where(F.size("columns") > 0).toArrow()
     weights, thresholds = np.zeros(1 << HASH_BITS), np.log(np.arange(1, GRADES) / np.arange(GRADES - 1, 0, -1))
-    if rows.empty:
+    if not rows.num_rows:
         return weights, thresholds
-    columns, values = np.concatenate(rows["columns"].to_list()), np.concatenate(rows["values"].to_list())
-    starts = np.concatenate([[0], np.cumsum(rows["columns"].map(len).to_numpy())[:-1]])
-    which = np.repeat(np.arange(len(rows)), rows["columns"].map(len))
-    y = rows["grade"].to_numpy()
+    lists = rows.column("columns").combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy())
+    columns, values = lists.flatten().to_numpy(), rows.column("values").combine_chunks().flatten().to_numpy()
+    y = rows.column("grade").to_numpy()
+    del rows, lists
+    starts, which = np.cumsum(lengths) - lengths, np.repeat(np.arange(len(y), dtype=np.int32), lengths)
     active, place, often = np.unique(columns, return_inverse=True, return_counts=True)
-    values = np.where(often[place] >= LEAST_DOCS, values, 0.0)
+    common = often[place] >= LEAST_DOCS
+    # A row keeps one feature at least, so that its sum is its own.
+    common[starts] = True
+    values, place, which = values[common], place[common].astype(np.int32), which[common]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(y)))[:-1]])
+    values = np.where(often[place] >= LEAST_DOCS, values, np.float32(0))
     w, theta = np.zeros(len(active)), np.array([thresholds[0], *np.log(np.diff(thresholds))])
     counts = np.bincount(y, minlength=GRADES)
     weight = (len(y) / (GRADES * np.maximum(counts, 1)) ** 1.0)[y] ** 0.5
