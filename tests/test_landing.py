@@ -126,3 +126,27 @@ def test_late_repeats_are_dropped(spark, tmp_path):
     q = fresh_rows(stream, "ts").writeStream.format("memory").queryName("fresh").option("checkpointLocation", str(tmp_path / "k"))
     q.trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.id for r in spark.table("fresh").collect()) == ["a", "b"]
+
+
+def _streamed(spark, tmp_path, df, transform, name):
+    df.write.parquet(str(tmp_path / "in"))
+    out = transform(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    q = out.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", str(tmp_path / "k"))
+    q.trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).collect()
+
+
+def test_daily_counts_as_a_stream(spark, tmp_path):
+    rows = [("call", "2024-01-01 10:00:00", True), ("call", "2024-01-01 23:59:59", True), ("call", "2024-01-02 00:00:00", True),
+            ("meeting", "2024-01-01 10:00:00", False)]
+    df = spark.createDataFrame(rows, "channel string, t string, counts boolean").selectExpr("channel", "counts", "cast(t as timestamp) occurred_at")
+    got = _streamed(spark, tmp_path, df, live.daily_channel_counts, "daily")
+    assert sorted((str(r.day), r.channel, r.n) for r in got) == [("2024-01-01", "call", 2), ("2024-01-02", "call", 1)]
+
+
+def test_dial_sessions_as_a_stream(spark, tmp_path):
+    times = ["10:00:00", "10:20:00", "10:50:01", "10:29:59"]
+    df = spark.createDataFrame([("u", "c", f"2024-01-01 {t}") for t in times], "user_id string, contact_id string, t string")
+    df = df.selectExpr("user_id", "contact_id", "cast(t as timestamp) start_date")
+    got = _streamed(spark, tmp_path, df, live.dial_sessions, "dials")
+    assert sorted((str(r.first_dial)[11:], r.dials) for r in got) == [("10:00:00", 3), ("10:50:01", 1)]

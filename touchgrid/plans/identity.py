@@ -324,14 +324,15 @@ def activity_addresses(
     tasks: DataFrame, calls: DataFrame, emails: DataFrame, internal_domains: Sequence[str],
     email_fields: Sequence[str] = ("from_email", "to_email", "cc_email", "bcc_email"),
 ) -> DataFrame:
-    """Distinct outside addresses seen in activity."""
+    """Distinct outside addresses seen in activity; a header text that recurs is parsed once."""
     heads = (
-        tasks.select(extract_emails("contact_email").alias("a"))
-        .unionByName(calls.select(extract_emails("contact_email").alias("a")))
-        .unionByName(emails.select(F.concat(*[extract_emails(f) for f in email_fields]).alias("a")))
+        tasks.select(F.col("contact_email").alias("head"))
+        .unionByName(calls.select(F.col("contact_email").alias("head")))
+        .unionByName(emails.select(F.explode(F.array(*email_fields)).alias("head")))
     )
     return (
-        heads.select(F.explode(F.array_distinct("a")).alias("email"))
+        heads.where("head IS NOT NULL").distinct()
+        .select(F.explode(F.array_distinct(extract_emails("head"))).alias("email"))
         .where(~is_internal("email", internal_domains))
         .distinct()
     )

@@ -50,27 +50,25 @@ def meeting_account_map(
 ) -> DataFrame:
     """One account per meeting: by attendee address first, by unique domain otherwise."""
     att = meeting_attendees(meetings, meeting_contacts)
-    by_email = (
-        att.join(contact_crosswalk.select(F.col("email").alias("contact_email"), "resolved_company_id"), "contact_email")
-        .groupBy("activity_id", F.col("resolved_company_id").alias("account_id"))
-        .agg(F.count(F.lit(1)).alias("attendees"))
-    )
-    rest = att.join(by_email.select("activity_id").distinct(), "activity_id", "left_anti").where(
-        ~F.col("email_domain").isin(*free_domains, *internal_domains)
-    )
-    by_domain = (
-        rest.join(
-            single_canonical_domains(company_crosswalk).withColumnRenamed("domain_norm", "email_domain"), "email_domain"
-        )
-        .groupBy("activity_id", "account_id")
+    by_email = contact_crosswalk.select(
+        F.col("email").alias("contact_email"), "resolved_company_id", F.lit(1).alias("tier1")
+    )
+    by_domain = single_canonical_domains(company_crosswalk).where(
+        ~F.col("domain_norm").isin(*free_domains, *internal_domains)
+    ).select(F.col("domain_norm").alias("email_domain"), F.col("account_id").alias("domain_account"), F.lit(2).alias("tier2"))
+    met = att.join(by_email, "contact_email", "left").join(by_domain, "email_domain", "left")
+    # An attendee known by address never counts for its domain, and one such attendee decides.
+    votes = (
+        met.withColumn("tier", F.coalesce("tier1", "tier2")).where("tier IS NOT NULL")
+        .groupBy("activity_id", "tier", F.when(F.col("tier") == 1, F.col("resolved_company_id"))
+                 .otherwise(F.col("domain_account")).alias("account_id"))
         .agg(F.count(F.lit(1)).alias("attendees"))
     )
     order = order_struct(
-        [-F.col("attendees"), *nulls_last(F.length("account_id")), F.coalesce("account_id", F.lit(""))]
+        [F.col("tier"), -F.col("attendees"), *nulls_last(F.length("account_id")), F.coalesce("account_id", F.lit(""))]
     )
     return (
-        by_email.unionByName(by_domain)
-        .groupBy("activity_id")
+        votes.groupBy("activity_id")
         .agg(F.min_by(F.struct("account_id", "attendees"), order).alias("_top"))
         .select("activity_id", "_top.account_id", "_top.attendees")
     )
