@@ -249,10 +249,12 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
-    packed = pack(docs, pieces, chunk_chars).repartition("chunk")
+    packed = pack(docs, pieces, chunk_chars)
     blobs = packed.where("number < 0").select("chunk", "blob")
     wanted = packed.where("number >= 0").select("chunk", "number", "word").repartition("word")
-    solved = segmented(wanted.select("word").distinct(), pieces)
+    # The distinct words read the columns of `wanted`, so that both share one shuffle.
+    distinct = wanted.groupBy("word").agg(F.max("chunk").alias("of"), F.max("number").alias("n"))
+    solved = segmented(distinct.where("of IS NOT NULL AND n IS NOT NULL").select("word"), pieces)
     answers = wanted.join(solved.hint("shuffle_merge"), "word").select(F.col("chunk").alias("of"), "number", "ids")
     shared = spark.sparkContext.broadcast(pieces)
     kind = docs.schema["doc_id"].dataType.simpleString()
