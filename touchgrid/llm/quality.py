@@ -25,7 +25,7 @@ from touchgrid.llm.common import table
 GRADES = 3
 #: toxic -> 0, poor -> 1, good -> 2.
 GRADE_SQL = "CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 AND toxic = 0 THEN 2 END"
-FIT_ROWS_PER_GRADE = 1500
+FIT_ROWS_PER_GRADE = 1000
 HASH_BITS = 18
 ROUNDS = 120
 L2 = 1e-4
