@@ -7,8 +7,9 @@ all items whose BM25 score, as a share of the score of the item's own text, reac
 `LEAST_SHARE`; retrieved items are kept if the passage also holds enough of the n-grams of
 both their question and their answer.
 
-Skipping is exact: a passage is left out only if the greatest shares of its distinct terms
-add up to less than the threshold.
+Skipping is exact: a passage is left out only if, in every block of items, the block maxima
+of its distinct terms add up to less than the threshold. That is decided for many passages at
+once; the lists are opened for the others only.
 
 Defined results: words are lower-cased runs of letters and digits, so that punctuation hides
 nothing; a null text or one without words matches nothing, as item and as document;
@@ -27,13 +28,15 @@ from pyspark.sql import functions as F
 from touchgrid.llm.common import letter_words, table
 
 K1, B = 1.2, 0.75
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.6
 NGRAM = 5
 LEAST_QUESTION, LEAST_ANSWER = 0.6, 0.6
-#: Postings of one index block, the bound of what is broadcast at a time.
-BLOCK_POSTINGS = 400_000
+#: Postings that are broadcast at a time, and those of one index among them.
+BLOCK_POSTINGS, INDEX_POSTINGS = 400_000, 20_000
 #: Postings under one block maximum.
 SKIP = 16
+#: Items under one bound when whole passages are ruled out, and passages weighed at a time.
+ITEM_BLOCK, WEIGHED = 4, 1500
 MATCHES = "item_id long, bm25_share double, question_overlap double, answer_overlap double"
 
 
@@ -101,6 +104,10 @@ class Index:
         self.skips = [[max(s[j:j + SKIP]) for j in range(0, len(s), SKIP)] for s in self.shares]
         self.most = np.array([max(s) for s in self.shares] or [], float)
         self.grams = [(grams_of(q), grams_of(a)) for _, q, a in self.items]
+        # Greatest share of each term in each block of ITEM_BLOCK items.
+        self.block_most = np.zeros((len(self.terms), -(-len(self.items) // ITEM_BLOCK)), np.float32)
+        for t, (docs, shares) in enumerate(zip(self.docs, self.shares, strict=True)):
+            np.maximum.at(self.block_most[t], np.array(docs) // ITEM_BLOCK, np.array(shares, np.float32))
 
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """Block-max WAND: every (item number, share) of at least `least` for distinct query terms."""
@@ -157,29 +164,42 @@ class Index:
             return out
         place = np.minimum(np.searchsorted(self.terms, values), len(self.terms) - 1)
         hit = self.terms[place] == values
-        bounds = np.concatenate([[0.0], np.cumsum(np.where(hit, self.most[place], 0.0))])
         step = self.longest
         first = np.cumsum(lengths) - lengths
         count = np.where(lengths > 0, np.maximum(1, -(-(lengths - step) // step)), 0)
         doc = np.repeat(np.arange(len(lengths)), count)
         start = first[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * step
         stop = np.minimum(start + 2 * step, (first + lengths)[doc])
-        likely = np.flatnonzero(bounds[stop] - bounds[start] >= least - 1e-6)
-        for p in likely.tolist():
-            s, e = int(start[p]), int(stop[p])
-            terms = np.unique(place[s:e][hit[s:e]])
-            if self.most[terms].sum() < least - 1e-6:
-                continue
-            retrieved = self.search(terms.tolist(), least)
-            if retrieved:
-                grams: dict[int, set] = {}
-                words = values[s:e].tolist()
-                for item, share in retrieved:
-                    q, a = (self._overlap(g, words, grams) for g in self.grams[item])
-                    if q >= least_q and a >= least_a:
-                        out[int(doc[p])].append((self.items[item][0], share, q, a))
+        for at in range(0, len(doc), WEIGHED):
+            for p, terms in self._live(place, hit, start[at:at + WEIGHED], stop[at:at + WEIGHED], least):
+                self._verify(out[int(doc[at + p])], values[start[at + p]:stop[at + p]].tolist(), terms, least, least_q, least_a)
         return [self._best(found) for found in out]
 
+    def _live(self, place, hit, start, stop, least: float):
+        """(passage, its distinct terms) for passages that some block of items leaves in play."""
+        import numpy as np
+
+        size = stop - start
+        passage = np.repeat(np.arange(len(start)), size)
+        at = np.arange(len(passage)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+        known = hit[at]
+        pairs = np.unique(passage[known] * len(self.terms) + place[at[known]])
+        passage, term = np.divmod(pairs, len(self.terms))
+        if not len(pairs):
+            return
+        begins = np.flatnonzero(np.diff(passage, prepend=-1))
+        bound = np.add.reduceat(self.block_most[term], begins, axis=0).max(axis=1)
+        ends = np.append(begins[1:], len(pairs))
+        for i in np.flatnonzero(bound >= least - 1e-4).tolist():
+            yield int(passage[begins[i]]), term[begins[i]:ends[i]].tolist()
+
+    def _verify(self, out: list, words: list, terms: list[int], least: float, least_q: float, least_a: float) -> None:
+        grams: dict[int, set] = {}
+        for item, share in self.search(terms, least):
+            q, a = (self._overlap(g, words, grams) for g in self.grams[item])
+            if q >= least_q and a >= least_a:
+                out.append((self.items[item][0], share, q, a))
+
     @staticmethod
     def _overlap(wanted: set, words: list, grams: dict[int, set]) -> float:
         if not wanted:
@@ -198,8 +218,8 @@ class Index:
         return [best[i] for i in sorted(best, key=lambda i: (i is None, i))]
 
 
-def _ask(docs: DataFrame, index: Index, least: float, least_q: float, least_a: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _ask(docs: DataFrame, indexes: list[Index], least: float, least_q: float, least_a: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(indexes)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -208,11 +228,11 @@ def _ask(docs: DataFrame, index: Index, least: float, least_q: float, least_a: f
 
         for batch in batches:
             words = batch.column("words")
-            found = shared.value.matches(
-                words.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(words.offsets.to_numpy()),
-                least, least_q, least_a,
-            )
-            rows = [(i, *m) for i, ms in enumerate(found) for m in ms]
+            values, lengths = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(words.offsets.to_numpy())
+            rows = [
+                (i, *m) for index in shared.value
+                for i, ms in enumerate(index.matches(values, lengths, least, least_q, least_a)) for m in ms
+            ]
             ids = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
             columns = [pa.array([r[j] for r in rows], pa.int64() if j == 1 else pa.float64()) for j in range(1, 5)]
             yield pa.RecordBatch.from_arrays(
@@ -223,6 +243,25 @@ def _ask(docs: DataFrame, index: Index, least: float, least_q: float, least_a: f
     return hashed.mapInArrow(run, f"doc_id {kind}, {MATCHES}")
 
 
+def _indexes(terms: list[tuple], rows: dict) -> list[Index]:
+    """Indexes of about INDEX_POSTINGS each over (item_id, row, term, share) and the items' words."""
+    per_item: dict = {}
+    for i, r, t, share in terms:
+        per_item.setdefault((i, r), []).append((t, share))
+    done, keys, size = [], [], 0
+    order = sorted(per_item, key=lambda k: (k[0] is None, k))
+    for k in order:
+        keys.append(k)
+        size += len(per_item[k])
+        if size >= INDEX_POSTINGS or k == order[-1]:
+            done.append(Index(
+                [(n, t, share) for n, key in enumerate(keys) for t, share in per_item[key]],
+                [(key[0], rows[key]["question"], rows[key]["answer"]) for key in keys],
+            ))
+            keys, size = [], 0
+    return done
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, least: float = LEAST_SHARE, least_question: float = LEAST_QUESTION,
     least_answer: float = LEAST_ANSWER, block_postings: int = BLOCK_POSTINGS,
@@ -241,12 +280,7 @@ def contaminated(
         if not own:
             continue
         rows = {(r["item_id"], r["row"]): r for r in parts.where(block == b).toLocalIterator()}
-        numbers = {k: i for i, k in enumerate(sorted({(i, r) for i, r, _, _ in own}, key=lambda k: (k[0] is None, k)))}
-        index = Index(
-            [(numbers[i, r], t, s) for i, r, t, s in own],
-            [(k[0], rows[k]["question"], rows[k]["answer"]) for k in numbers],
-        )
-        part = _ask(docs, index, least, least_question, least_answer)
+        part = _ask(docs, _indexes(own, rows), least, least_question, least_answer)
         found = part if found is None else found.unionByName(part)
     terms.unpersist()
     if found is None:
