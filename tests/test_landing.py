@@ -145,8 +145,8 @@ def test_daily_counts_as_a_stream(spark, tmp_path):
 
 
 def test_dial_sessions_as_a_stream(spark, tmp_path):
-    times = ["10:00:00", "10:20:00", "10:50:01", "10:29:59"]
+    times = ["10:00:00", "10:20:00", "11:00:01", "10:29:59"]
     df = spark.createDataFrame([("u", "c", f"2024-01-01 {t}") for t in times], "user_id string, contact_id string, t string")
     df = df.selectExpr("user_id", "contact_id", "cast(t as timestamp) start_date")
     got = _streamed(spark, tmp_path, df, live.dial_sessions, "dials")
-    assert sorted((str(r.first_dial)[11:], r.dials) for r in got) == [("10:00:00", 3), ("10:50:01", 1)]
+    assert sorted((str(r.first_dial)[11:], r.dials) for r in got) == [("10:00:00", 3), ("11:00:01", 1)]

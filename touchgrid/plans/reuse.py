@@ -15,7 +15,6 @@ from touchgrid.operators.similarity import hashed_shingles, jaccard, nearest_oth
 from touchgrid.session import cut_lineage
 
 STEPS = ("strip_quote", "strip_greeting", "strip_sig", "strip_disclaimer", "neutralize_merge")
-MERGE_TOKEN_PATTERN = r"<(?:fn|ln|acct|title|url|email)>"
 UNICODE = "(?U)"   # \\w, \\b and \\s follow Unicode
 LINES = "(?d)"     # only \\n ends a line
 
@@ -98,7 +97,7 @@ def normalize_bodies(
         )
         rows = rows.withColumn("_lines", kept)
         domain, brand = own_domain.replace(".", r"\."), own_brand
-        contact = rf"(?i)(?:@{domain}|www\.{domain}|linkedin|\| {brand}\b|website\s*:)"
+        contact = vocab.CONTACT_LINE_PATTERN.format(domain=domain, brand=brand)
         name = F.coalesce(F.col("ca_name"), F.lit(""))
         first_name = F.split(name, r"\s+")[0]
 
@@ -119,7 +118,7 @@ def normalize_bodies(
             core, F.col("account_name"), F.col("contact_jobtitle"), F.col("contact_firstname"), F.col("contact_lastname")
         )
     rows = rows.withColumn("core", core)
-    norm = F.regexp_replace(strip(squeeze(F.lower("core"))), r"\s+([,.!?;:])", "$1")
+    norm = F.regexp_replace(strip(squeeze(F.lower("core"))), vocab.SPACE_BEFORE_MARK_PATTERN, "$1")
     return rows.withColumns(
         {
             "core_norm": norm,
@@ -183,7 +182,7 @@ def variation(labelled: DataFrame, least_size: int = vocab.DEFAULT_FAMILY_SIZE)
     rows = labelled.withColumns(
         {
             "nofirst_key": F.md5(without_first_sentence(F.col("core_norm"))),
-            "has_merge_tok": F.col("core_norm").rlike(MERGE_TOKEN_PATTERN),
+            "has_merge_tok": F.col("core_norm").rlike(vocab.MERGE_TOKEN_PATTERN),
         }
     )
     exact = rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("fam_exact"))

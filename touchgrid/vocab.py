@@ -142,6 +142,13 @@ QUOTE_HEADER_PATTERN = r"(?ims)^\s*On\s.{4,90}\bwrote:\s*$"
 QUOTE_SENDER_PATTERN = r"(?is)On\s.{4,120}?<\s*([^>\s]+@[^>\s]+)\s*>\s*wrote:"
 ORIGINAL_MESSAGE_PATTERN = r"(?im)^\s*-{2,}\s*Original Message\s*-{2,}"
 UNDERSCORE_RULE_PATTERN = r"(?im)^\s*_{5,}\s*$"
+CONTACT_LINE_PATTERN = r"(?i)(?:@{domain}|www\.{domain}|linkedin|\| {brand}\b|website\s*:)"
+SPACE_BEFORE_MARK_PATTERN = r"\s+([,.!?;:])"
+MERGE_TOKEN_PATTERN = r"<(?:fn|ln|acct|title|url|email)>"
+HTML_DROPPED_PATTERN = r"(?is)<(script|style|head|title)[^>]*>.*?</\1>"
+HTML_BREAK_PATTERN = r"(?i)<br\s*/?>"
+HTML_BLOCK_END_PATTERN = r"(?i)</(?:div|p|tr|li|blockquote|h[1-6]|table)>"
+HTML_TAG_PATTERN = r"<[^>]+>"
 URL_PATTERN = r"https?://\S+|www\.\S+"
 EMAIL_PATTERN = r"[\w.+-]+@[\w-]+\.[\w.-]+"
 DEFAULT_SHINGLE_WORDS = 4
