@@ -185,58 +185,56 @@ def _bits(edge: Column, shift: int, bits: int) -> Column:
 
 
 def best_path(blocks: Column, longest: int) -> Column:
-    """Viterbi over a word's edges: the ids of the best segmentation, in order."""
-    nothing = F.array().cast("array<bigint>")
-
-    def relax(state: Column, edge: Column) -> Column:
-        end = F.shiftright(edge, LEN_BITS + COST_BITS + ID_BITS).cast("int")
-        length = _bits(edge, COST_BITS + ID_BITS, LEN_BITS).cast("int")
-        new = end != state["end"]
-        push = new & (state["end"] >= 0)
-        base = F.when(push & (length == 1), state["cost"]).otherwise(F.get(state["best"], end - length + longest))
-        reached = base + _bits(edge, ID_BITS, COST_BITS)
-        better = new | (reached <= state["cost"])
-        return F.struct(
-            F.when(push, F.concat(state["best"], F.array(state["cost"]))).otherwise(state["best"]).alias("best"),
-            F.when(push, F.concat(state["back"], F.array(state["edge"]))).otherwise(state["back"]).alias("back"),
-            end.alias("end"),
-            F.when(better, reached).otherwise(state["cost"]).alias("cost"),
-            F.when(better, edge).otherwise(state["edge"]).alias("edge"),
-        )
+    """Viterbi over a word's edges: the ids of the best segmentation, in order.
 
-    def fold_block(state: Column, edges: Column) -> Column:
-        start = F.struct(
-            state["tail"].alias("best"), nothing.alias("back"), F.lit(-1).alias("end"),
-            F.lit(0).cast("long").alias("cost"), F.lit(0).cast("long").alias("edge"),
-        )
-        done = F.aggregate(
-            edges, start, relax,
-            lambda s: F.struct(
-                F.slice(F.concat(s["best"], F.array(s["cost"])), -longest, longest).alias("tail"),
-                F.concat(s["back"], F.array(s["edge"])).alias("back"),
-            ),
-        )
-        return F.struct(done["tail"].alias("tail"), F.concat(state["backs"], F.array(done["back"])).alias("backs"))
+    The fold keeps, for each position, the edge that reaches it best with the cost so far; a
+    block starts with the last `longest` positions of the one before. A second fold walks
+    the kept edges back from the end. What a step makes is asked for once, as steps nest.
+    """
+    taken_type = "array<struct<cost: bigint, back: int, id: int>>"
+    seed = F.array(*[
+        F.struct(F.lit(UNREACHED if i else 0).cast("long").alias("cost"), F.lit(0).alias("back"), F.lit(0).alias("id"))
+        for i in range(longest - 1, -1, -1)
+    ]).cast(taken_type)
+
+    def place(edge: Column) -> Column:
+        return F.shiftright(edge, LEN_BITS + COST_BITS + ID_BITS)
+
+    def arrive(taken: Column, edges: Column) -> Column:
+        def arrival(edge: Column) -> Column:
+            length = _bits(edge, COST_BITS + ID_BITS, LEN_BITS).cast("int")
+            return F.struct(
+                (F.element_at(taken, -length)["cost"] + _bits(edge, ID_BITS, COST_BITS)).alias("cost"),
+                (-length).alias("back"), _bits(edge, 0, ID_BITS).cast("int").alias("id"),
+            )
+
+        return F.concat(taken, F.array(F.array_min(F.transform(edges, arrival))))
+
+    def fold_block(done: Column, edges: Column) -> Column:
+        last = place(F.element_at(edges, -1))
+        ends = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda p: F.filter(edges, lambda e: place(e) == p))
+        own = F.aggregate(ends, F.element_at(done, -1)["tail"], arrive, lambda taken: F.struct(
+            F.slice(taken, -longest, longest).alias("tail"), F.slice(taken, longest + 1, F.size(taken)).alias("taken")
+        ))
+        return F.concat(done, F.array(own))
 
-    tail = F.array(*[F.lit(UNREACHED).cast("long")] * (longest - 1), F.lit(0).cast("long"))
-    start = F.struct(tail.alias("tail"), F.array().cast("array<array<bigint>>").alias("backs"))
-    backs = F.aggregate(blocks, start, fold_block, lambda s: s["backs"])
+    begin = F.array(F.struct(seed.alias("tail"), F.array().cast(taken_type).alias("taken")))
+    folded = F.aggregate(blocks, begin, fold_block)
 
     def step(state: Column, edge: Column) -> Column:
         here = state["skip"] == 0
         return F.struct(
-            F.when(here, _bits(edge, COST_BITS + ID_BITS, LEN_BITS).cast("int") - 1).otherwise(state["skip"] - 1).alias("skip"),
-            F.when(here, F.concat(state["ids"], F.array(_bits(edge, 0, ID_BITS)))).otherwise(state["ids"]).alias("ids"),
+            F.when(here, -edge["back"] - 1).otherwise(state["skip"] - 1).alias("skip"),
+            F.when(here, F.concat(state["ids"], F.array(edge["id"]))).otherwise(state["ids"]).alias("ids"),
         )
 
-    def walk(state: Column, back: Column) -> Column:
-        own = F.struct(state["skip"].alias("skip"), nothing.alias("ids"))
-        done = F.aggregate(F.reverse(back), own, step)
-        return F.struct(done["skip"].alias("skip"), F.concat(state["out"], F.array(done["ids"])).alias("out"))
+    def walk(done: Column, block: Column) -> Column:
+        start = F.struct(F.element_at(done, -1)["skip"].alias("skip"), F.array().cast("array<int>").alias("ids"))
+        return F.concat(done, F.array(F.aggregate(F.reverse(block["taken"]), start, step)))
 
-    begin = F.struct(F.lit(0).alias("skip"), F.array().cast("array<array<bigint>>").alias("out"))
-    path = F.aggregate(F.reverse(backs), begin, walk, lambda s: s["out"])
-    return F.transform(F.reverse(F.flatten(path)), lambda i: i.cast("int"))
+    first = F.array(F.struct(F.lit(0).alias("skip"), F.array().cast("array<int>").alias("ids")))
+    walked = F.aggregate(F.reverse(folded), first, walk)
+    return F.reverse(F.flatten(F.transform(walked, lambda w: w["ids"])))
 
 
 def segmented(words: DataFrame, pieces: PieceTable) -> DataFrame:
@@ -248,7 +246,7 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     """(doc_id, ids) of documents (doc_id, text)."""
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
     packed = pack(docs, pieces, chunk_chars)
     blobs = packed.where("number < 0").select("chunk", "blob")
     wanted = packed.where("number >= 0").select("chunk", "number", "word").repartition("word")
