@@ -37,7 +37,7 @@ LEN_BITS, COST_BITS, ID_BITS = 5, 30, 21
 UNREACHED = 1 << 60
 UNKNOWN_PENALTY = 10
 #: Characters of text in one packed chunk.
-CHUNK_CHARS = 24 << 20
+CHUNK_CHARS = 10 << 20
 WORD = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 PACKED = "chunk long, number int, word string, blob binary"
 
