@@ -273,3 +273,20 @@ def test_pieces_round_trip(docs, none, small_table):
         assert all(list(r["ids"]) == [] for r in got if r["doc_id"] in (3, 4))
     assert pieces.encode(none, small_table).count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_pieces_of_equal_partitions(spark, small_table):
+    """Chunks that are equal, or equal but for their words, all come back."""
+    def sent(*parts):
+        frames = [spark.createDataFrame(p, "doc_id long, text string").coalesce(1) for p in parts]
+        df = frames[0]
+        for f in frames[1:]:
+            df = df.union(f)
+        got = pieces.decode(pieces.encode(df, small_table, 1000), small_table).collect()
+        want = [(i, t or "") for p in parts for i, t in p]
+        assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), t) for i, t in want)
+
+    sent([(1, None), (2, "")], [(1, None), (2, "")])
+    sent([(1, "abc cab"), (2, "abc")], [(1, "abc cab"), (2, "abc")])
+    sent([(None, " a")], [(None, " b")])
+    sent([(1, "abc" * 400)] * 3)

@@ -93,7 +93,9 @@ class PieceTable:
 def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """Documents (doc_id, text) -> packed chunks: one blob row and a row for each distinct word.
 
-    A chunk's number is a hash of its contents, so a task that runs again gives the same.
+    A chunk's number is a hash of its contents, its words, and its place (partition and ordinal):
+    equal chunks stay apart, a task that runs again gives the same, and where the rows of a
+    partition are not repeatable the words do not find the chunk, which is an error.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
@@ -102,8 +104,10 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
         import pyarrow as pa
         import xxhash
         import zstandard
+        from pyspark import TaskContext
 
         table = shared.value
+        partition, ordinal = TaskContext.get().partitionId(), 0
         whole: dict[str, int] = {}
         parts: list[list[int]] = []
         words: dict[str, int] = {}
@@ -120,8 +124,11 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
             with pa.ipc.new_stream(sink, one.schema) as writer:
                 writer.write_table(one)
             raw = sink.getvalue().to_pybytes()
-            chunk = xxhash.xxh64_intdigest(raw) - (1 << 63)
             names = list(words)
+            key = xxhash.xxh64(raw)
+            key.update("\0".join(names).encode())
+            key.update(f"\0{partition} {ordinal}")
+            chunk = key.intdigest() - (1 << 63)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.string()),
                  pa.array([zstandard.ZstdCompressor(3).compress(raw)], pa.binary())], ["chunk", "number", "word", "blob"],
@@ -150,6 +157,7 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
                 if chars >= chunk_chars:
                     yield from emit()
                     whole, parts, words, streams, ids, chars = {}, [], {}, [], [], 0
+                    ordinal += 1
         if ids:
             yield from emit()
 
@@ -248,7 +256,8 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
     packed = pack(docs, pieces, chunk_chars)
-    blobs = packed.where("number < 0").select("chunk", "blob")
+    # A shuffle of its own, so that partitions count alike here and below.
+    blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
     wanted = packed.where("number >= 0").select("chunk", "number", "word").repartition("word")
     # The distinct words read the columns of `wanted`, so that both share one shuffle.
     distinct = wanted.groupBy("word").agg(F.max("chunk").alias("of"), F.max("number").alias("n"))
@@ -264,6 +273,8 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
 
         if blob.num_rows == 0:
             raise ValueError("a chunk's words came without the chunk")
+        if blob.num_rows > 1:
+            raise ValueError("two chunks have the same number")
         table = shared.value
         raw = zstandard.ZstdDecompressor().decompress(blob.column("blob")[0].as_py())
         one = pa.ipc.open_stream(raw).read_all()
