@@ -290,3 +290,23 @@ def test_pieces_of_equal_partitions(spark, small_table):
     sent([(1, "abc cab"), (2, "abc")], [(1, "abc cab"), (2, "abc")])
     sent([(None, " a")], [(None, " b")])
     sent([(1, "abc" * 400)] * 3)
+
+
+def test_html_end_tags(spark):
+    """An element without an end tag hides no later text."""
+    def shown(html):
+        return " ".join(b.text for b in htmlcut.blocks_of(html)).split()
+
+    tail = "<article>kept</article>"
+    for head in (
+        "<datalist><option value=a>x<option value=b>y</datalist>", "<svg viewBox='0'/>", "<math/>", "<svg><path d=1></svg>",
+        "<div><svg><title>x</svg></div>", "<svg><style/></svg>", "<select><option>x<option>y</select>", "<div><button>x</div>",
+        "<button>x", "<select><option>x", "<option>x", "<object data=a>x", "<template>x", "<noscript>x", "<svg><style>x",
+        "<script>x</SCRIPT>", "İ<script>x</SCRIPT\n>", "İ<style>x</STYLE>", "<Title>x</tITLE>", "<title>x</titles></title>",
+    ):
+        for rest in ("", "<option>x</option>", "<div><button>x</button></div>", "<svg></svg>", "<object>x</object>"):
+            assert [w for w in shown(head + tail + rest) if w != "İ"] == ["kept"], (head, rest)
+    for hidden in ("<button><div>x</div></button>", "<object><p>x</p></object>", "<svg><foreignObject><p>x</p></foreignObject></svg>",
+                   "<template><div>x</div></template>", "<noscript><p>x</p></noscript>", "<select><optgroup><option>x</optgroup></select>"):
+        assert shown(f"<p>a{hidden}b</p>") in (["a", "b"], ["ab"])
+    assert shown("<p>a</p><script>x" + tail) == shown("<p>a</p><style>x" + tail) == ["a"]

@@ -12,7 +12,9 @@ that lack them are judged by their text. Extraction covers every page and its wh
 
 Defined results: null or empty html, or html without content, gives an empty text; character
 references are decoded as browsers do; white space inside a block is one space; unclosed and
-crossing elements are tolerated; repeated rows are all kept; an empty table gives no rows;
+crossing elements are tolerated: only script, style, title, textarea and iframe, which browsers
+read as raw text, reach to the end of the page without an end tag, and an unclosed element of
+`HIDDEN` ends where its surroundings end or the next block begins; repeated rows are all kept; an empty table gives no rows;
 columns beside page_id, url and html are ignored.
 """
 
@@ -36,7 +38,9 @@ ROUNDS = 200
 
 # Element and attribute names with a set meaning.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe template svg math select option button object".split())
+RAW = frozenset("script style title textarea iframe".split())
+HIDDEN = frozenset("noscript template svg math select option button object".split())
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary table "
@@ -59,6 +63,8 @@ TAG = re.compile(
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 NAME = re.compile(r"[A-Za-z]+")
 SPACE = re.compile(r"\s+")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I | re.A) for tag in RAW}
+FOREIGN_END = re.compile(r"</(?:svg|math)(?=[\s/>])", re.I | re.A)
 
 
 class Block:
@@ -92,12 +98,94 @@ def _meaning(tag: str, attributes: str) -> int:
     return int(bool(names & CONTENT_NAMES))
 
 
+def tags_of(html: str) -> tuple[list[tuple[int, int, str, bool, str]], dict[int, int]]:
+    """The tags (begin, end, name, closing, attributes) of a page, and where the text that each hides ends.
+
+    A raw element is one tag that hides up to after its end tag. The stack holds the open
+    blocks and hidden elements. A hidden element with an end tag of its own hides up to after
+    it; one that ends with its surroundings, and every option, hides no block.
+    """
+    tags, until = [], {}
+    stack: list[list] = []  # name, tag number, begin of the first block inside
+    count: dict[str, int] = {}
+    fresh: list[list] = []  # hidden elements without a block so far
+    # What was sought last: where it was found, or up to where it is not.
+    met, missed = {}, {}
+    at, size = 0, len(html)
+
+    def close(name, begin, end=None):
+        """Close the innermost `name` and what is open inside it; `end`: after its own end tag."""
+        while True:
+            entry = stack.pop()
+            count[entry[0]] -= 1
+            if entry[0] in HIDDEN:
+                own = end if entry[0] == name and end is not None else None
+                if own is None or entry[0] == "option":
+                    own = min(own or begin, begin if entry[2] is None else entry[2])
+                until[entry[1]] = own
+                entry[2] = own
+            if entry[0] == name:
+                return
+
+    def search(pattern, begin, end=size):
+        if missed.get(pattern, -1) >= end:
+            return None
+        m = met.get(pattern)
+        if m is None or not begin <= m.start() < m.end() <= end:
+            m = met[pattern] = pattern.search(html, begin, end)
+            if m is None:
+                missed[pattern] = end
+        return m
+
+    while m := TAG.search(html, at):
+        at, tag, closing = m.end(), (m[2] or "").lower(), bool(m[1])
+        if not tag:
+            tags.append((m.start(), at, "", False, ""))
+            continue
+        number = len(tags)
+        tags.append((m.start(), at, tag, closing, m[3] or ""))
+        foreign = bool(count.get("svg") or count.get("math"))
+        if tag in RAW:
+            if closing or foreign and m[0].endswith("/>"):
+                continue
+            if tag == "textarea" and count.get("select"):
+                close("select", m.start())
+            # Inside svg and math these are no raw text, so their end tag has to come before that of the whole.
+            outer = search(FOREIGN_END, at) if foreign else None
+            end = search(RAW_END[tag], at, outer.start() if outer else size)
+            if end or not foreign:
+                at = until[number] = end.end() if end else size
+        elif closing:
+            if count.get(tag):
+                close(tag, m.start(), at)
+        else:
+            if tag == "option" and stack and stack[-1][0] == "option" or tag in ("button", "select") and count.get(tag):
+                close(tag, m.start())
+            elif tag == "input" and count.get("select"):
+                close("select", m.start())
+            elif tag == "optgroup" and stack and stack[-1][0] in ("option", "optgroup"):
+                close("optgroup" if count.get("optgroup") else "option", m.start())
+            if tag in BLOCK:
+                for entry in fresh:
+                    entry[2] = entry[2] or m.start()
+                fresh = []
+            if (tag in BLOCK and tag not in VOID) or tag in ("datalist", "optgroup") or (
+                tag in HIDDEN and not (tag in FOREIGN and m[0].endswith("/>"))
+            ):
+                stack.append([tag, number, None])
+                count[tag] = count.get(tag, 0) + 1
+                if tag in HIDDEN:
+                    fresh.append(stack[-1])
+    while stack:
+        close(stack[-1][0], size)
+    return tags, until
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """The text blocks of a page in order."""
     html = html or ""
-    lower = None
     found, parts, stack = [], [], []
-    link, link_chars, at, serial, size = 0, 0, 0, 0, len(html)
+    link, link_chars, at, serial = 0, 0, 0, 0
 
     def end_block():
         nonlocal parts, link_chars
@@ -107,35 +195,34 @@ def blocks_of(html: str | None) -> list[Block]:
                 found.append(Block(text, min(link_chars, len(text)), stack))
         parts, link_chars = [], 0
 
-    while at < size:
-        m = TAG.search(html, at)
-        text = html[at:m.start()] if m else html[at:]
+    def add(text):
+        nonlocal link_chars
         if text:
             parts.append(text)
             if link:
                 link_chars += len(text.strip())
-        if not m:
-            break
-        at, tag = m.end(), (m[2] or "").lower()
+
+    tags, until = tags_of(html)
+    for number, (begin, end, tag, closing, attributes) in enumerate(tags):
+        if begin < at:
+            continue
+        add(html[at:begin])
+        at = end
         if not tag:
             continue
         if tag == "a":
-            link = 0 if m[1] else 1
+            link = 0 if closing else 1
         elif tag == "br":
             parts.append(" ")
-        elif tag in RAW:
-            if not m[1]:
-                lower = html.lower() if lower is None else lower
-                close = (lower if len(lower) == size else html).find(f"</{tag}", at)
-                stop = html.find(">", close) if close >= 0 else -1
-                at = stop + 1 if stop >= 0 else size
-                if tag in ("title", "textarea", "option", "button"):
-                    parts.append(" ")
+        elif tag in RAW or tag in HIDDEN:
+            at = max(at, until.get(number, at))
+            if not closing and tag in ("title", "textarea", "option", "button"):
+                parts.append(" ")
         elif tag in BLOCK:
             end_block()
             if tag in VOID:
                 continue
-            if m[1]:
+            if closing:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         del stack[i:]
@@ -145,7 +232,8 @@ def blocks_of(html: str | None) -> list[Block]:
                 if tag in CLOSES_P and stack and stack[-1][0] == "p" or tag == "li" and stack and stack[-1][0] == "li":
                     stack.pop()
                 serial += 1
-                stack.append((tag, serial, _meaning(tag, m[3] or "")))
+                stack.append((tag, serial, _meaning(tag, attributes)))
+    add(html[at:])
     end_block()
     return found
 
