@@ -310,3 +310,18 @@ def test_html_end_tags(spark):
                    "<template><div>x</div></template>", "<noscript><p>x</p></noscript>", "<select><optgroup><option>x</optgroup></select>"):
         assert shown(f"<p>a{hidden}b</p>") in (["a", "b"], ["ab"])
     assert shown("<p>a</p><script>x" + tail) == shown("<p>a</p><style>x" + tail) == ["a"]
+
+
+def test_long_words(spark, small_table):
+    """Words of many blocks, cut over tasks: the edges hold no word, and the path is the exact one."""
+    import random
+
+    rng = random.Random(9)
+    n = pieces.LONG
+    words = ["a" * 30_000, "".join(rng.choice("abc") for _ in range(20_000)), "☃" * (n + 1), "abc" * n, "b" * n, "c" * (n + 1)]
+    words += ["".join(rng.choice("abc☃𝒳") for _ in range(n + k)) for k in (1, 63, 64, 65)]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {r["word"]: list(r["ids"]) for r in pieces.segmented(frame, small_table).collect()}
+    assert got == {w: best_split(w, small_table) for w in words}
+    sizes = pieces.long_edges(frame.where(f"char_length(word) > {n}"), small_table).selectExpr("max(size(edges)) AS m").first()
+    assert sizes["m"] <= pieces.BLOCK * small_table.longest

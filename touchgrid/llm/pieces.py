@@ -6,6 +6,11 @@ corpus: its substrings of bounded length are exploded and equi-joined with the p
 the edges are grouped by word, and a Spark higher-order `aggregate` folds Viterbi over them.
 A second fold walks the best path back.
 
+A word of more than `LONG` characters is first cut into blocks of positions, each with the
+characters before it that a piece can reach. The lattice rows of a block carry a digest in
+place of the word and are spread over all tasks; the blocks then pass in order by a fold that
+holds the costs of the last positions and, for each character, the step back.
+
 Texts travel as packed chunks: a chunk holds its documents as streams of word numbers, and
 meets the segmentations of its own words by a co-grouping on the chunk. Nothing but the
 piece table, whose size the model fixes, is broadcast.
@@ -33,6 +38,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Positions of a word that one inner fold covers; longer words are folded block by block.
 BLOCK = 64
+#: Characters of the longest word whose lattice rows carry the word itself.
+LONG = 256
 LEN_BITS, COST_BITS, ID_BITS = 5, 30, 21
 UNREACHED = 1 << 60
 UNKNOWN_PENALTY = 10
@@ -164,6 +171,17 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
     return docs.select("doc_id", "text").mapInArrow(run, PACKED)
 
 
+def _edges(cut: DataFrame, pieces: PieceTable) -> tuple[DataFrame, Column]:
+    """The rows (end, len, part) of `cut` whose part is a piece or one character, and their packed edge."""
+    met = cut.join(F.broadcast(pieces.frame(cut.sparkSession)), F.col("part") == F.col("piece"), "left")
+    met = met.where(F.col("id").isNotNull() | (F.col("len") == 1))
+    number = F.coalesce(F.col("id"), F.ascii("part") + pieces.size).cast("long")
+    cost = F.coalesce("cost", F.lit(pieces.unknown_cost)).cast("long")
+    place = ((F.col("end") - 1) % BLOCK).cast("long")
+    edge = F.shiftleft(place, LEN_BITS + COST_BITS + ID_BITS)
+    return met, edge + F.shiftleft(F.col("len").cast("long"), COST_BITS + ID_BITS) + F.shiftleft(cost, ID_BITS) + number
+
+
 def lattice(words: DataFrame, pieces: PieceTable) -> DataFrame:
     """(word, edges) of distinct words (word): its edges, packed and sorted, in blocks of positions.
 
@@ -172,13 +190,7 @@ def lattice(words: DataFrame, pieces: PieceTable) -> DataFrame:
     ends = words.select("word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("end"))
     spans = ends.select("word", "end", F.explode(F.sequence(F.lit(1), F.least(F.col("end"), F.lit(pieces.longest)))).alias("len"))
     cut = spans.select("word", "end", "len", F.substring("word", F.col("end") - F.col("len") + 1, F.col("len")).alias("part"))
-    met = cut.join(F.broadcast(pieces.frame(words.sparkSession)), F.col("part") == F.col("piece"), "left")
-    met = met.where(F.col("id").isNotNull() | (F.col("len") == 1))
-    number = F.coalesce(F.col("id"), F.ascii("part") + pieces.size).cast("long")
-    cost = F.coalesce("cost", F.lit(pieces.unknown_cost)).cast("long")
-    place = ((F.col("end") - 1) % BLOCK).cast("long")
-    edge = F.shiftleft(place, LEN_BITS + COST_BITS + ID_BITS)
-    edge = edge + F.shiftleft(F.col("len").cast("long"), COST_BITS + ID_BITS) + F.shiftleft(cost, ID_BITS) + number
+    met, edge = _edges(cut, pieces)
     block = ((F.col("end") - 1) / BLOCK).cast("int")
     inner = met.select("word", block.alias("block"), edge.alias("edge")).groupBy("word", "block").agg(
         F.sort_array(F.collect_list("edge")).alias("edges")
@@ -188,6 +200,95 @@ def lattice(words: DataFrame, pieces: PieceTable) -> DataFrame:
     )
 
 
+def _digest(word: Column) -> Column:
+    """Never null, so that a join on it puts no filter below the shuffle of the words."""
+    return F.coalesce(F.sha2(word.cast("binary"), 256), F.lit(""))
+
+
+def long_edges(words: DataFrame, pieces: PieceTable) -> DataFrame:
+    """(digest, block, edges) of long distinct words (word): the lattice's edges, block by block."""
+    # A list of blocks, as reaching far into a string is not free.
+    blocks = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def reach(own: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.right(F.get(blocks_here, i - 1), F.lit(pieces.longest - 1))).otherwise("")
+        return F.struct(before.alias("before"), own.alias("own"))
+
+    blocks_here = F.col("blocks")
+    listed = words.select(_digest(F.col("word")).alias("digest"), blocks.alias("blocks"))
+    taken = listed.select("digest", F.posexplode(F.transform("blocks", reach)).alias("block", "b")).repartition("digest", "block")
+    ends = taken.select(
+        "digest", "block", F.concat("b.before", "b.own").alias("text"), F.char_length("b.before").alias("lead"),
+        F.explode(F.sequence(F.lit(1), F.char_length("b.own"))).alias("end"),
+    )
+    # Only the first block has nothing before it, so `most` is cut short there alone.
+    most = F.least(F.col("end") + F.col("lead"), F.lit(pieces.longest))
+    spans = ends.select("digest", "block", "text", "lead", "end", F.explode(F.sequence(F.lit(1), most)).alias("len"))
+    part = F.substring("text", F.col("lead") + F.col("end") - F.col("len") + 1, F.col("len"))
+    met, edge = _edges(spans.select("digest", "block", "end", "len", part.alias("part")), pieces)
+    return met.select("digest", "block", edge.alias("edge")).groupBy("digest", "block").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges")
+    )
+
+
+def long_segmented(words: DataFrame, pieces: PieceTable) -> DataFrame:
+    """(word, ids) of long distinct words (word): the same best path, folded as the blocks come in order."""
+    longest = pieces.longest
+    words = words.select("word").repartition("word")
+
+    def run(batches):
+        from array import array
+
+        import numpy as np
+        import pyarrow as pa
+
+        def walked(back, piece):
+            out, at = array("i"), len(back) - 1
+            while at >= 0:
+                out.append(piece[at])
+                at -= back[at]
+            return np.array(out, "<i4")[::-1]
+
+        def row(digest, back, piece):
+            ids = walked(back, piece)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array([digest], pa.string()), lists], ["digest", "ids"])
+
+        now, costs, back, piece = None, [], array("b"), array("i")
+        low, high = (1 << ID_BITS) - 1, (1 << COST_BITS) - 1
+        for batch in batches:
+            for digest, edges in zip(batch.column("digest").to_pylist(), batch.column("edges"), strict=True):
+                if digest != now:
+                    if now is not None:
+                        yield row(now, back, piece)
+                    now, costs, back, piece = digest, [UNREACHED] * (longest - 1) + [0], array("b"), array("i")
+                packed = edges.values.to_numpy()
+                columns = (packed >> s & m for s, m in (
+                    (LEN_BITS + COST_BITS + ID_BITS, BLOCK - 1), (COST_BITS + ID_BITS, (1 << LEN_BITS) - 1), (ID_BITS, high), (0, low)))
+                place, best = 0, None
+                # Edges come by place, then length; of equal costs the longer piece stays.
+                for where, length, cost, number in zip(*(c.tolist() for c in columns), strict=True):
+                    if where != place:
+                        costs.append(best[0])
+                        back.append(best[1])
+                        piece.append(best[2])
+                        place, best = where, None
+                    reached = costs[-length] + cost
+                    if best is None or reached <= best[0]:
+                        best = reached, length, number
+                costs.append(best[0])
+                back.append(best[1])
+                piece.append(best[2])
+                del costs[:-longest]
+        if now is not None:
+            yield row(now, back, piece)
+
+    blocks = long_edges(words, pieces).repartition("digest").sortWithinPartitions("digest", "block")
+    solved = blocks.select("digest", "edges").mapInArrow(run, "digest string, ids array<int>")
+    named = words.select("word", _digest(F.col("word")).alias("of"))
+    return named.join(solved.hint("shuffle_merge"), F.col("of") == F.col("digest")).select("word", "ids")
+
+
 def _bits(edge: Column, shift: int, bits: int) -> Column:
     return F.shiftright(edge, shift).bitwiseAND(F.lit((1 << bits) - 1))
 
@@ -246,8 +347,12 @@ def best_path(blocks: Column, longest: int) -> Column:
 
 
 def segmented(words: DataFrame, pieces: PieceTable) -> DataFrame:
-    """(word, ids) of distinct words (word)."""
-    return lattice(words, pieces).select("word", best_path(F.col("blocks"), pieces.longest).alias("ids"))
+    """(word, ids) of distinct words (word), with n_chars if it is known."""
+    if "n_chars" not in words.columns:
+        words = words.select("word", F.char_length("word").alias("n_chars"))
+    is_long = F.col("n_chars") > LONG
+    short = lattice(words.where(~is_long), pieces).select("word", best_path(F.col("blocks"), pieces.longest).alias("ids"))
+    return short.unionByName(long_segmented(words.where(is_long), pieces))
 
 
 def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
@@ -258,10 +363,13 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     packed = pack(docs, pieces, chunk_chars)
     # A shuffle of its own, so that partitions count alike here and below.
     blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
-    wanted = packed.where("number >= 0").select("chunk", "number", "word").repartition("word")
-    # The distinct words read the columns of `wanted`, so that both share one shuffle.
-    distinct = wanted.groupBy("word").agg(F.max("chunk").alias("of"), F.max("number").alias("n"))
-    solved = segmented(distinct.where("of IS NOT NULL AND n IS NOT NULL").select("word"), pieces)
+    wanted = packed.where("number >= 0 AND word IS NOT NULL").select("chunk", "number", "word").repartition("word")
+    # The distinct words read the columns of `wanted`, and are told apart by aggregates that no
+    # filter below the shuffle can stand for, so that all share one shuffle.
+    distinct = wanted.groupBy("word").agg(
+        F.max("chunk").alias("of"), F.max("number").alias("n"), F.max(F.char_length("word")).alias("n_chars")
+    )
+    solved = segmented(distinct.where("of IS NOT NULL AND n IS NOT NULL").select("word", "n_chars"), pieces)
     answers = wanted.join(solved.hint("shuffle_merge"), "word").select(F.col("chunk").alias("of"), "number", "ids")
     shared = spark.sparkContext.broadcast(pieces)
     kind = docs.schema["doc_id"].dataType.simpleString()
