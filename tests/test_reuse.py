@@ -85,3 +85,22 @@ def test_missed_blasts_count_by_the_labels_family(spark):
     labelled = spark.createDataFrame([("1", "Personalized", 1), ("2", "Personalized", 2)], "activity_id string, pred string, fam_size int")
     truth = spark.createDataFrame([("1", "Templated", 12), ("2", "Templated", 9)], "activity_id string, label string, fam_sim int")
     assert reuse.evaluate(labelled, truth).first().hard_blast == 1
+
+
+def test_sweep_covers_the_grid(spark):
+    """Every word-window length by every threshold; cells together are as when run alone."""
+    from touchgrid.catalog.texts import SWEEP
+
+    k_t = [(k, t) for k in (1, 3, 4, 5) for t in (0.3, 0.4, 0.45, 0.5, 0.55, 0.6, 0.7)]
+    assert SWEEP == k_t
+    rng = random.Random(3)
+    base = [[rng.choice("abcdefghijklmnopqrst") * 2 for _ in range(20)] for _ in range(4)]
+    texts = [" ".join(w if rng.random() > 0.08 else "zz" for w in b) for b in base for _ in range(6)]
+    rows = [(str(i), x, i % 2 == 0, "a@example.org") for i, x in enumerate(texts)]
+    corpus = spark.createDataFrame(rows, "activity_id string, core_norm string, is_reply boolean, contact_email string")
+    truth = spark.createDataFrame([("1", "Templated", 12), ("2", "Personalized", 1)], "activity_id string, label string, fam_sim int")
+    grid = [(1, 0.3), (1, 0.7)]
+    together = {(r.k, r.threshold): r for r in reuse.sweep(corpus, truth, grid, [3], exact=True).collect()}
+    for cell in grid:
+        fam = sim.text_families(sim.unique_texts(corpus), *cell, exact=True)
+        assert together[cell].templated == reuse.label_corpus(corpus, families=fam).where("fam_size >= 3").count()

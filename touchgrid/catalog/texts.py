@@ -328,9 +328,12 @@ def _(t):
     return reuse.sweep(corpus(t), truth(t), [(4, 0.45)], [2, 3, 4, 5], exact=True)
 
 
+SWEEP = [(k, threshold) for k in (1, 3, 4, 5) for threshold in (0.3, 0.4, 0.45, 0.5, 0.55, 0.6, 0.7)]
+
+
 @query("measure_sweep", "I14")
 def _(t):
-    return reuse.sweep(corpus(t), truth(t), [(1, 0.6), (3, 0.45), (5, 0.45)], [3])
+    return reuse.sweep(corpus(t), truth(t), SWEEP, [3])
 
 
 @query("normalization_ablation", "I14 I1 I2 I3 I4 I5")

@@ -187,15 +187,19 @@ def prefix_tokens(sets: DataFrame, least: float) -> DataFrame:
 
 def family_links(
     sets: DataFrame, threshold: float = vocab.DEFAULT_FAMILY_THRESHOLD, exact: bool = False,
-    length_aware: bool = False,
+    length_aware: bool = False, bands: DataFrame | None = None, stars: DataFrame | None = None,
 ) -> DataFrame:
     """Verified links with the connectivity of every candidate pair >= threshold.
 
-    Candidates are texts that share a band; with `exact` every pair is a candidate.
+    Candidates are texts that share a band; with `exact` every pair is a candidate. Callers
+    with several thresholds give the bands, and the pairs of star_pairs with their similarity.
     """
     least = max(0.3, threshold - 0.1) if length_aware else threshold
-    bands = cut_lineage(band_keys(sets))
-    first = cut_lineage(verify(star_pairs(bands), sets, threshold, length_aware).select("a", "b"))
+    bands = cut_lineage(band_keys(sets)) if bands is None else bands
+    if stars is None:
+        first = cut_lineage(verify(star_pairs(bands), sets, threshold, length_aware).select("a", "b"))
+    else:
+        first = stars.where(F.col("sim") >= threshold).select("a", "b")
     comps = connected_components(first)
     texts = sets.select("text_key", F.size("score").alias("size")).join(
         comps.select(F.col("node").alias("text_key"), "component"), "text_key", "left"
@@ -221,7 +225,12 @@ def text_families(
 ) -> DataFrame:
     """(text_key, family): family is the smallest text_key of the connected texts."""
     sets = cut_lineage(text_sets(unique, k))
-    comps = connected_components(family_links(sets, threshold, exact, length_aware))
+    return linked_families(unique, family_links(sets, threshold, exact, length_aware))
+
+
+def linked_families(unique: DataFrame, links: DataFrame) -> DataFrame:
+    """(text_key, family) of texts by their links."""
+    comps = connected_components(links)
     return unique.select("text_key").join(
         comps.select(F.col("node").alias("text_key"), "component"), "text_key", "left"
     ).select("text_key", F.coalesce("component", "text_key").alias("family"))

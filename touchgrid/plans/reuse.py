@@ -11,7 +11,10 @@ from touchgrid import vocab
 from touchgrid.functions.html import html_to_text
 from touchgrid.functions.text import rate, squeeze, strip, word_count, words
 from touchgrid.operators.keyed import rank_in_key
-from touchgrid.operators.similarity import hashed_shingles, jaccard, nearest_other, text_families, unique_texts
+from touchgrid.operators.similarity import (
+    band_keys, family_links, hashed_shingles, jaccard, linked_families, nearest_other, star_pairs, text_families, text_sets,
+    unique_texts, verify,
+)
 from touchgrid.session import cut_lineage
 
 STEPS = ("strip_quote", "strip_greeting", "strip_sig", "strip_disclaimer", "neutralize_merge")
@@ -348,12 +351,18 @@ def sweep(
 ) -> DataFrame:
     """Metrics per (shingle length, threshold, family size); truth: activity_id, label, fam_sim.
 
-    Families are built once per (k, threshold); all family sizes share them.
+    Bands are built once, and sets and the similarities of the first pass once per k, at its
+    least threshold. Families are built once per (k, threshold); all family sizes share them.
     """
-    out = None
-    unique = unique_texts(corpus)
+    out, bands, by_k = None, None, {}
+    unique = cut_lineage(unique_texts(corpus))
     for k, threshold in grid:
-        fam = text_families(unique, k, threshold, exact)
+        if k not in by_k:
+            sets = cut_lineage(text_sets(unique, k))
+            bands = cut_lineage(band_keys(sets)) if bands is None else bands
+            by_k[k] = sets, cut_lineage(verify(star_pairs(bands), sets, min(t for j, t in grid if j == k)))
+        sets, stars = by_k[k]
+        fam = linked_families(unique, family_links(sets, threshold, exact, bands=bands, stars=stars))
         rows = label_corpus(corpus, families=fam).select("activity_id", "fam_size", "is_reply")
         rows = rows.join(truth.select("activity_id", "label", "fam_sim"), "activity_id", "left")
         many = rows.withColumn("least_size", F.explode(F.array(*[F.lit(s) for s in sizes])))
