@@ -5,9 +5,11 @@ Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from touchgrid.llm import bandjoin, chat, decontaminate, htmlcut, langid, linededup, pieces, quality, shards, topk
+from touchgrid.llm import (
+    bandjoin, chat, decontaminate, heapmeans, htmlcut, langid, linededup, pieces, quality, shards, topk,
+)
 
-MODULES = (quality, langid, linededup, htmlcut, pieces, bandjoin, chat, topk, decontaminate, shards)
+MODULES = (quality, langid, linededup, htmlcut, pieces, bandjoin, chat, topk, decontaminate, shards, heapmeans)
 
 
 def queries() -> dict:

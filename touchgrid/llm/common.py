@@ -11,6 +11,8 @@ from touchgrid.session import ensure_checkpoint_dir, prepare
 
 #: Rows of an Arrow batch; with whole texts in them a batch stays at a few MB.
 BATCH_ROWS = 1000
+#: Bytes of an Arrow batch of packed blocks.
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of `shared_folder` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def block_batches(blocks: DataFrame) -> DataFrame:
+    """Rows that hold packed blocks, for a Python step: batches are bounded by bytes, not by rows alone."""
+    blocks.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return blocks
+
+
 def stage_table(df: DataFrame, purpose: str) -> DataFrame:
     """Write a small intermediate table into the shared folder and read it back."""
     path = shared_folder(df.sparkSession, purpose)
