@@ -15,7 +15,7 @@ Distances are exact integers; the bounds are doubles, widened by more than their
 
 Defined results: a vector that is null, has another number of components than asked for, or a
 null or non-finite component takes no part; components beyond 64 bits are clipped, as are
-distances and their sums; ties go to the smaller centroid number; rows that repeat an id are
+distances, and then their sums; ties go to the smaller centroid number; rows that repeat an id are
 vectors of their own, equal start hashes are ordered by components; a row without an id is
 clustered but starts a centroid only where the others are too few; with fewer than k vectors there are
 fewer centroids; an empty centroid stays where it is; an empty table gives no rows; columns beside
@@ -186,14 +186,14 @@ class _Rounds:
             row = {n: pa.array([v]) for n, v in block.stored().items()}
             sums = _sums(changed)
             if last:
-                far = block.own_distances(centroids)
+                far = [min(d, LONG_MAX) for d in block.own_distances(centroids)]
                 spread = dict.fromkeys(set(block.cluster.tolist()), 0)
                 for c, d in zip(block.cluster.tolist(), far, strict=True):
                     spread[c] += d
                 # After the last round the sums are those of the distances.
                 sums = [{"cluster": c, "place": 0, "value": Decimal(d)} for c, d in spread.items()]
                 row |= {"clusters": pa.array([block.cluster.tolist()], pa.list_(pa.int32())),
-                        "distances": pa.array([[min(d, LONG_MAX) for d in far]], pa.list_(pa.int64()))}
+                        "distances": pa.array([far], pa.list_(pa.int64()))}
             row = {"ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)} | row
             return pa.RecordBatch.from_pydict(row | {"sums": pa.array([sums], _sums_type())})
 
