@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from touchgrid.llm import heapmeans, pivotdups
+from touchgrid.llm import hardneg, heapmeans, pivotdups
 
 
 def brute_clusters(rows, k, rounds, scale, dim, seed):
@@ -196,3 +196,76 @@ def test_hash_is_sparks(spark):
     words = ["", "a b c", "Straße x y", "x" * 100]
     got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()]
     assert [g % (1 << 64) for g in got] == [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+
+
+def brute_negatives(rows, is_anchor, scale=256):
+    kept = {}
+    for i, e, label in rows:
+        if i is None or label is None or e is None or any(x is None or not np.isfinite(x) for x in e):
+            continue
+        v = (label, [int(np.floor(scale * float(x))) for x in e])
+        kept[i] = min(kept.get(i, v), v)
+    out = []
+    for a, (label, q) in kept.items():
+        if not is_anchor(a):
+            continue
+        scores = [
+            (-sum(x * y for x, y in zip(q, v)), i, own == label) for i, (own, v) in kept.items() if i != a and len(v) == len(q)
+        ]
+        for p, positive, same in sorted(x for x in scores if x[2])[:5]:
+            fit = sorted((s, i) for s, i, same in scores if not same and 50 * -p <= 100 * -s <= 95 * -p)
+            out += [(a, positive, n + 1, i, -p, -s) for n, (s, i) in enumerate(fit[:3])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("spread", [1.0, 1e6])
+def test_hard_negatives_against_every_pair(spark, spread):
+    rng = random.Random(6)
+    centers = [[rng.gauss(0, spread) for _ in range(70)] for _ in range(4)]
+
+    def near(n):
+        return [float(np.float32(x + rng.gauss(0, 0.8 * spread))) for x in centers[n]]
+
+    rows = [(i, near(i % 4), i % 3) for i in range(300)]
+    rows += [(1000 + i, rows[3][1], 2) for i in range(60)] + [(2000, [0.0] * 70, 1), (2010, [0.0] * 70, 1), (2001, [0.0] * 70, 2)]
+    rows += [(3000 + 10 * i, [1.0, float(i)], i % 2) for i in range(8)]
+    rows += [(5, near(1), 0), (10, near(1), 1), (None, near(0), 1), (4000, near(0), None), (4010, None, 1), (4020, [None] * 70, 1)]
+    rows += [(4030, [float("nan")] * 70, 1), (4040, [], 1), (5000, near(0), 77)]
+    schema = "vec_id long, embedding array<float>, label int, name string, part int, low int"
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], schema).repartition(3)
+    got = hardneg.hard_negatives(df, F.col("vec_id") % 10 == 0, shard_rows=40, block_rows=9, group_shards=3)
+    want = brute_negatives(rows, lambda i: i % 10 == 0)
+    assert sorted(map(tuple, got.collect())) == want
+    assert len(want) > 150
+    assert hardneg.hard_negatives(df.where("false"), F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_intervals_hold_every_product():
+    rng = np.random.default_rng(9)
+    for dim in (1, 5, 64, 130):
+        points = rng.integers(-300, 300, (200, dim))
+        points[0] = 0
+        queries = np.concatenate([points[:5], rng.integers(-300, 300, (20, dim))])
+        turn = hardneg.rotation(dim)
+        assert np.allclose(turn @ turn.T, np.eye(dim))
+        low, high = hardneg.intervals(queries, *hardneg.encode(points, turn), turn)
+        exact = queries @ points.T
+        assert (low <= exact).all() and (exact <= high).all()
+        if dim > 5:
+            length = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(points, axis=1)
+            assert ((high - low)[:, 1:] < 2 * length[:, 1:] + 1)[1:].all()
+
+
+def test_codes_spare_rows():
+    """Rows far from an anchor are ruled out by their interval alone."""
+    rng = np.random.default_rng(2)
+    centre = rng.standard_normal(64)
+    points = np.concatenate([centre + 0.2 * rng.standard_normal((100, 64)), -centre + 0.2 * rng.standard_normal((900, 64))])
+    points = np.floor(256 * points).astype(np.int64)
+    turn = hardneg.rotation(64)
+    codes, norms, alignments = hardneg.encode(points, turn)
+    shard = {"ids": np.arange(1000), "labels": np.zeros(1000, int), "points": points, "codes": codes, "norms": norms, "alignments": alignments}
+    anchors = {"ids": np.arange(3), "labels": np.zeros(3, int), "points": points[:3]}
+    wants = [[hardneg.Want(hardneg.LONG_MIN, hardneg.LONG_MAX, 5)] for _ in range(3)]
+    hardneg.search(shard, anchors, wants, True, turn)
+    assert hardneg.search(shard, anchors, wants, True, turn) < 3 * 150

@@ -6,11 +6,13 @@ Nothing else in the library imports this package.
 from __future__ import annotations
 
 from touchgrid.llm import (
-    bandjoin, chat, decontaminate, heapmeans, htmlcut, langid, linededup, pieces, pivotdups, quality, shards,
-    topk,
+    bandjoin, chat, decontaminate, hardneg, heapmeans, htmlcut, langid, linededup, pieces, pivotdups, quality,
+    shards, topk,
 )
 
-MODULES = (quality, langid, linededup, htmlcut, pieces, bandjoin, chat, topk, decontaminate, shards, heapmeans, pivotdups)
+MODULES = (
+    quality, langid, linededup, htmlcut, pieces, bandjoin, chat, topk, decontaminate, shards, heapmeans, pivotdups, hardneg,
+)
 
 
 def queries() -> dict:
