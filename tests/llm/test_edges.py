@@ -325,3 +325,20 @@ def test_long_words(spark, small_table):
     assert got == {w: best_split(w, small_table) for w in words}
     sizes = pieces.long_edges(frame.where(f"char_length(word) > {n}"), small_table).selectExpr("max(size(edges)) AS m").first()
     assert sizes["m"] <= pieces.BLOCK * small_table.longest
+
+
+def test_fits_hold_their_bound_for_repeated_ids(spark, monkeypatch):
+    """One id repeated many times is one training document, as each fit's bound says."""
+    many = spark.range(2000).select(
+        F.lit(2).cast("long").alias("doc_id"), F.concat(F.lit("some words of a text "), F.col("id")).alias("text"), F.lit("en").alias("lang")
+    )
+    few = spark.createDataFrame([(i, f"other text number {i}", "de") for i in range(30)], "doc_id long, text string, lang string")
+    both = many.unionByName(few)
+    assert langid._sample(both, 10).groupBy("lang").count().where("count > 10").count() == 0
+    seen = []
+    rows_of = quality._sparse_rows
+    monkeypatch.setattr(quality, "_sparse_rows", lambda df: seen.append(df.count()) or rows_of(df))
+    quality.fit(both, both.select("doc_id", F.lit(1).alias("grade")), fit_rows=5, rounds=2)
+    assert seen == [5]
+    pages = many.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("html"))
+    assert htmlcut.fit(pages, rounds=1).shape == htmlcut.fit(pages.limit(1), rounds=1).shape

@@ -116,3 +116,17 @@ def test_pieces(stages):
 
 def test_run_applies_every_stage(spark, stages):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()) == sorted(r.doc_id for r in stages[-1][2])
+
+
+def test_columns_that_clash(spark):
+    """Columns named like what a stage computes come through, and change nothing."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    extra = ["kept_text", "n_lines", "N_Dropped", "doc", "body", "gone_id", "words", "chunk", "lang_pred", "score", "a.b"]
+    wide = docs.selectExpr("*", *[f"'x{i}' AS `{c}`" for i, c in enumerate(extra)])
+    for _, fn in corpus_pipeline.STAGES[:-1]:
+        done = fn(spark, wide, SF)
+        assert done.columns == wide.columns
+        plain = fn(spark, docs, SF)
+        assert sorted(map(tuple, done.select(*docs.columns).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        assert {tuple(r[-len(extra):]) for r in done.collect()} == {tuple(f"x{i}" for i in range(len(extra)))}
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() == docs.count()

@@ -275,7 +275,9 @@ def fit(pages: DataFrame, fit_pages: int = FIT_PAGES, rounds: int = ROUNDS):
                         labels.append(int(not b.boiler))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())], ["x", "y"])
 
-    sample = pages.join(F.broadcast(chosen), "page_id").select("html").mapInArrow(run, "x array<double>, y int").toPandas()
+    # Rows that repeat a page_id are one page here, so the bound holds for rows too.
+    sample = pages.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    sample = sample.select("html").mapInArrow(run, "x array<double>, y int").toPandas()
     w = np.zeros(TEXT_DIMS + MARK_DIMS)
     # Without a sample the marks alone decide.
     w[TEXT_DIMS:TEXT_DIMS + 2] = 4.0, -4.0

@@ -147,8 +147,10 @@ def _sample(docs: DataFrame, fit_docs: int) -> DataFrame:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
     chosen = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_docs)
-    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), "place"))
-    met = usable.join(chosen, (F.col("doc_id") == F.col("d")) & (F.col("lang") == F.col("l")))
+    # Rows that repeat a doc_id are one document here, so the bound holds for rows too.
+    chosen = chosen.groupBy(F.col("doc_id").alias("d"), F.col("lang").alias("l")).agg(F.min("place").alias("place"))
+    met = usable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("d")) & (F.col("lang") == F.col("l")))
+    met = met.groupBy("d", "lang", "place").agg(F.min("text").alias("text"))
     return met.select("lang", "place", "text").orderBy("lang", "place", "text")
 
 

@@ -98,9 +98,13 @@ def keep_bitmaps(
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
+    names: tuple[str, str, str] = ("kept_text", "n_lines", "n_dropped"),
 ) -> DataFrame:
-    """`docs` with `kept_text`, `n_lines` (before) and `n_dropped` appended."""
+    """`docs` with the kept text, the number of lines (before) and of those dropped appended under `names`.
+
+    A column of docs that has one of these names gives way.
+    """
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars).alias("bitmap")
     whole = docs.alias("docs")
     text, keep = F.col(f"docs.{text_col}"), F.col("bitmap.keep")
@@ -111,11 +115,12 @@ def dedup_lines(
     )
     lines = split_lines(text)
     pieces = F.flatten(F.transform(keep, lambda r: F.slice(lines, r["first"] + 1, r["length"])))
+    taken = {n.lower() for n in names}
     return joined.select(
-        "docs.*",
-        F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(pieces, "\n")).alias("kept_text"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.col("bitmap.n_dropped"), F.lit(0)).alias("n_dropped"),
+        *[F.col(f"docs.`{c}`") for c in docs.columns if c.lower() not in taken],
+        F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(pieces, "\n")).alias(names[0]),
+        F.size(lines).cast("long").alias(names[1]),
+        F.coalesce(F.col("bitmap.n_dropped"), F.lit(0)).alias(names[2]),
     )
 
 

@@ -103,7 +103,8 @@ def fit(docs: DataFrame, grades: DataFrame, fit_rows: int = FIT_ROWS_PER_GRADE,
     rated = grades.where("grade IS NOT NULL").where(~held_out(F.col("doc_id")))
     rated = rated.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     chosen = rated.withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_rows)
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    # Rows that repeat a rated doc_id are one document here, so the bound holds for rows too.
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     rows = _sparse_rows(sample).where(F.size("columns") > 0).toArrow()
     weights, thresholds = np.zeros(1 << HASH_BITS), np.log(np.arange(1, GRADES) / np.arange(GRADES - 1, 0, -1))
     if not rows.num_rows:
