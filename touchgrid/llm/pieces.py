@@ -32,7 +32,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchgrid.llm.common import table
+from touchgrid.llm.common import block_batches, stage_table, table
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -44,7 +44,7 @@ LEN_BITS, COST_BITS, ID_BITS = 5, 30, 21
 UNREACHED = 1 << 60
 UNKNOWN_PENALTY = 10
 #: Characters of text in one packed chunk.
-CHUNK_CHARS = 10 << 20
+CHUNK_CHARS = 4 << 20
 WORD = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 PACKED = "chunk long, number int, word string, blob binary"
 
@@ -101,8 +101,7 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
     """Documents (doc_id, text) -> packed chunks: one blob row and a row for each distinct word.
 
     A chunk's number is a hash of its contents, its words, and its place (partition and ordinal):
-    equal chunks stay apart, a task that runs again gives the same, and where the rows of a
-    partition are not repeatable the words do not find the chunk, which is an error.
+    equal chunks stay apart, and a task that runs again over the same rows gives the same.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
@@ -360,7 +359,8 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
-    packed = pack(docs, pieces, chunk_chars)
+    # Packed once and read twice: the chunks, and their words.
+    packed = block_batches(stage_table(pack(docs, pieces, chunk_chars), "chunks"))
     # A shuffle of its own, so that partitions count alike here and below.
     blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
     wanted = packed.where("number >= 0 AND word IS NOT NULL").select("chunk", "number", "word").repartition("word")
