@@ -38,8 +38,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = linededup.dedup_lines(docs)
-    changed = {"text": F.when(docs["text"].isNotNull(), F.col("kept_text"))}
+    # Names that no column has, so that none of docs gives way.
+    done = linededup.dedup_lines(docs, names=("kept text found here", "lines found here", "lines dropped here"))
+    changed = {"text": F.when(F.col("text").isNotNull(), F.col("`kept text found here`"))}
     changed["n_chars"] = F.char_length(changed["text"]).cast("long")
     return done.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
