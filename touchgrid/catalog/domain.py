@@ -291,6 +291,9 @@ SELECT CAST(l_orderkey AS STRING) || CAST(l_linenumber AS STRING) || lpad(CAST(l
             ELSE 'Rep <rep.' || """ + _REP + """ || '@corp.example.com>' END AS from_email,
        CASE WHEN o_orderstatus = 'P' THEN 'rep.' || """ + _REP + """ || '@corp.example.com'
             WHEN o_totalprice < 15000 THEN 'team@corp.example.com'
+            WHEN o_orderkey % 13 = 5 THEN
+              CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE 'Buyer <' || """ + _BUYER + """ || '>' END
+                || CASE WHEN l_linenumber % 3 = 1 THEN '' ELSE '; desk' || CAST(o_orderkey AS STRING) || '@partner.example.net' END
             ELSE 'Buyer <' || """ + _BUYER + """ || '>; ops@corp.example.com' END AS to_email,
        CASE WHEN l_returnflag = 'N' THEN 'cc' || CAST(l_suppkey AS STRING) || '@partner.example.net' END AS cc_email,
        CASE WHEN l_quantity > 45 THEN 'bcc' || CAST(l_partkey AS STRING) || '@partner.example.net' END AS bcc_email,

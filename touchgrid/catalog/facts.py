@@ -77,19 +77,35 @@ MODEL_VIEWS = {
         SELECT *, list_filter(r0, lambda a, i: list_position(r0, a) = i) AS recipients,
           coalesce({DOMAIN_OF.format('sender')} IN ({INTERNAL}), FALSE) AS outb FROM {{prep0}})""",
     "ranked": f"SELECT *, row_number() OVER (ORDER BY ts NULLS LAST, {id_order_sql('id')}) AS seq FROM {{prep}}",
-    "pairs": """SELECT a.id AS a, b.id AS b FROM {prep} a JOIN {prep} b
-        ON a.sender = b.sender AND a.direction = b.direction AND a.id < b.id
+    "shared": """SELECT *, CASE WHEN direction = 'outbound' THEN external_recipients ELSE recipients END AS who FROM {ranked}""",
+    "pairs": """SELECT a.id AS a, b.id AS b, a.seq AS seq_a, b.seq AS seq_b, a.is_invite AND b.is_invite AS free
+        FROM {shared} a JOIN {shared} b ON a.sender = b.sender AND a.direction = b.direction AND a.seq < b.seq
         AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 180000000
         WHERE CASE WHEN a.is_invite AND b.is_invite THEN a.subject_norm = b.subject_norm AND a.subject_norm <> ''
-          ELSE list_has_any(CASE WHEN a.direction = 'outbound' THEN a.external_recipients ELSE a.recipients END,
-                            CASE WHEN b.direction = 'outbound' THEN b.external_recipients ELSE b.recipients END)
+          ELSE list_has_any(a.who, b.who)
             AND CASE WHEN a.body_norm IS NOT NULL AND b.body_norm IS NOT NULL
                 THEN a.body_norm = b.body_norm OR (least(length(a.body_norm), length(b.body_norm)) >= 20
                      AND (starts_with(a.body_norm, b.body_norm) OR starts_with(b.body_norm, a.body_norm)))
                 ELSE a.subject_norm = b.subject_norm END END""",
     "both_ways": "SELECT a, b FROM {pairs} UNION ALL SELECT b, a FROM {pairs}",
     "reach": """SELECT id, id AS other FROM {prep} UNION SELECT r.id, p.b FROM reach r JOIN {both_ways} p ON p.a = r.other""",
-    "clusters": "SELECT id, min(other) AS cluster_id FROM {reach} GROUP BY 1",
+    "closure": "SELECT id, min(other) AS component FROM {reach} GROUP BY 1",
+    # The pairs of a component in order; the fold joins the groups of a pair unless no recipient is left.
+    "in_order": """SELECT c.component, p.*, row_number() OVER (PARTITION BY c.component ORDER BY seq_a, seq_b) AS k
+        FROM {pairs} p JOIN {closure} c ON c.id = p.a""",
+    "fold": """SELECT component, CAST(0 AS BIGINT) AS k, list(struct_pack(ids := [s.id], who := s.who)) AS groups
+        FROM {shared} s JOIN {closure} c ON c.id = s.id WHERE component IN (SELECT component FROM {in_order}) GROUP BY component
+        UNION ALL
+        SELECT component, k, CASE WHEN list_contains(g.ids, b) OR (NOT free AND NOT list_has_any(g.who, h.who)) THEN groups
+          ELSE list_append(list_filter(groups, lambda x: NOT list_contains(x.ids, a) AND NOT list_contains(x.ids, b)),
+            struct_pack(ids := list_concat(g.ids, h.ids),
+                        who := CASE WHEN free THEN list_concat(g.who, h.who) ELSE list_intersect(g.who, h.who) END)) END
+        FROM (SELECT f.component, p.k, p.a, p.b, p.free, f.groups, list_filter(f.groups, lambda x: list_contains(x.ids, p.a))[1] AS g,
+                list_filter(f.groups, lambda x: list_contains(x.ids, p.b))[1] AS h
+              FROM fold f JOIN {in_order} p ON p.component = f.component AND p.k = f.k + 1)""",
+    "grouped": """SELECT unnest(grp.ids) AS id, list_min(grp.ids) AS cluster_id FROM (
+        SELECT unnest(groups) AS grp FROM (SELECT component, arg_max(groups, k) AS groups FROM {fold} GROUP BY component))""",
+    "clusters": "SELECT c.id, coalesce(g.cluster_id, c.id) AS cluster_id FROM {closure} c LEFT JOIN {grouped} g ON g.id = c.id",
     "crows": "SELECT c.cluster_id, p.* FROM {ranked} p JOIN {clusters} c ON c.id = p.id",
     "can": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY body_norm IS NULL,
         len(recipients) = 0, ts NULLS LAST, {id_order_sql('id')}) AS rn FROM {{crows}}) WHERE rn = 1""",
@@ -303,7 +319,7 @@ def _(t):
                              "recipients", "external_recipients")
 
 
-@query("email_merge_links", "D2", "SELECT id, cluster_id AS component FROM {clusters}", MODEL_VIEWS)
+@query("email_merge_links", "D2", "SELECT id, component FROM {closure}", MODEL_VIEWS)
 def _(t):
     rows = staged(t)
     found = connected_components(em.merge_links(rows)).withColumnRenamed("node", "rid")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -56,3 +57,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, keeps iterative plans short."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Scratch:
+    """Intermediate tables of an iterative job, written below the shared checkpoint folder.
+
+    Unlike a checkpoint, a table read back has the size of its files, and not an estimate that
+    the joins of every round multiply; and a spent one can be deleted.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        ensure_checkpoint_dir(spark)
+        self.spark = spark
+        self.folder = f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
+        df.write.option("compression", "zstd").parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = path
+        return back
+
+    def drop(self, *spent: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for df in spent:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
