@@ -100,6 +100,7 @@ def test_last_publication_wins(spark, tmp_path):
 
 
 def test_upsert_stream_continues_on_a_new_checkpoint(spark, tmp_path):
+    from touchgrid.sources import mirror
     from touchgrid.streaming.landing import append_stream, upsert_stream
 
     src, base = str(tmp_path / "src"), str(tmp_path / "mirror")
@@ -108,7 +109,7 @@ def test_upsert_stream_continues_on_a_new_checkpoint(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{src}{n}")
         stream = spark.readStream.schema(schema).parquet(f"{src}{n}")
         upsert_stream(stream, base, str(tmp_path / f"c{n}"), "modified").awaitTermination()
-    got = landing.read_published(spark, base, "mirror").collect()
+    got = mirror.read_mirror(spark, base, schema).collect()
     assert sorted(tuple(r) for r in got) == [("a", 3, 2), ("b", 2, 1)]
     for n in (0, 1, 1):
         stream = spark.readStream.schema(schema).parquet(f"{src}{n}")

@@ -104,3 +104,26 @@ def test_sweep_covers_the_grid(spark):
     for cell in grid:
         fam = sim.text_families(sim.unique_texts(corpus), *cell, exact=True)
         assert together[cell].templated == reuse.label_corpus(corpus, families=fam).where("fam_size >= 3").count()
+
+
+def test_nearest_other_with_a_shingle_on_every_text(spark):
+    """A shingle that all share: the same answers as all pairs, and no row for each pair."""
+    rng = random.Random(5)
+    ends = ["", " common tail of all four words", " second tail of words here"]
+    left = [(f"t{i}", f"f{i % 9}", " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(4, 12))) + rng.choice(ends)) for i in range(150)]
+    reps = [(f"f{i}", " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(4, 12))) + ends[i % 3]) for i in range(60)]
+
+    def sets(text):
+        w = text.split()
+        return {" ".join(w[i:i + 4]) for i in range(len(w) - 3)}
+
+    want = {}
+    for key, family, text in left:
+        a = sets(text)
+        scored = [(-(len(a & b) / len(a | b)), f) for f, b in ((f, sets(t)) for f, t in reps) if f != family and a & b]
+        want[key] = min(scored) if scored else (0.0, None)
+    x = spark.createDataFrame(left, "text_key string, family string, text string")
+    y = spark.createDataFrame(reps, "family string, text string")
+    for postings in (0, 8, 1000):
+        got = {r.text_key: (-r.nearest_j, r.nearest_family) for r in sim.nearest_other(x, y, postings=postings).collect()}
+        assert {k: (round(d, 9), f) for k, (d, f) in got.items()} == {k: (round(d, 9), f) for k, (d, f) in want.items()}

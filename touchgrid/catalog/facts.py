@@ -409,8 +409,8 @@ def _(t):
 
 @query("fact_source_arrays", "D13", """
 SELECT activity_id, string_agg("table" || '/' || id || '/' || coalesce(detail, ''), ';' ORDER BY """ + id_order_sql("id") + """) AS source_ids
-FROM {sources} WHERE "table" = 'raw_meetings' GROUP BY 1""", MODEL_VIEWS)
+FROM {sources} GROUP BY 1""", MODEL_VIEWS)
 def _(t):
-    f = model.with_source_ids(meeting_fact(t), model.meeting_sources(t["raw_meetings"]))
+    f = model.with_source_ids(fact(t), sources(t))
     flat = F.transform("source_ids", lambda s: F.concat_ws("/", s["table"], s["id"], F.coalesce(s["detail"], F.lit(""))))
     return f.select("activity_id", F.array_join(flat, ";").alias("source_ids"))

@@ -153,14 +153,6 @@ def _(t):
     return reuse.corpus_profile(reuse.with_counts(corpus(t)), (0.25, 0.5, 0.75))
 
 
-@query("corpus_extract", "A18", """
-SELECT activity_id, ca_name, channel, account_name, contact_jobtitle, contact_email FROM {activity_flat}
-WHERE counts AND channel IN ('auto_email', 'manual_email')""")
-def _(t):
-    flat = t["activity_flat"].withColumns({"subject_norm": tx.norm_subject("subject"), "body_html": F.lit(None).cast("string")})
-    return reuse.corpus_extract(flat).select("activity_id", "ca_name", "channel", "account_name", "contact_jobtitle", "contact_email")
-
-
 # ---- similarity ------------------------------------------------------------------
 @query("text_shingles", "I6", "SELECT text_key, len(sh) AS n, md5(array_to_string(list_sort(sh), '|')) AS h FROM {sets}", T_VIEWS)
 def _(t):

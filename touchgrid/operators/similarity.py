@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchgrid import vocab
@@ -236,26 +236,67 @@ def linked_families(unique: DataFrame, links: DataFrame) -> DataFrame:
     ).select("text_key", F.coalesce("component", "text_key").alias("family"))
 
 
+#: Representatives a shingle may have to be joined one by one; commoner ones go by signature.
+POSTINGS = 64
+
+
 def nearest_other(
-    left: DataFrame, reps: DataFrame, k: int = vocab.DEFAULT_SHINGLE_WORDS
+    left: DataFrame, reps: DataFrame, k: int = vocab.DEFAULT_SHINGLE_WORDS, postings: int = POSTINGS
 ) -> DataFrame:
     """(text_key, nearest_family, nearest_j): best representative of another family.
 
-    left: text_key, family, text. reps: family, text. Overlaps are counted through an
-    inverted index of shingles, so texts that share nothing never meet.
+    left: text_key, family, text. reps: family, text. A top-1 set join in two steps:
+
+    1. Shingles of few representatives: texts meet them through the inverted index, and every
+       pair that meets is scored whole (what it shares of common shingles is counted in).
+    2. A representative not met yet shares common shingles only. With h of these, a text of n
+       shingles cannot score above h / n, so texts that have as much already are done. The others
+       are folded by the set of their common shingles, as are the representatives; signatures
+       meet, and of all representatives with one signature only the two smallest can win.
+
+    A shingle that sits on every text and every representative thus makes rows for signatures, not
+    for pairs.
     """
     a = left.select("text_key", "family", hashed_shingles("text", k).alias("sh"))
     b = reps.select(F.col("family").alias("rep_family"), hashed_shingles("text", k).alias("sh"))
     a_tok = a.select("text_key", "family", F.size("sh").alias("na"), F.explode("sh").alias("tok"))
     b_tok = b.select("rep_family", F.size("sh").alias("nb"), F.explode("sh").alias("tok"))
-    both = (
-        a_tok.join(b_tok, "tok")
-        .where("family <> rep_family")
-        .groupBy("text_key", "na", "rep_family", "nb")
-        .agg(F.count(F.lit(1)).alias("common"))
-        .withColumn("j", F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
+    held = cut_lineage(b_tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+    a_tok = cut_lineage(a_tok.join(held, "tok"))
+    b_tok = cut_lineage(b_tok.join(held, "tok"))
+    rare, common = F.col("df") <= postings, F.col("df") > postings
+
+    def signature(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.where(common).groupBy(*by).agg(F.sort_array(F.collect_list("tok")).alias("sig"))
+
+    a_sig = cut_lineage(signature(a_tok, "text_key", "family", "na"))
+    b_sig = cut_lineage(signature(b_tok, "rep_family", "nb"))
+    met = (
+        a_tok.where(rare).join(b_tok.where(rare).select("tok", "rep_family", "nb"), "tok").where("family <> rep_family")
+        .groupBy("text_key", "na", "rep_family", "nb").agg(F.count(F.lit(1)).alias("shared"))
+        .join(a_sig.select("text_key", F.col("sig").alias("sa")), "text_key", "left")
+        .join(b_sig.select("rep_family", F.col("sig").alias("sb")), "rep_family", "left")
     )
-    best = both.groupBy("text_key").agg(F.min(F.struct((-F.col("j")).alias("d"), "rep_family")).alias("m"))
+    shared = F.col("shared") + F.coalesce(F.size(F.array_intersect("sa", "sb")), F.lit(0))
+    score = F.struct((-(shared / (F.col("na") + F.col("nb") - shared))).alias("d"), "rep_family")
+    first = cut_lineage(met.groupBy("text_key").agg(F.min(score).alias("m")))
+
+    bound = F.size("sig") / F.col("na")
+    # Of equal scores the first family by name counts, so a text that may tie is still open.
+    still = a_sig.join(first, "text_key", "left").where(F.col("m").isNull() | (bound >= -F.col("m.d")))
+    still = still.select("text_key", "family", "na", "sig")
+    smallest = Window.partitionBy("sig").orderBy("nb", "rep_family")
+    two = b_sig.withColumn("n", F.row_number().over(smallest)).where("n <= 2").select(F.col("sig").alias("sb"), "rep_family", "nb")
+    x = still.select(F.col("sig").alias("sa")).distinct().withColumn("tok", F.explode("sa"))
+    y = b_sig.select(F.col("sig").alias("sb")).distinct().withColumn("tok", F.explode("sb"))
+    overlaps = x.join(y, "tok").groupBy("sa", "sb").agg(F.count(F.lit(1)).alias("shared"))
+    ask = still.select(F.col("sig").alias("sa"), "na").distinct().join(overlaps, "sa").join(two, "sb")
+    score = F.struct((-(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))).alias("d"), "rep_family")
+    best = Window.partitionBy("sa", "na").orderBy("m")
+    ask = ask.withColumn("m", score).withColumn("n", F.row_number().over(best)).where("n <= 2").select("sa", "na", "m")
+    second = still.join(ask.withColumnRenamed("na", "n"), (F.col("sig") == F.col("sa")) & (F.col("na") == F.col("n")))
+    second = second.where("family <> m.rep_family").select("text_key", "m")
+    best = first.unionByName(second).groupBy("text_key").agg(F.min("m").alias("m"))
     return left.select("text_key").distinct().join(best, "text_key", "left").select(
         "text_key", F.col("m.rep_family").alias("nearest_family"),
         F.coalesce(-F.col("m.d"), F.lit(0.0)).alias("nearest_j"),

@@ -157,6 +157,19 @@ def live_rows(mirror: DataFrame) -> DataFrame:
     return mirror.where(F.col("last_seen_at") == mirror.agg(F.max("last_seen_at")).scalar())
 
 
+def time_bin(ts: Column, level: Column, bucket_seconds: int) -> Column:
+    """The bin of a time at a level; a level's bins are twice as long as those of the one below."""
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(bucket_seconds) / F.pow(F.lit(2.0), level))
+
+
+def slot_bins(slots: DataFrame, low: str, high: str, bucket_seconds: int) -> DataFrame:
+    """Each slot with `_level` and `_bin`, once or twice: bins at its level are no shorter than it is."""
+    seconds = F.unix_seconds(F.col(high).cast("timestamp")) - F.unix_seconds(F.col(low).cast("timestamp"))
+    level = F.ceil(F.log2(F.greatest(seconds / F.lit(bucket_seconds), F.lit(1.0)))).cast("int")
+    ends = [time_bin(F.col(c), F.col("_level"), bucket_seconds) for c in (low, high)]
+    return slots.withColumn("_level", level).withColumn("_bin", F.explode(F.array_distinct(F.array(*ends))))
+
+
 def recording_verification(
     meetings: DataFrame,
     recordings: DataFrame,
@@ -169,30 +182,32 @@ def recording_verification(
 ) -> DataFrame:
     """Meetings proven by a completed recording inside the slot with a shared contact.
 
-    The join is driven by (contact, time bucket): a slot is placed in every bucket it
-    reaches, a recording in one, and the exact slot test runs on the few survivors. A
-    contact that sits on very many rows is thereby split over its time buckets.
+    The join is driven by (contact, time bin). Bins double in length from level to level; a
+    slot stands in the one or two bins it reaches at the first level whose bins are as long as
+    it is, a recording in one bin of every level that some slot stands at, and the exact slot
+    test runs on the few survivors. So a slot of any length costs two rows, and a contact that
+    sits on very many rows is split over its bins.
     """
-    bucket = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / bucket_seconds)
     slots = meetings.where(F.col("start_time").isNotNull()).select(
         "activity_id", "meeting_id",
         (F.col("start_time") - F.expr(f"interval {before}")).alias("_lo"),
         (F.coalesce("end_time", F.col("start_time") + F.expr(f"interval {default_length}"))
          + F.expr(f"interval {after}")).alias("_hi"),
     ).where("_hi >= _lo")
-    slots = (
-        slots.join(meeting_contacts.select("meeting_id", "contact_id").distinct(), "meeting_id")
-        .withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_lo")), bucket(F.col("_hi")))))
-    )
+    slots = slot_bins(slots, "_lo", "_hi", bucket_seconds)
+    # A level for each doubling of the length: at most some fifty rows, whatever the data.
+    levels = slots.select("_level").distinct()
+    slots = slots.join(meeting_contacts.select("meeting_id", "contact_id").distinct(), "meeting_id")
     heard = (
         live_rows(recordings)
         .where((F.col("call_status") == "COMPLETED") & F.col("call_time").isNotNull())
         .select(F.col("id").alias("call_id"), "title", "call_time")
+        .crossJoin(F.broadcast(levels))
+        .withColumn("_bin", time_bin(F.col("call_time"), F.col("_level"), bucket_seconds))
         .join(recording_contacts.select("call_id", "contact_id").distinct(), "call_id")
-        .withColumn("_bucket", bucket(F.col("call_time")))
     )
     return (
-        slots.join(heard, ["contact_id", "_bucket"])
+        slots.join(heard, ["contact_id", "_level", "_bin"])
         .where((F.col("call_time") >= F.col("_lo")) & (F.col("call_time") <= F.col("_hi")))
         .groupBy("activity_id")
         .agg(F.min(F.struct("call_time", "call_id", "title")).alias("_first"))

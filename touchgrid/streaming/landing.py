@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchgrid import vocab
-from touchgrid.sources.landing import append_absent, current_version, publish, read_published, upsert
+from touchgrid.sources.landing import append_absent
+from touchgrid.sources.mirror import upsert_mirror
 
 
 def _held(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -29,19 +30,15 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str, key: str = "i
 
 
 def upsert_stream(stream: DataFrame, base: str, checkpoint: str, order: str, key: str = "id") -> StreamingQuery:
-    """Keep the latest state per key; each batch publishes the next version of the mirror.
+    """Keep the latest state per key in a copy-on-write mirror; each batch that changes it publishes the next number.
 
-    The held state is found through the published pointer, so a new checkpoint continues
-    where the last one stopped. A replayed batch meets its own rows and changes nothing,
-    because of equal keys the later row by `order` wins, held or new.
+    The held state is found through the manifests, so a new checkpoint continues where the
+    last one stopped. A replayed batch meets its own rows and changes nothing, as of equal
+    keys the later row by `order` wins, held or new, and equal orders are told apart by content.
     """
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        now = current_version(spark, base)
-        rows = batch if now is None else read_published(spark, base, "mirror").unionByName(batch)
-        nothing = rows.where("false")
-        publish(spark, base, f"v{int(now[1:]) + 1 if now else 1}", {"mirror": upsert(nothing, rows, order, key)})
+    def write(batch: DataFrame, _epoch: int) -> None:
+        upsert_mirror(batch, base, order, key)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
