@@ -143,7 +143,7 @@ def posteriors(scores, transitions, lengths):
 
 
 def _sample(docs: DataFrame, fit_docs: int) -> DataFrame:
-    """(lang, text) of the training documents."""
+    """(lang, place, text) of the training documents."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
     chosen = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_docs)
@@ -151,7 +151,7 @@ def _sample(docs: DataFrame, fit_docs: int) -> DataFrame:
     chosen = chosen.groupBy(F.col("doc_id").alias("d"), F.col("lang").alias("l")).agg(F.min("place").alias("place"))
     met = usable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("d")) & (F.col("lang") == F.col("l")))
     met = met.groupBy("d", "lang", "place").agg(F.min("text").alias("text"))
-    return met.select("lang", "place", "text").orderBy("lang", "place", "text")
+    return met.select("lang", "place", "text")
 
 
 def _training_sequences(rows, langs):
@@ -174,10 +174,27 @@ def _training_sequences(rows, langs):
 
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, rounds: int = ROUNDS) -> dict:
-    """Learn the field from `docs` (doc_id, text, lang)."""
+    """Learn the field from `docs` (doc_id, text, lang); one task holds the bounded sample, the driver the model."""
+
+    def learn(group):
+        import pickle
+
+        import pyarrow as pa
+
+        group = group.sort_by([(c, "ascending") for c in ("lang", "place", "text")])
+        rows = list(zip(group.column("lang").to_pylist(), group.column("text").to_pylist(), strict=True))
+        return pa.table({"model": pa.array([pickle.dumps(learned(rows, rounds))], pa.binary())})
+
+    import pickle
+
+    found = _sample(docs, fit_docs).groupBy(F.lit(0).alias("all")).applyInArrow(learn, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else learned([], rounds)
+
+
+def learned(rows: list[tuple[str, str]], rounds: int) -> dict:
+    """The field of (lang, text) rows."""
     import numpy as np
 
-    rows = [(r["lang"], r["text"]) for r in _sample(docs, fit_docs).toLocalIterator()]
     langs = sorted({lang for lang, _ in rows})
     sequences = _training_sequences(rows, langs)
     if not sequences:
