@@ -32,7 +32,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchgrid.llm.common import block_batches, stage_table, table
+from touchgrid.llm.common import table
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -44,7 +44,9 @@ LEN_BITS, COST_BITS, ID_BITS = 5, 30, 21
 UNREACHED = 1 << 60
 UNKNOWN_PENALTY = 10
 #: Characters of text in one packed chunk.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 8 << 20
+#: Words of texts that are turned into ids at a time.
+SLICE_WORDS = 200_000
 WORD = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 PACKED = "chunk long, number int, word string, blob binary"
 
@@ -101,7 +103,8 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
     """Documents (doc_id, text) -> packed chunks: one blob row and a row for each distinct word.
 
     A chunk's number is a hash of its contents, its words, and its place (partition and ordinal):
-    equal chunks stay apart, and a task that runs again over the same rows gives the same.
+    equal chunks stay apart, a task that runs again gives the same, and where the rows of a
+    partition are not repeatable the words do not find the chunk, which is an error.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
@@ -359,8 +362,7 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
-    # Packed once and read twice: the chunks, and their words.
-    packed = block_batches(stage_table(pack(docs, pieces, chunk_chars), "chunks"))
+    packed = pack(docs, pieces, chunk_chars)
     # A shuffle of its own, so that partitions count alike here and below.
     blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
     wanted = packed.where("number >= 0 AND word IS NOT NULL").select("chunk", "number", "word").repartition("word")
@@ -396,14 +398,20 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS)
         flat, count = _taken(flat, offsets[:-1][order], np.diff(offsets)[order])
         if len(flat) and flat.max() >= table.size:
             flat, count = _spelled(flat, count, table)
-        # Word ids -> ids of the runs between spaces -> ids of the texts.
-        for pick, size in ((parts, sizes), (stream, lengths)):
-            begin = np.cumsum(count) - count
-            flat, each = _taken(flat, begin[pick], count[pick])
-            sums = np.concatenate([[0], np.cumsum(each)])
-            ends = np.cumsum(size)
-            count = sums[ends] - sums[ends - size]
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(flat.astype(np.int32)))
+        # Word ids -> ids of the runs between spaces, which are few.
+        flat, count = _joined(flat.astype(np.int32), count, parts, sizes)
+        # Runs -> texts, some texts at a time, so that only their ids are held twice.
+        begin, ends = np.cumsum(count) - count, np.cumsum(lengths)
+        lists, counts, at = [], [], 0
+        while at < len(lengths):
+            first = int(ends[at] - lengths[at])
+            upto = max(at + 1, int(np.searchsorted(ends, first + SLICE_WORDS, "right")))
+            ids, each = _joined(flat, count, stream[first:int(ends[upto - 1])], lengths[at:upto], begin)
+            lists.append(ids)
+            counts.append(each)
+            at = upto
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
         return pa.table({"doc_id": one.column("doc_id")[0].values, "ids": lists})
 
     return blobs.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(assemble, f"doc_id {kind}, ids array<int>")
@@ -417,6 +425,17 @@ def _taken(flat, begin, count):
     return flat[at], count
 
 
+def _joined(flat, count, pick, size, begin=None):
+    """Rows of `flat` (with their counts), picked and laid together by `size`: the ids, and how many each has."""
+    import numpy as np
+
+    begin = np.cumsum(count) - count if begin is None else begin
+    ids, each = _taken(flat, begin[pick], count[pick])
+    sums = np.concatenate([[0], np.cumsum(each)])
+    ends = np.cumsum(size)
+    return ids, sums[ends] - sums[ends - size]
+
+
 def _spelled(flat, count, table: PieceTable):
     """Unknown characters replaced by their byte pieces."""
     import numpy as np
