@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from touchgrid import vocab
 from touchgrid.catalog import all_oracles, all_queries, coverage
 from touchgrid.functions import parse
@@ -30,6 +32,25 @@ def test_publish_moves_all_tables_at_once(spark, tmp_path):
     assert landing.read_published(spark, base, "a").count() == 5
 
 
+def test_rollback_and_retention(spark, tmp_path):
+    base = str(tmp_path / "snap")
+    assert landing.publish(spark, base, "v1", {"a": spark.range(1), "b": spark.range(10)}) == 1
+    assert landing.publish(spark, base, "v2", {"a": spark.range(2), "b": spark.range(20)}) == 2
+    reader = landing.read_published(spark, base, "a", 2)
+    assert landing.rollback(spark, base, 1) == 3
+    # Both tables go back together, and a reader of the newer publication still has it.
+    assert [landing.read_published(spark, base, n).count() for n in "ab"] == [1, 10]
+    assert reader.count() == 2 and landing.read_published(spark, base, "b", 2).count() == 20
+    assert landing.publish(spark, base, "v4", {"a": spark.range(4), "b": spark.range(40)}, kept=2) == 4
+    assert landing.read_published(spark, base, "a").count() == 4
+    # Publication 3 names v1, so v1 stays; v2 is named by none of the last two.
+    assert landing.read_published(spark, base, "a", 3).count() == 1
+    with pytest.raises(FileNotFoundError):
+        landing.read_published(spark, base, "a", 2)
+    with pytest.raises(FileNotFoundError):
+        landing.rollback(spark, base, 2)
+
+
 def test_money_and_config(spark, tmp_path):
     df = spark.createDataFrame([("3",), ("$488K",), ("$4.1M",), ("1,200",), ("",), ("#VALUE!",), ("n/a",)], "c string")
     got = [None if r[0] is None else float(r[0]) for r in df.select(parse.money("c")).collect()]

@@ -194,6 +194,23 @@ def _(t):
     return sheet.checksum(lines, sheet.monthly_results(lines))
 
 
+@query("sheet_header_months", "A12", """
+SELECT DISTINCT s_nationkey AS sheet, CASE WHEN s_nationkey % 5 = 0 THEN 0 ELSE 2 END AS months, s_nationkey % 5 <> 0 AS whole FROM {supplier}""")
+def _(t):
+    cut = sheet_lines(t).where("NOT (sheet % 5 = 0 AND line = 0)")
+    return sheet.header_months(cut, 2)
+
+
+ROSTER_SQL = """SELECT CASE WHEN CAST(ca_id AS BIGINT) % 17 = 3 THEN 'New ' || name ELSE name END AS name FROM {dim_ca} WHERE is_active"""
+
+
+@query("sheet_roster_drift", "H10", f"""
+SELECT s_name AS rep_name, TRUE AS in_sheet, FALSE AS in_roster FROM {{supplier}} WHERE s_name NOT IN (SELECT name FROM ({ROSTER_SQL}))
+UNION ALL SELECT name, FALSE, TRUE FROM ({ROSTER_SQL}) WHERE name NOT IN (SELECT s_name FROM {{supplier}})""")
+def _(t):
+    return sheet.roster_drift(sheet.monthly_results(sheet_lines(t)), t.sql(ROSTER_SQL))
+
+
 @query("results_vs_activity", "J11 E13", """
 SELECT ca.ca_id, CAST(s_suppkey % 9 AS DOUBLE) AS saos, CAST(s_suppkey % 9 - coalesce(CASE WHEN s_suppkey % 3 = 0 THEN 1 END, 0) AS DOUBLE) AS saos_outbound,
   CAST(round(CAST((s_suppkey % 9) * 100 AS DECIMAL(18,4)) / nullif(s_suppkey % 4, 0), 0) AS DOUBLE) AS attainment_pct
@@ -254,6 +271,20 @@ def _(t):
     return quality.fingerprint(t["activity"])
 
 
+EDITED = """SELECT activity_date, CASE WHEN activity_date = DATE '2024-01-10' AND channel = 'call' THEN NULL ELSE ca_id END AS ca_id,
+  channel, counts FROM {activity} WHERE NOT (activity_date = DATE '2024-01-12' AND channel = 'meeting') AND activity_date <> DATE '2024-01-25'"""
+DAY_COUNTS = "SELECT activity_date, ca_id, channel, count(*) AS n FROM {rows} WHERE counts GROUP BY ALL"
+
+
+@query("settled_changes", "K6", """
+SELECT CAST(activity_date AS STRING) AS activity_date, ca_id, channel, CAST(sum(was) AS BIGINT) AS was, CAST(sum(is_now) AS BIGINT) AS is FROM (
+  SELECT activity_date, ca_id, channel, n AS was, 0 AS is_now FROM {before} UNION ALL SELECT activity_date, ca_id, channel, 0, n FROM {after})
+WHERE activity_date <= DATE '2024-01-20' GROUP BY activity_date, ca_id, channel HAVING sum(was) <> sum(is_now)""", {
+    "edited": EDITED, "before": DAY_COUNTS.replace("{rows}", "{activity}"), "after": DAY_COUNTS.replace("{rows}", "{edited}")})
+def _(t):
+    return quality.settled_changes(quality.day_counts(t["activity"]), quality.day_counts(t.sql(EDITED)), "2024-01-20")
+
+
 @query("silent_days", "K7", """SELECT CAST(d AS STRING) AS day FROM (SELECT CAST(unnest(generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS d)
 WHERE d NOT IN (SELECT activity_date FROM {activity})""")
 def _(t):

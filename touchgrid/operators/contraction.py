@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from touchgrid.session import Scratch
 
 NEVER = (1 << 31) - 1
+#: Rounds after which the nodes are renamed, all at once.
+RENAMED_AT_ONCE = 8
 
 
 def _relevant(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -91,6 +93,25 @@ def _judged(runs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged, left
 
 
+def _moved(judged: DataFrame) -> DataFrame:
+    """(node, hub) of the groups that went into a hub."""
+    merged = judged.where("joins").groupBy("leaf").agg(F.min("hub").alias("hub"))
+    return merged.select(F.col("leaf").alias("node"), "hub")
+
+
+def _renamed(scratch: Scratch, names: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """The names after some rounds; the rounds' tables are spent then."""
+    if not rounds:
+        return names
+    new = names
+    for judged in rounds:
+        new = new.join(_moved(judged).withColumnRenamed("node", "top"), "top", "left")
+        new = new.select("node", F.coalesce("hub", "top").alias("top"))
+    new = scratch.write(new)
+    scratch.drop(names, *rounds)
+    return new
+
+
 def guarded_groups(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, top) for every node of an edge; top names the group the ordered union ends in.
 
@@ -106,28 +127,27 @@ def guarded_groups(edges: DataFrame, sets: DataFrame) -> DataFrame:
     numbered = scratch.write(given.withColumn("edge", F.monotonically_increasing_id()))
     edges = scratch.write(_relevant(numbered, sets))
     scratch.drop(given, numbered)
+    waiting: list[DataFrame] = []
     while not edges.isEmpty():
-        runs = scratch.write(_runs(edges))
-        judged, guarded = _judged(runs, sets)
+        judged, guarded = _judged(_runs(edges), sets)
         judged = scratch.write(judged)
-        merged = judged.where("joins").groupBy("leaf").agg(F.min("hub").alias("hub"))
-        moved = merged.select(F.col("leaf").alias("node"), "hub")
+        moved = _moved(judged)
         renewed = judged.where("NOT free").select(F.col("hub").alias("node")).distinct()
         # A guarded hub keeps what survived and its leaves bring nothing; a free one takes what they bring.
         brought = judged.where("joins AND free").select("leaf").distinct().withColumnRenamed("leaf", "node")
         kept = sets.join(moved, "node", "left_anti").join(renewed, "node", "left_anti")
         came = sets.join(brought, "node", "left_semi").join(moved, "node").select(F.col("hub").alias("node"), "item")
         new_sets = scratch.write(kept.unionByName(guarded).unionByName(came).distinct())
-        new_names = scratch.write(
-            names.join(moved.withColumnRenamed("node", "top"), "top", "left")
-            .select("node", F.coalesce("hub", "top").alias("top"))
-        )
         rest = edges.join(judged.where("NOT joins").select("edge"), "edge", "left_anti")
         for end in ("x", "y"):
             rest = rest.join(moved.select(F.col("node").alias(end), F.col("hub").alias("to")), end, "left")
             rest = rest.withColumn(end, F.coalesce("to", end)).drop("to")
         new_edges = scratch.write(_relevant(rest, new_sets))
-        scratch.drop(runs, judged, sets, names, edges)
-        sets, names, edges = new_sets, new_names, new_edges
+        scratch.drop(sets, edges)
+        sets, edges = new_sets, new_edges
+        waiting.append(judged)
+        if len(waiting) == RENAMED_AT_ONCE:
+            names, waiting = _renamed(scratch, names, waiting), []
+    names = _renamed(scratch, names, waiting)
     scratch.drop(sets, edges)
     return names

@@ -123,33 +123,73 @@ def run_rollup(runs: DataFrame) -> DataFrame:
 POINTER = "number long, version string"
 
 
-def publish(spark: SparkSession, base: str, version: str, tables: dict[str, DataFrame]) -> None:
-    """Write all tables of one version, then move the pointer: readers see all or nothing."""
+def publish(spark: SparkSession, base: str, version: str, tables: dict[str, DataFrame], kept: int | None = None) -> int:
+    """Write all tables of one version, then move the pointer: readers see all or nothing. Its number.
+
+    With `kept` only the versions of the last so many publications stay.
+    """
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{version}/{name}")
+    number = _point(spark, base, version)
+    if kept is not None:
+        _retain(spark, base, kept)
+    return number
+
+
+def rollback(spark: SparkSession, base: str, number: int) -> int:
+    """Publish again what publication `number` named, for all tables at once; a reader of another keeps it."""
+    return _point(spark, base, _marked(spark, base, number))
+
+
+def _point(spark: SparkSession, base: str, version: str) -> int:
     latest = _pointer(spark, base)
     number = 1 + (latest["number"] if latest else 0)
     mark = spark.createDataFrame([(number, version)], POINTER).coalesce(1)
     mark.write.mode("append").json(f"{base}/_published")
+    return number
+
+
+def _marks(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(POINTER).json(f"{base}/_published")
 
 
 def _pointer(spark: SparkSession, base: str):
     """The latest publication (number, version), or None."""
     try:
-        marks = spark.read.schema(POINTER).json(f"{base}/_published")
-        return marks.orderBy(F.desc("number"), F.desc("version")).first()
+        return _marks(spark, base).orderBy(F.desc("number"), F.desc("version")).first()
     except AnalysisException:
         return None
 
 
+def _marked(spark: SparkSession, base: str, number: int) -> str:
+    found = _marks(spark, base).where(F.col("number") == number).orderBy(F.desc("version")).first()
+    if found is None or not _there(spark, f"{base}/{found['version']}"):
+        raise FileNotFoundError(f"publication {number} of {base} is not held")
+    return found["version"]
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _retain(spark: SparkSession, base: str, kept: int) -> None:
+    """Delete the versions that none of the last `kept` publications names; one line for each publication is read."""
+    marks = sorted((r["number"], r["version"]) for r in _marks(spark, base).collect())
+    stay = {v for _, v in marks[-kept:]}
+    for version in {v for _, v in marks} - stay:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{version}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def current_version(spark: SparkSession, base: str) -> str | None:
     latest = _pointer(spark, base)
     return latest["version"] if latest else None
 
 
-def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A table of the version published last."""
-    version = current_version(spark, base)
+def read_published(spark: SparkSession, base: str, name: str, number: int | None = None) -> DataFrame:
+    """A table of the version published last, or of publication `number`."""
+    version = current_version(spark, base) if number is None else _marked(spark, base, number)
     if version is None:
         raise FileNotFoundError(f"nothing published under {base}")
     return spark.read.parquet(f"{base}/{version}/{name}")

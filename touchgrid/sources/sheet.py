@@ -77,3 +77,24 @@ def checksum(lines: DataFrame, results: DataFrame) -> DataFrame:
     return own.join(reps, ["sheet", "month"], "left").withColumn(
         "matches", F.col("sheet_total") == F.coalesce("rep_total", F.lit(0))
     )
+
+
+def header_months(lines: DataFrame, least: int = vocab.SHEET_LEAST_MONTHS) -> DataFrame:
+    """(sheet, months, whole) of every sheet: how many months its header names, and whether they are enough.
+
+    A sheet whose header is missing or cut has no column for some results, which would otherwise
+    vanish without a word.
+    """
+    named = _months(lines).groupBy("sheet").agg(F.count(F.lit(1)).alias("months"))
+    every = lines.select("sheet").distinct().join(named, "sheet", "left")
+    return every.select("sheet", F.coalesce("months", F.lit(0)).alias("months")).withColumn("whole", F.col("months") >= least)
+
+
+def roster_drift(results: DataFrame, roster: DataFrame) -> DataFrame:
+    """(rep_name, in_sheet, in_roster) of names that only one of the two has."""
+    sheet = results.select(F.col("rep_name").alias("a")).distinct()
+    names = roster.select(F.col("name").alias("b")).where("b IS NOT NULL").distinct()
+    both = sheet.join(names, F.col("a") == F.col("b"), "full_outer")
+    return both.where("a IS NULL OR b IS NULL").select(
+        F.coalesce("a", "b").alias("rep_name"), F.col("a").isNotNull().alias("in_sheet"), F.col("b").isNotNull().alias("in_roster")
+    )

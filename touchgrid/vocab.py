@@ -114,6 +114,7 @@ SHEET_BLOCKS = {
     "Event SAOs": "saos_event",
     "Overall CA Performance": None,
 }
+SHEET_LEAST_MONTHS = 12
 SHEET_NON_REP_ROWS = (
     "", "Overall", "Overall %", "UK CA", "US CA", "Reps in Seat",
     "Ramping Reps", "SAOs per CA (effectiveness)", "SAO ACV Band",
