@@ -300,8 +300,8 @@ SELECT CAST(l_orderkey AS STRING) || CAST(l_linenumber AS STRING) || lpad(CAST(l
        CASE WHEN l_quantity < 12 THEN NULL
             ELSE 'Hello  there, order ' || CAST(o_orderkey AS STRING) || ' has shipped to you today.'
                  || CASE WHEN l_tax > 0.04 THEN ' -- kind regards, the team' ELSE '' END END AS body_preview,
-       '<div><p>Your order number ' || CAST(o_orderkey % 97 AS STRING) || ' left our house by truck '
-         || CAST(l_suppkey % 7 AS STRING) || ' and should arrive with all its parts by the end of week '
+       '<div><p>Your order number ' || CAST(o_orderkey % 12 AS STRING) || ' left our house by truck '
+         || CAST(l_suppkey % 3 AS STRING) || ' and should arrive with all its parts by the end of week '
          || CAST(l_linenumber AS STRING) || '</p></div>' AS body_html,
        CAST(o_orderdate AS DATE) AS activity_date
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey

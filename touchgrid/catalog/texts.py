@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from touchgrid import vocab
 from touchgrid.catalog.registry import query
 from touchgrid.functions import text as tx
 from touchgrid.functions.html import html_to_text
@@ -165,19 +166,40 @@ def _(t):
     return sim.unique_texts(corpus(t)).select("text_key", "copies")
 
 
-@query("minhash_signatures", "I7")
+P = vocab.MINHASH_PRIME
+PERMUTED = ", ".join(f"list_min(list_transform(h, lambda x: (x * {a} + {b}) % {P}))" for a, b in sim.minhash_coefficients())
+BAND_ROWS = vocab.MINHASH_PERMUTATIONS // vocab.MINHASH_BANDS
+LSH_VIEWS = {
+    **T_VIEWS,
+    "hashed": f"""SELECT text_key, list_transform(sh, lambda w: CAST('0x' || left(md5(w), 15) AS BIGINT) % {P}) AS h FROM {{sets}}""",
+    "signed": f"""SELECT text_key, CASE WHEN len(h) = 0 THEN list_transform(range({vocab.MINHASH_PERMUTATIONS}), lambda i: CAST(0 AS BIGINT))
+        ELSE [{PERMUTED}] END AS sig FROM {{hashed}}""",
+    "banded": f"""SELECT text_key, md5(CAST(b AS STRING) || ',' || array_to_string(sig[b * {BAND_ROWS} + 1:b * {BAND_ROWS} + {BAND_ROWS}], ',')) AS key
+        FROM (SELECT text_key, sig, unnest(range({vocab.MINHASH_BANDS})) AS b FROM {{signed}})""",
+    "band_pairs": """SELECT DISTINCT x.text_key AS a, y.text_key AS b FROM {banded} x JOIN {banded} y
+        ON x.key = y.key AND x.text_key < y.text_key""",
+    "band_links": """SELECT a, b FROM (SELECT p.a, p.b, len(list_intersect(s.sh, r.sh)) AS c, len(s.sh) AS m, len(r.sh) AS n
+        FROM {band_pairs} p JOIN {sets} s ON s.text_key = p.a JOIN {sets} r ON r.text_key = p.b)
+        WHERE m + n = c OR c / (m + n - c) >= 0.45""",
+    "band_ways": "SELECT a, b FROM {band_links} UNION ALL SELECT b, a FROM {band_links}",
+    "band_reach": """SELECT text_key, text_key AS other FROM {uniq}
+        UNION SELECT r.text_key, w.b FROM band_reach r JOIN {band_ways} w ON w.a = r.other""",
+}
+
+
+@query("minhash_signatures", "I7", "SELECT text_key, md5(array_to_string(sig, ',')) AS signature_md5 FROM {signed}", LSH_VIEWS)
 def _(t):
     s = cut_lineage(sim.text_sets(sim.unique_texts(corpus(t)), 4))
-    return s.select("text_key", sim.minhash(F.col("block")).alias("signature")).select(
-        "text_key", F.xxhash64("signature").alias("signature_hash"))
+    signed = s.select("text_key", sim.minhash(F.col("block")).cast("array<string>").alias("signature"))
+    return signed.select("text_key", F.md5(F.array_join("signature", ",")).alias("signature_md5"))
 
 
-@query("lsh_bands", "I8")
+@query("lsh_bands", "I8", "SELECT text_key, key FROM {banded}", LSH_VIEWS)
 def _(t):
     return sim.band_keys(cut_lineage(sim.text_sets(sim.unique_texts(corpus(t)), 4)))
 
 
-@query("text_families_lsh", "I7 I8 I9 I10 I11")
+@query("text_families_lsh", "I7 I8 I9 I10 I11", "SELECT text_key, min(other) AS family FROM {band_reach} GROUP BY 1", LSH_VIEWS)
 def _(t):
     return sim.text_families(sim.unique_texts(corpus(t)))
 

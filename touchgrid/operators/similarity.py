@@ -15,8 +15,6 @@ The result equals the components of the full verified pair set.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,27 +59,31 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
 
-def minhash(hashes: Column, permutations: int = vocab.MINHASH_PERMUTATIONS) -> Column:
-    """Smallest remixed hash per permutation; an empty set gives zeros."""
-    seeds = np.array([(i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF for i in range(permutations)], dtype=np.uint64)
+def portable_shingles(text: Column | str, k: int = vocab.DEFAULT_SHINGLE_WORDS) -> Column:
+    """Distinct k-word windows as 60-bit numbers that any SQL engine can compute: the head of their md5."""
+    return _windows(text, k, lambda w: F.conv(F.substring(F.md5(w), 1, 15), 16, 10).cast("bigint"))
+
+
+def minhash_coefficients(permutations: int = vocab.MINHASH_PERMUTATIONS) -> list[tuple[int, int]]:
+    """(a, b) of each permutation x -> (a x + b) mod p: powers of two generators modulo p."""
+    p = vocab.MINHASH_PRIME
+    return [(pow(48271, i + 1, p), pow(69621, i + 1, p)) for i in range(permutations)]
 
-    @F.pandas_udf("array<bigint>")
-    def signature(col: pd.Series) -> pd.Series:
-        def one(h):
-            if h is None or len(h) == 0:
-                return np.zeros(permutations, dtype=np.int64)
-            best = None
-            for lo in range(0, len(h), 8192):
-                x = np.asarray(h[lo:lo + 8192], dtype=np.int64).view(np.uint64)[None, :] ^ seeds[:, None]
-                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-                low = (x ^ (x >> np.uint64(31))).min(axis=1)
-                best = low if best is None else np.minimum(best, low)
-            return best.view(np.int64)
 
-        return col.map(one)
+def minhash(hashes: Column, permutations: int = vocab.MINHASH_PERMUTATIONS) -> Column:
+    """Smallest permuted hash per permutation; an empty set gives zeros. All in the JVM."""
+    p = F.lit(vocab.MINHASH_PRIME).cast("bigint")
+    pairs = F.array(*[
+        F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b")) for a, b in minhash_coefficients(permutations)
+    ])
+
+    def of(own: Column) -> Column:
+        # Both factors are below 2^31, so nothing overflows.
+        return F.transform(pairs, lambda c: F.array_min(F.transform(own, lambda x: (x * c["a"] + c["b"]) % p)))
 
-    return signature(hashes)
+    # The remainders are bound once as a lambda variable.
+    least = F.transform(F.array(F.transform(hashes, lambda x: x % p)), of)[0]
+    return F.when(F.size(hashes) > 0, least).otherwise(F.array_repeat(F.lit(0).cast("bigint"), permutations))
 
 
 def band_keys(
@@ -91,7 +93,8 @@ def band_keys(
     rows = permutations // bands
     signed = sets.select("text_key", minhash(F.col("block")).alias("sig"))
     keys = F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("sig", b * rows + 1, rows))
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda b: F.md5(F.concat_ws(",", b.cast("string"), F.slice("sig", b * rows + 1, rows).cast("array<string>"))),
     )
     return signed.select("text_key", F.explode(keys).alias("key"))
 
@@ -106,7 +109,7 @@ def unique_texts(corpus: DataFrame, text: str = "core_norm") -> DataFrame:
 
 def text_sets(unique: DataFrame, k: int) -> DataFrame:
     """Blocking set (4-word windows), scoring set (k-word windows) and word count."""
-    block = hashed_shingles("text", vocab.DEFAULT_SHINGLE_WORDS)
+    block = portable_shingles("text", vocab.DEFAULT_SHINGLE_WORDS)
     score = F.col("block") if k == vocab.DEFAULT_SHINGLE_WORDS else hashed_shingles("text", k)
     return unique.withColumn("block", block).select(
         "text_key", "block", score.alias("score"), F.size(words("text")).alias("n_words")

@@ -155,5 +155,6 @@ EMAIL_PATTERN = r"[\w.+-]+@[\w-]+\.[\w.-]+"
 DEFAULT_SHINGLE_WORDS = 4
 DEFAULT_FAMILY_THRESHOLD = 0.45
 DEFAULT_FAMILY_SIZE = 3
+MINHASH_PRIME = (1 << 31) - 1
 MINHASH_PERMUTATIONS = 64
 MINHASH_BANDS = 16
