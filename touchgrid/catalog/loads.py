@@ -228,6 +228,9 @@ def _(t):
 
 
 # ---- quality -----------------------------------------------------------------------------
+SEEN = f"activity_date BETWEEN DATE '{oc.START}' AND DATE '{oc.END}'"
+
+
 @query("lineage_breaks", "K1", """SELECT "table", id, CAST(1 AS BIGINT) AS held, CAST(0 AS BIGINT) AS used FROM (
   SELECT 'raw_calls' AS "table", id, human FROM {raw_calls}) WHERE human""")
 def _(t):
@@ -257,7 +260,22 @@ def _(t):
     return quality.account_drill_totals(card, rp.rep_accounts(t))
 
 
-@query("partition_identities", "K4")
+@query("partition_identities", "K4", f"""
+SELECT ca.ca_id, CASE WHEN coalesce(m.held + m.canceled + m.scheduled + m.unknown, 0) <> coalesce(m.booked, 0) THEN 'outcomes'
+    WHEN coalesce(b.fresh + b.later + b.unmapped, 0) <> coalesce(m.booked, 0) THEN 'buckets'
+    WHEN coalesce(v.verified, 0) > coalesce(m.unknown, 0) THEN 'verified' ELSE 'ok' END AS rule
+FROM {{dim_ca}} ca LEFT JOIN (
+  SELECT ca_id, count(*) AS booked, count(*) FILTER (WHERE outcome = 'COMPLETED') AS held,
+    count(*) FILTER (WHERE outcome = 'CANCELED') AS canceled, count(*) FILTER (WHERE outcome IN ('SCHEDULED', 'RESCHEDULED')) AS scheduled,
+    count(*) FILTER (WHERE coalesce(outcome, '?') NOT IN ('COMPLETED', 'CANCELED', 'SCHEDULED', 'RESCHEDULED')) AS unknown
+  FROM {{meetings}} WHERE counts AND channel = 'meeting' AND {SEEN} GROUP BY ca_id) m ON m.ca_id = ca.ca_id
+LEFT JOIN (
+  SELECT ca_id, count(*) FILTER (WHERE bucket = 'new_stakeholder') AS fresh, count(*) FILTER (WHERE bucket = 'follow_up') AS later,
+    count(*) FILTER (WHERE bucket = 'no_account') AS unmapped FROM {{flags}} WHERE {SEEN} GROUP BY ca_id) b ON b.ca_id = ca.ca_id
+LEFT JOIN (
+  SELECT m.ca_id, count(*) AS verified FROM {{meetings}} m JOIN {{verified}} w ON w.activity_id = m.activity_id
+  WHERE m.counts AND {SEEN} AND coalesce(m.outcome, '?') NOT IN ('COMPLETED', 'CANCELED', 'SCHEDULED', 'RESCHEDULED')
+  GROUP BY m.ca_id) v ON v.ca_id = ca.ca_id""", oc.MAP_VIEWS)
 def _(t):
     card = sc.rep_scorecard(t.sql(rp.MEETING_FACT_SQL), t["dim_ca"], t["dim_account"], oc.START, oc.END)
     split = meetings.rep_meeting_breakdown(oc.flags(t), t["dim_ca"], oc.START, oc.END)
