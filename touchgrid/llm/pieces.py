@@ -32,7 +32,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchgrid.llm.common import table
+from touchgrid.llm.common import block_batches, stage_table, table
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -357,12 +357,18 @@ def segmented(words: DataFrame, pieces: PieceTable) -> DataFrame:
     return short.unionByName(long_segmented(words.where(is_long), pieces))
 
 
-def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, ids) of documents (doc_id, text)."""
+def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS, staged: bool = False) -> DataFrame:
+    """(doc_id, ids) of documents (doc_id, text).
+
+    The packed chunks are read twice. With `staged` they are packed once, into a written table,
+    which costs disk; otherwise they are packed for each reading, which costs time and memory.
+    """
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
     packed = pack(docs, pieces, chunk_chars)
+    if staged:
+        packed = block_batches(stage_table(packed, "chunks"))
     # A shuffle of its own, so that partitions count alike here and below.
     blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
     wanted = packed.where("number >= 0 AND word IS NOT NULL").select("chunk", "number", "word").repartition("word")
@@ -472,9 +478,11 @@ def decode(tokens: DataFrame, pieces: PieceTable) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def encoded_and_decoded(docs: DataFrame, pieces: PieceTable) -> DataFrame:
+def encoded_and_decoded(
+    docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS, staged: bool = False
+) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the tokens, and the digest of what they decode to."""
-    return decode(encode(docs, pieces), pieces).select(
+    return decode(encode(docs, pieces, chunk_chars, staged), pieces).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
