@@ -20,6 +20,8 @@ from touchgrid.llm import bandjoin, decontaminate, langid, linededup, pieces
 from touchgrid.llm.common import shared_folder, table
 
 LEAST_LANGUAGE = 0.3
+#: Characters of a chunk of the last stage.
+STAGED_CHARS = 4 << 20
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -55,7 +57,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encoded_and_decoded(docs.select("doc_id", "text"), pieces.PieceTable.load())
+    # The pipeline has disk to spare rather than memory.
+    return pieces.encoded_and_decoded(docs.select("doc_id", "text"), pieces.PieceTable.load(), STAGED_CHARS, staged=True)
 
 
 STAGES = [
