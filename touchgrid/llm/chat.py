@@ -8,7 +8,9 @@ texts are escaped reversibly, so the output can be read back exactly.
 Defined results: null texts and roles count as empty; a parent that is not in its tree makes
 the node a root; nodes on a cycle, which no root reaches, give no path; equal scores go to
 the longer path, then the smaller leaf; a null score counts as 0; a null tree id is a tree of
-its own; an empty table gives no conversations. The query orders rows of one conversation
+its own; rows that repeat a node of a tree are one node (the least by parent, role, text and
+score, nulls first), and a node without an id, which nothing can name, is not one; an empty
+table gives no conversations. The query orders rows of one conversation
 by turn, role and text (nulls first), so that repeated turns are all kept, in a fixed order.
 A conversation is one output row, so its own text has to fit into a task.
 """
@@ -97,7 +99,9 @@ def format_trees(nodes: DataFrame, branches: int = 1) -> DataFrame:
     `loss` lists the (start, length) stretches of `formatted`, in code points from 0, that
     count in training: the assistant texts in their escaped form.
     """
-    nodes = cut_lineage(nodes.select("tree", "node", "parent", "role", "text", "score"))
+    own = F.min(F.struct("parent", "role", "text", "score")).alias("own")
+    nodes = nodes.where("node IS NOT NULL").groupBy("tree", "node").agg(own)
+    nodes = cut_lineage(nodes.select("tree", "node", "own.*"))
     chosen = choose_branches(ancestors(nodes), nodes, branches)
     texts = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"), "role", "text")
     turns = chosen.join(texts, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("p")))
