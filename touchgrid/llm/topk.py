@@ -1,14 +1,17 @@
 """Exact top-k inner-product search: a ball tree per shard, searched by branch and bound.
 
-Vectors are dealt to shards of bounded size; a task builds each shard's ball tree. Queries
-travel in blocks of bounded size. A first round searches one shard per block and so gives
-every query a k-th best score; the second round takes it to all other shards. In a shard,
-nodes are visited in the order of their upper bound q.c + |q| r and a search ends when the
-bound falls below the current k-th score, which the shards searched in one task share.
+Vectors are dealt to shards of bounded size; a task meets its shards one after another, builds
+each one's ball tree once and searches it for all blocks of queries, which are of bounded size.
+A first round searches one shard per block and so gives every query a k-th best score; the
+second round takes it to all other shards. In a shard, nodes are visited in the order of their
+upper bound q.c + |q| r and a search ends when the bound falls below the current k-th score.
+What a shard makes of a block's k-th scores is kept for the next shards of the same task, as
+numbers only, so that a task holds 8 bytes a query beside one tree and one block.
 
 Defined results: a vector that is null, or has a null or non-finite component, or no id,
-takes no part; only vectors of the same length are compared; scores are exact integers
-(beyond 2^53 by Python integers, clipped to 64 bits); ties go to the smaller id; rows that
+takes no part; only vectors of the same length are compared; scores are exact integers (the
+tree's bounds are doubles with room for their rounding; products beyond 2^53 are summed in
+Python integers and clipped to 64 bits); ties go to the smaller id; rows that
 repeat an id are one vector (the smallest by components); an empty table gives no rows.
 """
 
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchgrid.llm.common import table
+from touchgrid.llm.common import block_batches, table
 from touchgrid.session import cut_lineage
 
 K = 5
@@ -41,12 +44,14 @@ def usable(embedding: Column) -> Column:
 
 
 class BallTree:
-    """Balls over the rows of `points`, split at the median of the widest direction."""
+    """Balls over the rows of `points` (integers), split at the median of the widest direction."""
 
     def __init__(self, points, leaf_rows: int = LEAF_ROWS):
         import numpy as np
 
+        self.exact, points = points, points.astype(float)
         self.points = points
+        self.most = int(np.abs(points).max(initial=0)) + 1
         self.centers, self.radii, self.children, self.rows = [], [], [], []
         todo = [(np.arange(len(points)), None)]
         while todo:
@@ -74,19 +79,30 @@ class BallTree:
         import numpy as np
 
         norms = np.sqrt((queries**2).sum(axis=1))
+        reach = np.sqrt((self.centers**2).sum(axis=1)) + self.radii
         loose = queries @ self.centers.T + norms[:, None] * self.radii
-        return loose + 1e-9 * np.abs(loose) + 1e-6
+        # Room for rounding in proportion to the lengths, as the product itself may cancel. Scores
+        # are clipped to 64 bits, so none lies below the least of these.
+        return np.maximum(loose + 1e-9 * norms[:, None] * reach + 1e-6, -float(1 << 63))
+
+    def scores(self, rows, query):
+        """The exact scores of some rows with a query of integers."""
+        import numpy as np
+
+        if self.most * (int(np.abs(query.astype(float)).max(initial=0)) + 1) * max(len(query), 1) < 1 << 53:
+            return self.points[rows] @ query.astype(float)
+        whole = self.exact[rows].astype(object) @ query.astype(object)
+        low, high = -(1 << 63), (1 << 63) - 1
+        return np.array([min(max(int(x), low), high) for x in whole], object)
 
 
 def search_shard(tree, ids, queries, query_ids, best, k):
     """Improve `best` (per query a sorted list of (-score, id)) with the rows of one shard."""
     import heapq
 
-    import numpy as np
-
-    bounds = tree.bounds(queries)
+    bounds = tree.bounds(queries.astype(float))
     for i, q in enumerate(queries):
-        found, limit = best[i], bounds[i]
+        found, limit = best[i], bounds[i].tolist()
         kth = -found[k - 1][0] if len(found) >= k else None
         heap = [(-limit[0], 0)]
         while heap:
@@ -99,9 +115,9 @@ def search_shard(tree, ids, queries, query_ids, best, k):
                         heapq.heappush(heap, (-limit[child], child))
                 continue
             rows = tree.rows[node]
-            scores = tree.points[rows] @ q
+            scores = tree.scores(rows, q)
             if kth is not None:
-                near = scores >= kth
+                near = (scores >= kth).astype(bool)
                 rows, scores = rows[near], scores[near]
             if len(rows):
                 mine = [(-int(s), int(v)) for s, v in zip(scores, ids[rows], strict=True) if v != query_ids[i]]
@@ -111,17 +127,6 @@ def search_shard(tree, ids, queries, query_ids, best, k):
     return best
 
 
-def search_exactly(points, ids, queries, query_ids, best, k):
-    """The same for values beyond what doubles hold: every pair, in Python integers."""
-    wide = points.astype(object)
-    low, high = -(1 << 63), (1 << 63) - 1
-    for i, q in enumerate(queries.astype(object)):
-        scores = (min(max(int(s), low), high) for s in wide @ q)
-        mine = [(-s, int(v)) for s, v in zip(scores, ids, strict=True) if v != query_ids[i]]
-        best[i] = sorted(best[i] + mine)[:k]
-    return best
-
-
 def _gather(rows: DataFrame, by: str) -> DataFrame:
     """One row for each (dim, by) with its ids and components, packed as bytes."""
 
@@ -144,38 +149,38 @@ def _gather(rows: DataFrame, by: str) -> DataFrame:
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """Search rows (dim, ids/values of a shard, ids/values/kths of a block)."""
+    """Search rows (dim, shard, block, ids/values of the shard, ids/values/kths of the block).
+
+    Rows come shard by shard, so that each tree is built once in a task.
+    """
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        none, filler = np.iinfo("<i8").min, np.iinfo("<i8").max
+        tree, here, shared = None, None, {}
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for one in range(batch.num_rows) for r in batch.slice(one, 1).to_pylist()):
                 dim = row["dim"]
-                ids = np.frombuffer(row["shard_ids"], "<i8")
+                if here != (dim, row["shard"]):
+                    ids, here = np.frombuffer(row["shard_ids"], "<i8"), (dim, row["shard"])
+                    tree = BallTree(np.frombuffer(row["shard_values"], "<i8").reshape(len(ids), dim))
                 query_ids = np.frombuffer(row["ids"], "<i8")
-                points = np.frombuffer(row["shard_values"], "<i8").reshape(len(ids), dim)
                 queries = np.frombuffer(row["values"], "<i8").reshape(len(query_ids), dim)
-                floor = np.frombuffer(row["kths"], "<i8").tolist()
+                floor = np.frombuffer(row["kths"], "<i8")
+                floor = np.maximum(floor, shared.get((dim, row["block"]), floor))
                 # A known k-th score stands as k places that any row as good may take.
-                least = np.iinfo("<i8").min
-                best = [[(-s, np.iinfo("<i8").max)] * k if s != least else [] for s in floor]
-                reach = int(np.abs(points).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(dim, 1)
-                if reach < 1 << 53:
-                    tree = BallTree(points.astype(float))
-                    best = search_shard(tree, ids, queries.astype(float), query_ids, best, k)
-                else:
-                    best = search_exactly(points, ids, queries, query_ids, best, k)
-                out = [
-                    (q, v, -s) for q, found in zip(query_ids.tolist(), best, strict=True) for s, v in found
-                    if v != np.iinfo("<i8").max
-                ]
+                best = [[(-s, filler)] * k if s != none else [] for s in floor.tolist()]
+                best = search_shard(tree, ids, queries, query_ids, best, k)
+                now = [-found[k - 1][0] if len(found) >= k else none for found in best]
+                shared[dim, row["block"]] = np.maximum(floor, np.array(now, "<i8"))
+                out = [(q, v, -s) for q, found in zip(query_ids.tolist(), best, strict=True) for s, v in found if v != filler]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[c] for o in out], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"]
                 )
 
-    return pairs.mapInArrow(run, FOUND)
+    return block_batches(pairs).mapInArrow(run, FOUND)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -204,7 +209,8 @@ def exact_topk(
     def search(blocks: DataFrame, chosen: Column) -> DataFrame:
         asked = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("s")).where(chosen)
         met = asked.join(trees, (F.col("dim") == F.col("d")) & (F.col("s") == F.col("shard")))
-        return _search(met.select("dim", "ids", "values", "kths", "shard_ids", "shard_values"), k)
+        met = met.select("dim", "shard", "block", "ids", "values", "kths", "shard_ids", "shard_values")
+        return _search(met.sortWithinPartitions("dim", "shard"), k)
 
     home = F.pmod(F.col("block"), F.lit(n_shards))
     first = cut_lineage(search(_gather(queries.withColumn("kth", kth), "block"), F.col("s") == home))
