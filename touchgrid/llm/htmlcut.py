@@ -12,7 +12,8 @@ that lack them are judged by their text. Extraction covers every page and its wh
 
 Defined results: null or empty html, or html without content, gives an empty text; character
 references are decoded as browsers do; white space inside a block is one space; unclosed and
-crossing elements are tolerated: only script, style, title, textarea and iframe, which browsers
+crossing elements are tolerated, however deep they lie (elements know the one around them, so
+a page costs no more than its tags and blocks): only script, style, title, textarea and iframe, which browsers
 read as raw text, reach to the end of the page without an end tag, and an unclosed element of
 `HIDDEN` ends where its surroundings end or the next block begins; repeated rows are all kept; an empty table gives no rows;
 columns beside page_id, url and html are ignored.
@@ -39,13 +40,14 @@ ROUNDS = 200
 # Element and attribute names with a set meaning.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea iframe".split())
-HIDDEN = frozenset("noscript template svg math select option button object".split())
+HIDDEN = frozenset("noscript template svg select option button".split())
 FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre search section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
+ITEM = frozenset("li td th dt dd".split())
 CLOSES_P = BLOCK - {"body", "html", "head"}
 CONTENT_TAGS = frozenset(("article", "main"))
 BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset search".split())
@@ -68,18 +70,29 @@ FOREIGN_END = re.compile(r"</(?:svg|math)(?=[\s/>])", re.I | re.A)
 
 
 class Block:
-    """A text block: its text, its place in the element tree, and what was seen on the way."""
+    """A text block: its text, the element that holds it, and what was seen on the way there."""
 
-    __slots__ = ("content", "boiler", "heading", "item", "link_chars", "path", "text")
+    __slots__ = ("boiler", "content", "heading", "item", "link_chars", "place", "text")
 
-    def __init__(self, text, link_chars, stack):
-        self.text, self.link_chars = text, link_chars
-        self.path = tuple(e[1] for e in stack)
-        tags = [e[0] for e in stack]
-        self.content = any(e[2] > 0 for e in stack)
-        self.boiler = any(e[2] < 0 for e in stack) or ("header" in tags and "article" not in tags)
-        self.heading = bool(tags) and tags[-1][:1] == "h" and tags[-1][1:].isdigit()
-        self.item = bool({"li", "td", "th", "dt", "dd"} & set(tags[-2:]))
+    def __init__(self, text, link_chars, place):
+        self.text, self.link_chars, self.place = text, link_chars, place
+        self.content = place is not None and place.content
+        self.boiler = place is not None and (place.boiler or place.header and not place.article)
+        self.heading = place is not None and place.tag[:1] == "h" and place.tag[1:].isdigit()
+        self.item = any(e.tag in ITEM for e in (place, place and place.parent) if e)
+
+
+class Element:
+    """An element with the one around it, and the marks met on the way down to it."""
+
+    __slots__ = ("article", "boiler", "content", "depth", "header", "parent", "tag")
+
+    def __init__(self, tag, meaning, parent):
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 1
+        self.content = meaning > 0 or bool(parent and parent.content)
+        self.boiler = meaning < 0 or bool(parent and parent.boiler)
+        self.header = tag == "header" or bool(parent and parent.header)
+        self.article = tag == "article" or bool(parent and parent.article)
 
 
 def _meaning(tag: str, attributes: str) -> int:
@@ -170,7 +183,7 @@ def tags_of(html: str) -> tuple[list[tuple[int, int, str, bool, str]], dict[int,
                     entry[2] = entry[2] or m.start()
                 fresh = []
             if (tag in BLOCK and tag not in VOID) or tag in ("datalist", "optgroup") or (
-                tag in HIDDEN and not (tag in FOREIGN and m[0].endswith("/>"))
+                tag in HIDDEN | FOREIGN and not (tag in FOREIGN and m[0].endswith("/>"))
             ):
                 stack.append([tag, number, None])
                 count[tag] = count.get(tag, 0) + 1
@@ -185,14 +198,15 @@ def blocks_of(html: str | None) -> list[Block]:
     """The text blocks of a page in order."""
     html = html or ""
     found, parts, stack = [], [], []
-    link, link_chars, at, serial = 0, 0, 0, 0
+    link, link_chars, at = 0, 0, 0
+    opened: dict[str, int] = {}
 
     def end_block():
         nonlocal parts, link_chars
         if parts:
             text = SPACE.sub(" ", unescape("".join(parts))).strip()
             if text:
-                found.append(Block(text, min(link_chars, len(text)), stack))
+                found.append(Block(text, min(link_chars, len(text)), stack[-1] if stack else None))
         parts, link_chars = [], 0
 
     def add(text):
@@ -223,16 +237,19 @@ def blocks_of(html: str | None) -> list[Block]:
             if tag in VOID:
                 continue
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
+                while opened.get(tag):
+                    last = stack.pop()
+                    opened[last.tag] -= 1
+                    if last.tag == tag:
                         break
                 link = 0
             else:
-                if tag in CLOSES_P and stack and stack[-1][0] == "p" or tag == "li" and stack and stack[-1][0] == "li":
-                    stack.pop()
-                serial += 1
-                stack.append((tag, serial, _meaning(tag, attributes)))
+                around = stack[-1] if stack else None
+                if around and (tag in CLOSES_P and around.tag == "p" or tag == around.tag == "li"):
+                    opened[stack.pop().tag] -= 1
+                    around = around.parent
+                opened[tag] = opened.get(tag, 0) + 1
+                stack.append(Element(tag, _meaning(tag, attributes), around))
     add(html[at:])
     end_block()
     return found
@@ -297,14 +314,16 @@ def fit(pages: DataFrame, fit_pages: int = FIT_PAGES, rounds: int = ROUNDS):
     return w
 
 
-def tree_distance(a: tuple, b: tuple) -> int:
+def tree_distance(a: Element | None, b: Element | None) -> int:
     """Steps between two places in the element tree."""
-    common = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        common += 1
-    return len(a) + len(b) - 2 * common
+    steps = 0
+    while a is not b:
+        if b is None or a is not None and a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -312,12 +331,14 @@ def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            edges.append((i - 1, i, ADJACENT * 2.0 ** (-max(0, tree_distance(blocks[i - 1].path, b.path) - 2) / 2)))
-        for depth in range(max(1, len(b.path) - 2), len(b.path) + 1):
-            j = last.get(b.path[:depth][-1:] or None)
+            edges.append((i - 1, i, ADJACENT * 2.0 ** (-max(0, tree_distance(blocks[i - 1].place, b.place) - 2) / 2)))
+        up, around = 0, b.place
+        while around is not None and up < 3:
+            j = last.get(around)
             if j is not None and j < i - 1:
-                edges.append((j, i, NEARBY * 2.0 ** (depth - len(b.path))))
-            last[b.path[:depth][-1:] or None] = i
+                edges.append((j, i, NEARBY * 2.0**-up))
+            last[around] = i
+            up, around = up + 1, around.parent
     return edges
 
 
