@@ -88,6 +88,17 @@ def test_chat_trees(spark, none):
     assert chat.format_trees(df.where("false")).count() == 0
 
 
+def test_chat_repeated_nodes(spark):
+    """Rows that repeat a node are one node, the least of them; a node without an id is none."""
+    nodes = [("t", 1, None, "user", "root", 1.0), ("t", 2, 1, "assistant", "reply", 0.5), ("t", 2, 1, "assistant", "reply", 0.5),
+             ("t", 2, 1, "assistant", "later reply", 0.5), ("t", 3, 2, "user", "leaf", None), ("t", 3, 2, "user", "leaf", 0.1),
+             ("t", None, 3, "user", "nowhere", 9.0)]
+    df = spark.createDataFrame(nodes, "tree string, node long, parent long, role string, text string, score double")
+    got = chat.format_trees(df, branches=3).select("score", chat.read_turns(F.col("formatted")).alias("turns")).collect()
+    assert [[t["text"] for t in r["turns"]] for r in got] == [["root", "later reply", "leaf"]]
+    assert got[0]["score"] == 0.5
+
+
 def test_chat_long_chain(spark):
     n = 37
     rows = [("t", i, i - 1 if i else None, "user", str(i), 0.0) for i in range(n)]
@@ -118,6 +129,24 @@ def test_topk(spark):
     assert [(r["vec_id"], r["score"]) for r in got] == [(1, 256 * 3000000 * 256 * 2000000 - 65536), (2, 256 * 3000000 * 256 + 65536)]
 
 
+def test_topk_of_many_shards_at_once(spark, monkeypatch):
+    """Shards that one task searches in turn: one tree each, thresholds handed on, values of any size."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, [rng.choice((1, -1)) * 10.0 ** rng.randint(-3, big) for _ in range(5)]) for big in (0, 9) for i in range(big * 1000, big * 1000 + 300)]
+    rows.append((7000, [9e18, 9e18, 9e18, 9e18, 9e18]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    low, high = -(1 << 63), (1 << 63) - 1
+    whole = {r["vec_id"]: list(r["v"]) for r in df.select("vec_id", topk.quantized(F.col("embedding")).alias("v")).collect()}
+    want = []
+    for q in (i for i in whole if i % 100 == 0):
+        score = {i: min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), low), high) for i, v in whole.items() if i != q}
+        want += [(q, k + 1, i, score[i]) for k, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5])]
+    got = topk.exact_topk(df, F.col("vec_id") % 100 == 0, shard_rows=50, block_rows=2).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_ngram_join(docs, none):
     got = {r["doc_id"]: r for r in bandjoin.similar_documents(docs).collect()}
     assert set(got) == {1, 2, 3, 4, 5, 6, 7}
@@ -146,6 +175,47 @@ def test_language_and_quality(spark, docs, none):
     assert quality.score(none, undecided).count() == 0
 
 
+def test_ordinal_slopes_are_those_of_the_loss():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    s, y, theta, weight = rng.normal(size=40) * 2, rng.integers(0, 3, 40), np.array([-0.7, 0.4]), rng.uniform(0.5, 2, 40)
+    _, by_score, by_theta = quality.loss_and_slopes(s, y, theta, weight)
+
+    def loss(s, theta):
+        cuts = [-np.inf, theta[0], theta[0] + np.exp(theta[1]), np.inf]
+        p = [1 / (1 + np.exp(a - cuts[g + 1])) - 1 / (1 + np.exp(a - cuts[g])) for a, g in zip(s, y, strict=True)]
+        return -np.mean(weight * np.log(p))
+
+    h = 1e-5
+    assert np.allclose(by_score, [(loss(s + h * e, theta) - loss(s - h * e, theta)) / (2 * h) for e in np.eye(40)], atol=1e-7)
+    assert np.allclose(by_theta, [(loss(s, theta + h * e) - loss(s, theta - h * e)) / (2 * h) for e in np.eye(2)], atol=1e-7)
+
+
+def test_grades_of_held_out_documents(spark):
+    """Toxic documents are found and good ones left alone, on rows that the fit never sees."""
+    import os
+
+    folder = "/root/testdata/sf0.1"
+    if not os.path.exists(folder):
+        pytest.skip("no test data")
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    ratings = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.expr(quality.GRADE_SQL).alias("rated"))
+    ratings = ratings.where("rated IS NOT NULL")
+    model = quality.fit(texts, ratings.withColumnRenamed("rated", "grade"))
+    judged = texts.join(ratings.where(quality.held_out(F.col("doc_id"))), "doc_id")
+    rows = quality.score(judged, model).join(ratings, "doc_id").groupBy("rated", "grade").count().collect()
+    seen = {(r["rated"], r["grade"]): r["count"] for r in rows}
+    share = {(a, b): seen.get((a, b), 0) / sum(seen.get((a, g), 0) for g in range(3)) for a in range(3) for b in range(3)}
+    assert share[0, 0] >= 0.6 and share[2, 2] >= 0.95 and share[1, 1] >= 0.9, seen
+
+
+def test_ratings_with_a_null_part_are_none(spark):
+    rows = [(1, None), (None, 1), (0, None), (None, 0), (1, 1), (0, 0), (0, 1)]
+    df = spark.createDataFrame(rows, "toxic int, quality int").select(F.expr(quality.GRADE_SQL).alias("g"))
+    assert [r["g"] for r in df.collect()] == [None] * 4 + [0, 1, 2]
+
+
 def test_forward_backward_is_exact():
     import numpy as np
 
@@ -301,17 +371,30 @@ def test_html_end_tags(spark):
     for head in (
         "<datalist><option value=a>x<option value=b>y</datalist>", "<svg viewBox='0'/>", "<math/>", "<svg><path d=1></svg>",
         "<div><svg><title>x</svg></div>", "<svg><style/></svg>", "<select><option>x<option>y</select>", "<div><button>x</div>",
-        "<button>x", "<select><option>x", "<option>x", "<object data=a>x", "<template>x", "<noscript>x", "<svg><style>x",
+        "<button>x", "<select><option>x", "<option>x", "<template>x", "<noscript>x", "<svg><style>x",
         "<script>x</SCRIPT>", "İ<script>x</SCRIPT\n>", "İ<style>x</STYLE>", "<Title>x</tITLE>", "<title>x</titles></title>",
     ):
-        for rest in ("", "<option>x</option>", "<div><button>x</button></div>", "<svg></svg>", "<object>x</object>"):
+        for rest in ("", "<option>x</option>", "<div><button>x</button></div>", "<svg></svg>"):
             assert [w for w in shown(head + tail + rest) if w != "İ"] == ["kept"], (head, rest)
-    for hidden in ("<button><div>x</div></button>", "<object><p>x</p></object>", "<svg><foreignObject><p>x</p></foreignObject></svg>",
+    for hidden in ("<button><div>x</div></button>", "<svg><foreignObject><p>x</p></foreignObject></svg>",
                    "<template><div>x</div></template>", "<noscript><p>x</p></noscript>", "<select><optgroup><option>x</optgroup></select>"):
         assert shown(f"<p>a{hidden}b</p>") in (["a", "b"], ["ab"])
     assert shown("<p>a</p><script>x" + tail) == shown("<p>a</p><style>x" + tail) == ["a"]
 
 
+def test_html_formulas_and_deep_pages():
+    """The text of formulas and embedded objects is text; a page nested very deep costs no more than its tags."""
+    [a, b] = htmlcut.blocks_of("<article><p>Let <math><mi>x</mi>=2</math> hold.<p>a <object data=q>fall back</object> b</article>")
+    assert (a.text, b.text) == ("Let x=2 hold.", "a fall back b")
+    deep = htmlcut.blocks_of("<main>" + "<div>x" * 50_000 + "</p>" * 50_000 + "<p>y")
+    assert len(deep) == 50_001 and all(x.content for x in deep)
+    assert len(htmlcut.ties(deep)) >= 50_000
+    at = {x.text: x.place for x in htmlcut.blocks_of("<div><p>a</p><ul><li>b<li>c</ul></div><p>d</p>")}
+    pairs = {"ab": 3, "bc": 2, "ad": 3, "aa": 0}
+    assert {k: htmlcut.tree_distance(at[k[0]], at[k[1]]) for k in pairs} == pairs
+    assert htmlcut.tree_distance(None, at["a"]) == 2
+
+
 def test_long_words(spark, small_table):
     """Words of many blocks, cut over tasks: the edges hold no word, and the path is the exact one."""
     import random
