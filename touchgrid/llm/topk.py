@@ -86,22 +86,24 @@ class BallTree:
         return np.maximum(loose + 1e-9 * norms[:, None] * reach + 1e-6, -float(1 << 63))
 
     def scores(self, rows, query):
-        """The exact scores of some rows with a query of integers."""
+        """The exact scores of some rows with a query of integers, given as it is and as doubles."""
         import numpy as np
 
-        if self.most * (int(np.abs(query.astype(float)).max(initial=0)) + 1) * max(len(query), 1) < 1 << 53:
-            return self.points[rows] @ query.astype(float)
-        whole = self.exact[rows].astype(object) @ query.astype(object)
+        whole, flat, largest = query
+        if self.most * largest * max(len(flat), 1) < 1 << 53:
+            return self.points[rows] @ flat
+        products = self.exact[rows].astype(object) @ whole.astype(object)
         low, high = -(1 << 63), (1 << 63) - 1
-        return np.array([min(max(int(x), low), high) for x in whole], object)
+        return np.array([min(max(int(x), low), high) for x in products], object)
 
 
 def search_shard(tree, ids, queries, query_ids, best, k):
     """Improve `best` (per query a sorted list of (-score, id)) with the rows of one shard."""
     import heapq
 
-    bounds = tree.bounds(queries.astype(float))
-    for i, q in enumerate(queries):
+    flat = queries.astype(float)
+    bounds = tree.bounds(flat)
+    for i, q in enumerate(zip(queries, flat, [int(abs(f).max(initial=0)) + 1 for f in flat], strict=True)):
         found, limit = best[i], bounds[i].tolist()
         kth = -found[k - 1][0] if len(found) >= k else None
         heap = [(-limit[0], 0)]
