@@ -49,6 +49,23 @@ def test_random_graphs(spark, seed, free):
     assert any(len(g) > 2 for g in want)
 
 
+@pytest.mark.parametrize("folded", [0, 12, 10_000])
+def test_small_parts_are_folded_and_large_ones_take_rounds(spark, monkeypatch, folded):
+    rng = random.Random(5)
+    edges, sets = [], {}
+    for part, size in enumerate((3, 4, 9)):
+        nodes = [part * 100 + i for i in range(size)]
+        sets |= {n: rng.sample("abc", rng.randrange(0, 3)) for n in nodes}
+        pairs = [(x, y) for x in nodes for y in nodes if x < y]
+        edges += [(part, x, y, k, rng.random() < 0.2) for k, (x, y) in enumerate(rng.sample(pairs, len(pairs)))]
+    rounds, plain = [], contraction._runs
+    monkeypatch.setattr(contraction, "_runs", lambda e: rounds.append(1) or plain(e))
+    whole = contraction.guarded_groups
+    monkeypatch.setattr(contraction, "guarded_groups", lambda e, s: whole(e, s, folded))
+    assert got(spark, edges, sets) == fold([(p, x, y, (p, k), f) for p, x, y, k, f in edges], sets)
+    assert bool(rounds) == (folded < 10_000)
+
+
 def test_a_hub_takes_its_run_at_once(spark, monkeypatch):
     """A hundred copies of one message and a row that bridges them to another take few rounds."""
     edges = [(0, 0, i, i, False) for i in range(1, 100)] + [(0, 1, 100, 200, False), (0, 100, 101, 201, False)]

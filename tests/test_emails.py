@@ -158,3 +158,22 @@ def test_window_longer_than_a_chunk(spark):
     got = {r.id: r.cluster_id for r in em.cluster_emails(p, window=14 * hours).collect()}
     assert got == {"1": "1", "2": "1", "3": "1", "4": "4", "5": "5"}
     assert groups(spark, rows) == [["1"], ["2"], ["3"], ["4"], ["5"]]
+
+
+@pytest.mark.parametrize("most,chunk", [(64, 86_400), (3, 86_400), (64, 700), (0, 86_400)])
+def test_islands_and_links_give_the_same_groups(spark, monkeypatch, most, chunk):
+    """Small islands are decided as one row each; those cut by a chunk's end and large ones by links."""
+    rng = random.Random(11)
+    rows = [
+        mail(str(i + 1), rng.randrange(0, 6000), rng.choice(["A", "Re: A", "Invitation: A"]),
+             sender=rng.choice(["rep@corp.example.com", "two@corp.example.com", "buyer@x.example.org"]),
+             to="; ".join(rng.sample(["a@x.example.org", "b@x.example.org", "c@x.example.org"], rng.choice([1, 2]))),
+             body=rng.choice([None, "the quick brown fox jumps over", "the quick brown fox jumps over the dog"]))
+        for i in range(70)
+    ]
+    whole = em.small_islands
+    monkeypatch.setattr(em, "small_islands", lambda p, w, _: whole(p, w, most, chunk))
+    staged = em.stage_emails(spark.createDataFrame(rows, SCHEMA), INTERNAL)
+    decided = {r.whole for r in whole(staged, 180, most, chunk).collect()}
+    assert decided == ({False} if most == 0 else {True} if (most, chunk) == (64, 86_400) else {True, False})
+    assert groups(spark, rows) == replay(spark, rows)
