@@ -127,3 +127,34 @@ def test_nearest_other_with_a_shingle_on_every_text(spark):
     for postings in (0, 8, 1000):
         got = {r.text_key: (-r.nearest_j, r.nearest_family) for r in sim.nearest_other(x, y, postings=postings).collect()}
         assert {k: (round(d, 9), f) for k, (d, f) in got.items()} == {k: (round(d, 9), f) for k, (d, f) in want.items()}
+
+
+def test_minhash_equals_its_definition_and_close_keys_lose_no_family(spark):
+    """Signatures against plain arithmetic; the exact families against all pairs."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from touchgrid import vocab
+    from touchgrid.operators import similarity as sim
+    from touchgrid.session import stored
+
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base[:n] + [f"x{j}"] * (j % 3)) for j, n in enumerate((40, 39, 30, 21, 12, 5, 4, 3, 1))] + ["", "one two"]
+    df = spark.createDataFrame([(t,) for t in texts], "core_norm string")
+    unique = sim.unique_texts(df)
+
+    def windows(t):
+        w = t.split()
+        return set() if not w else {" ".join(w[i:i + 4]) for i in range(max(len(w) - 3, 1))}
+
+    sets = {hashlib.md5(t.encode()).hexdigest(): windows(t) for t in texts}
+    p = vocab.MINHASH_PRIME
+    for r in stored(sim.text_sets(unique, 4)).select("text_key", sim.minhash(F.col("block")).alias("sig")).collect():
+        own = [int(hashlib.md5(w.encode()).hexdigest()[:15], 16) % p for w in sets[r.text_key]]
+        assert list(r.sig) == [min(((x * a + c) % p for x in own), default=0) for a, c in sim.minhash_coefficients()]
+    near = lambda a, b: not (a | b) or len(a & b) / len(a | b) >= 0.45
+    want = {k: k for k in sets}
+    for _ in sets:
+        want = {k: min(want[o] for o in sets if near(sets[k], sets[o])) for k in sets}
+    assert {r.text_key: r.family for r in sim.text_families(unique, exact=True).collect()} == want
