@@ -177,3 +177,36 @@ def test_islands_and_links_give_the_same_groups(spark, monkeypatch, most, chunk)
     decided = {r.whole for r in whole(staged, 180, most, chunk).collect()}
     assert decided == ({False} if most == 0 else {True} if (most, chunk) == (64, 86_400) else {True, False})
     assert groups(spark, rows) == replay(spark, rows)
+
+
+def test_clusters_tell_what_their_copies_say(spark):
+    """Groups of islands, of links and of rows without a time agree with one aggregate over their copies."""
+    rng = random.Random(5)
+    rows = [
+        mail(str(i + 1), rng.choice([None, 40_000, 40_050, 53_990, 54_010, 70_000]), rng.choice(["A", "Re: A", "Invitation: A"]),
+             sender=rng.choice(["rep@corp.example.com", "no-reply@x.example.org", None]), source=rng.choice(["EMAIL", "INTEGRATION", None]),
+             to=rng.choice(["", "a@x.example.org", "ops@corp.example.com; b@x.example.org"]), detail=rng.choice(["Sequencer", "Other", None]),
+             body=rng.choice([None, "the quick brown fox jumps over"]))
+        for i in range(90)
+    ]
+    staged = em.stage_emails(spark.createDataFrame(rows, SCHEMA), INTERNAL)
+    found = em.decide_emails(staged)
+    assert found.copies.count() == found.copies.select("id").distinct().count() == len(rows)
+    want = em.copy_facts(staged.select(*em.copy_columns()).join(found.copies.select("rid", "lead"), "rid"), "lead")
+    assert want.where("can.rid <> lead").isEmpty()
+    flat = lambda df: sorted(
+        (r.cluster_id, tuple(r.can), r.is_invite, r.is_noise, r.dup_count, sorted(map(str, r.origins)), str(r.first_external))
+        for r in df.collect()
+    )
+    assert flat(found.groups) == flat(want)
+
+
+def test_shuffle_files_of_a_written_step_are_deleted(spark):
+    held = lambda: sum(
+        1 for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        ) if f.getName().startswith("shuffle_")
+    )
+    before = held()
+    em.stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert held() <= before
