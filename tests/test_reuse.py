@@ -158,3 +158,54 @@ def test_minhash_equals_its_definition_and_close_keys_lose_no_family(spark):
     for _ in sets:
         want = {k: min(want[o] for o in sets if near(sets[k], sets[o])) for k in sets}
     assert {r.text_key: r.family for r in sim.text_families(unique, exact=True).collect()} == want
+
+
+def test_shared_sets_hold_what_other_texts_have_too(spark):
+    """Windows of odd texts against plain sets: rarest first, unique ones only counted, in any number of buckets."""
+    from collections import Counter
+
+    rng = random.Random(7)
+    ts = [" ".join(rng.choice("aé\U0001f600") * rng.randrange(1, 3) for _ in range(rng.randrange(0, 30))) for _ in range(60)]
+    ts = sorted({*ts, "", " ", "a", "a a", "a　b\x1cc\xa0d e", "a b c d e", "x" * 3000 + " b c d"})
+
+    def windows(t, k):
+        w = t.split()
+        return {" ".join(w[i:i + k]) for i in range(max(len(w) - k + 1, 1))} if w else set()
+
+    unique = sim.unique_texts(spark.createDataFrame([(t,) for t in ts], "core_norm string"))
+    key = {r.text: r.text_key for r in unique.collect()}
+    for k in (1, 4):
+        for size in (1 << 20, 50):
+            sim.BUCKET_SHINGLES, before = size, sim.BUCKET_SHINGLES
+            try:
+                got = {r.text_key: r for r in sim.shared_sets(unique, k).collect()}
+            finally:
+                sim.BUCKET_SHINGLES = before
+            df = Counter(w for t in ts for w in windows(t, k))
+            held = Counter(x for r in got.values() for x in r.score)
+            assert len(got) == len(ts)
+            for t in ts:
+                r, own = got[key[t]], windows(t, k)
+                assert (r.n, r.n_words) == (len(own), len(t.split()))
+                assert [held[x] for x in r.score] == sorted(df[w] for w in own if df[w] > 1)
+            a, b = rng.sample(ts, 2)
+            assert len({*got[key[a]].score} & {*got[key[b]].score}) == len(windows(a, k) & windows(b, k))
+
+
+def test_labels_carry_no_texts_but_where_asked(spark):
+    """The labels that most queries read are small; representatives are the same without the texts."""
+    from types import SimpleNamespace
+
+    from touchgrid.catalog import texts as cat
+
+    rows = [(str(i), x, i % 2 == 0) for i, x in enumerate(["a b c d e", "a b c d e", "a b c d e f", "z", ""])]
+    corpus = spark.createDataFrame(rows, "activity_id string, core_norm string, is_reply boolean")
+    t = SimpleNamespace(memo={})
+    before, cat.corpus = cat.corpus, lambda _: corpus
+    try:
+        slim, full = cat.labelled(t), cat.worded(t)
+    finally:
+        cat.corpus = before
+    assert "core_norm" not in slim.columns and "core_norm" in full.columns
+    want = {(r.family, r.rep_key) for r in reuse.representatives(full).collect()}
+    assert {tuple(r) for r in reuse.representative_keys(slim).collect()} == want and len(want) == 3
