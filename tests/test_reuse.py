@@ -209,3 +209,19 @@ def test_labels_carry_no_texts_but_where_asked(spark):
     assert "core_norm" not in slim.columns and "core_norm" in full.columns
     want = {(r.family, r.rep_key) for r in reuse.representatives(full).collect()}
     assert {tuple(r) for r in reuse.representative_keys(slim).collect()} == want and len(want) == 3
+
+
+def test_only_references_go_through_python(spark):
+    """Odd references as html.unescape reads them; the plan hands Python the references, not the texts."""
+    import html
+
+    from pyspark.sql import functions as F
+
+    from touchgrid.functions.html import unescape
+
+    odd = ["", "&", "&&amp;&", "&amp;lt;", "a &notit; b &not", "&#0;&#x80;&#xD800;&#x110000;&#1;", "&#12345678901;", "&nosuchentity;x", "é&eacute&Eacute;",
+           "\U0001f600&#x1F600;\U0001f600" + "é" * 40, "&" + "a" * 40 + ";", "&lt;b&gt;&nbsp;\n&\n&#x;&#;", "$1 \\ &quot;$0\\&quot;", "&#" + "٣;", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string").withColumn("u", unescape("t"))
+    assert [r.u for r in df.orderBy("i").collect()] == [t if t is None else html.unescape(t) for t in odd]
+    calls = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "ArrowEvalPython" in x]
+    assert len(calls) == 1 and "_characters(" in calls[0]
