@@ -1,6 +1,7 @@
 """Families against all-pairs comparison; body normalisation on hand-written bodies."""
 
 import random
+import re
 
 import pytest
 
@@ -225,3 +226,39 @@ def test_only_references_go_through_python(spark):
     assert [r.u for r in df.orderBy("i").collect()] == [t if t is None else html.unescape(t) for t in odd]
     calls = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "ArrowEvalPython" in x]
     assert len(calls) == 1 and "_characters(" in calls[0]
+
+
+def test_squeezed_white_space_by_one_class(spark):
+    from pyspark.sql import functions as F
+
+    from touchgrid.catalog.texts import core
+    from touchgrid.functions import text as tx
+
+    every = "".join(f"a{c}b{c}{c} c" for c in tx.SPACE_CHARS)
+    near = "x​yᙿzᚁ 、 ‌ \x1b\x7f\x84\x86"
+    rows = [(t,) for t in (every, near, every + near, " a , b ;\n: c . ,", tx.SPACE_CHARS, "", "a b", None)]
+    for r in spark.createDataFrame(rows, "t string").select("t", tx.squeeze("t").alias("s"), core(F.col("t")).alias("c")).collect():
+        if r.t is None:
+            assert r.s is None and r.c is None
+            continue
+        parts = re.split(f"[{tx.SPACE_CHARS}]+", r.t)
+        assert r.s == " ".join(parts)
+        assert r.c == re.sub(r" ([,.!?;:])", r"\1", r.s.lower().strip(" "))
+    assert "|" not in tx.BLANKS and r"\s" not in tx.BLANKS
+
+
+def test_variation_from_marks_and_shared_sets(spark):
+    ts = texts()
+    rows = [(str(i), t, i % 2 == 0) for i, t in enumerate(ts + ts[:12] + [f"new {i}. " + ts[20] for i in range(3)])]
+    corpus = spark.createDataFrame(rows, "activity_id string, core_norm string, is_reply boolean")
+    labelled = reuse.label_corpus(corpus, exact=True).selectExpr("*", "length(core_norm) AS core_len").cache()
+    marked = reuse.mark_texts(labelled).drop("core_norm")
+    drift = reuse.family_drift(marked, sim.shared_sets(sim.unique_texts(corpus), 4))
+    cols = ["activity_id", "vtype", "fam_exact", "fam_nofirst", "has_merge_tok", "drift_vs_rep"]
+    whole, bare = (x.select(*cols).toPandas().sort_values("activity_id").to_csv(index=False) for x in (
+        reuse.variation(labelled), reuse.variation(marked, drift=drift)))
+    assert whole == bare and whole.count("\n") == len(rows) + 1
+    counted = reuse.variation_prevalence(reuse.variation_types(marked))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan and "core_norm" not in [c for c in marked.columns]
+    assert sum(r.n for r in counted.collect()) == len(rows)
