@@ -210,3 +210,25 @@ def test_shuffle_files_of_a_written_step_are_deleted(spark):
     before = held()
     em.stored(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
     assert held() <= before
+
+
+@pytest.mark.parametrize("most", [64, 3])
+def test_small_islands_are_linked_without_keys(spark, monkeypatch, most):
+    """Components of merge_links over all rows, of which small islands now make no key rows."""
+    rng = random.Random(13)
+    rows = [
+        mail(str(i + 1), rng.randrange(0, 9000), rng.choice(["A", "Re: A", "Invitation: A"]),
+             sender=rng.choice(["rep@corp.example.com", "two@corp.example.com", "buyer@x.example.org"]),
+             to="; ".join(rng.sample(["a@x.example.org", "b@x.example.org", "c@x.example.org"], rng.choice([1, 2]))),
+             body=rng.choice([None, "the quick brown fox jumps over", "the quick brown fox jumps over the dog"]))
+        for i in range(80)
+    ]
+    staged = em.stage_emails(spark.createDataFrame(rows, SCHEMA), INTERNAL)
+    comps = em.connected_components(em.merge_links(staged)).withColumnRenamed("node", "rid")
+    named = staged.join(comps, "rid", "left").select("id", F.coalesce("component", "rid").alias("c")).collect()
+    want = {r.id: min(x.id for x in named if x.c == r.c) for r in named}
+    linked, links = [], em.merge_links
+    monkeypatch.setattr(em, "merge_links", lambda p, w: linked.append(p.count()) or links(p, w))
+    got = em.linked_emails(staged, most=most).collect()
+    assert len(got) == len(rows) and {r.id: r.component for r in got} == want
+    assert sum(linked) < len(rows) and (most == 64) == (not linked)
