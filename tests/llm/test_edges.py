@@ -425,3 +425,14 @@ def test_fits_hold_their_bound_for_repeated_ids(spark, monkeypatch):
     assert seen == [5]
     pages = many.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("html"))
     assert htmlcut.fit(pages, rounds=1).shape == htmlcut.fit(pages.limit(1), rounds=1).shape
+
+
+def test_words_of_chunks_travel_packed(spark, small_table):
+    """A row for each bucket of a chunk's words, not for each word; every number comes back from its bytes."""
+    words = [f"{a}{b}{c}{d}" for a in "abc☃" for b in "abxy" for c in "abcd" for d in "a\0\x01é"]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(4)], "doc_id long, text string").coalesce(1)
+    rows = pieces.pack(docs, small_table, 1, buckets=3).groupBy("chunk").count().collect()
+    assert len(rows) == 4 and all(r["count"] <= 4 for r in rows)
+    assert {r["text"] for r in pieces.decode(pieces.encode(docs, small_table, 1), small_table).collect()} == {" ".join(words)}
+    numbers = [0, 1, 255, 256, 70_000, 2**31 - 1]
+    assert list(pieces._unboxed(pieces._boxed([], numbers, text=b"x"), 2)[1]) == numbers

@@ -11,9 +11,10 @@ characters before it that a piece can reach. The lattice rows of a block carry a
 place of the word and are spread over all tasks; the blocks then pass in order by a fold that
 holds the costs of the last positions and, for each character, the step back.
 
-Texts travel as packed chunks: a chunk holds its documents as streams of word numbers, and
-meets the segmentations of its own words by a co-grouping on the chunk. Nothing but the
-piece table, whose size the model fixes, is broadcast.
+Texts travel as packed chunks: a chunk holds its documents as streams of word numbers. Its words
+travel apart, packed by buckets of their crc32: a bucket gives the distinct words to the lattice,
+meets their segmentations, and packs those for each chunk, which a last co-grouping brings to it.
+Nothing but the piece table, whose size the model fixes, is broadcast.
 
 The segmentation is the exact best one under the table's scores (equal ones go to the longer
 last piece); characters without a piece become their UTF-8 bytes, or the unknown piece if
@@ -44,11 +45,13 @@ LEN_BITS, COST_BITS, ID_BITS = 5, 30, 21
 UNREACHED = 1 << 60
 UNKNOWN_PENALTY = 10
 #: Characters of text in one packed chunk.
-CHUNK_CHARS = 8 << 20
+CHUNK_CHARS = 4 << 20
 #: Words of texts that are turned into ids at a time.
 SLICE_WORDS = 200_000
 WORD = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-PACKED = "chunk long, number int, word string, blob binary"
+#: Buckets of words, at least; there are more where each would stand for more bytes of text than this.
+BUCKETS, BUCKET_BYTES = 256, 1 << 28
+PACKED = "chunk long, bucket int, blob binary"
 
 
 class PieceTable:
@@ -99,8 +102,48 @@ class PieceTable:
         return [self.byte_ids[b] for b in chr(code - self.size).encode("utf-8", "replace")]
 
 
-def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """Documents (doc_id, text) -> packed chunks: one blob row and a row for each distinct word.
+def _planes(numbers) -> bytes:
+    """32-bit numbers, their lowest bytes first, then the next: so they compress better."""
+    import numpy as np
+
+    return np.ascontiguousarray(np.asarray(numbers, "<i4").view("u1").reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes):
+    import numpy as np
+
+    return np.ascontiguousarray(np.frombuffer(planes, "u1").reshape(4, -1).T).view("<i4").ravel()
+
+
+def _boxed(*columns, text: bytes = b"") -> bytes:
+    """Columns of 32-bit numbers and a text as one compressed value."""
+    import numpy as np
+    import zstandard
+
+    head = np.array([len(c) for c in columns], "<i4").tobytes()
+    return zstandard.ZstdCompressor(3).compress(b"".join([head, *map(_planes, columns), text]))
+
+
+def _unboxed(blob: bytes, n: int) -> list:
+    """The n columns and the text of `_boxed`."""
+    import numpy as np
+    import zstandard
+
+    raw, out, at = zstandard.ZstdDecompressor().decompress(blob), [], 4 * n
+    for size in np.frombuffer(raw, "<i4", n).tolist():
+        out.append(_numbers(raw[at:at + 4 * size]))
+        at += 4 * size
+    return [*out, raw[at:]]
+
+
+def _cut(text: bytes, lengths) -> list[bytes]:
+    """The words of a text, by their lengths in bytes."""
+    ends = lengths.cumsum().tolist()
+    return [text[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS) -> DataFrame:
+    """Documents (doc_id, text) -> packed chunks: one row (bucket -1) and one for each bucket of its distinct words.
 
     A chunk's number is a hash of its contents, its words, and its place (partition and ordinal):
     equal chunks stay apart, a task that runs again gives the same, and where the rows of a
@@ -109,6 +152,8 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
+        from zlib import crc32
+
         import numpy as np
         import pyarrow as pa
         import xxhash
@@ -128,7 +173,7 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
             flat = np.array([w for p in parts for w in p], "<i4")
             sizes = np.array([len(p) for p in parts], "<i4")
             named = {"lengths": lengths, "stream": streamed, "sizes": sizes, "parts": flat}
-            own = {"doc_id": pa.array([ids], pa.list_(id_type))} | {n: pa.array([v]) for n, v in named.items()}
+            own = {"doc_id": pa.array([ids], pa.list_(id_type))} | {n: pa.array([_planes(v)], pa.binary()) for n, v in named.items()}
             one, sink = pa.table(own), pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, one.schema) as writer:
                 writer.write_table(one)
@@ -138,16 +183,18 @@ def pack(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS) ->
             key.update("\0".join(names).encode())
             key.update(f"\0{partition} {ordinal}")
             chunk = key.intdigest() - (1 << 63)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.string()),
-                 pa.array([zstandard.ZstdCompressor(3).compress(raw)], pa.binary())], ["chunk", "number", "word", "blob"],
-            )
-            for at in range(0, len(names), 50_000):
-                own = names[at:at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), chunk)), pa.array(np.arange(at, at + len(own), dtype=np.int32)),
-                     pa.array(own, pa.string()), pa.nulls(len(own), pa.binary())], ["chunk", "number", "word", "blob"],
-                )
+            boxes = {-1: zstandard.ZstdCompressor(3).compress(raw)}
+            coded = [w.encode() for w in names]
+            bucket = np.array([crc32(w) % buckets for w in coded], dtype=np.int64)
+            order, count = np.argsort(bucket, kind="stable"), np.bincount(bucket, minlength=buckets)
+            ends = np.cumsum(count)
+            for b in np.flatnonzero(count).tolist():
+                own = order[ends[b] - count[b]:ends[b]]
+                text = [coded[i] for i in own.tolist()]
+                boxes[b] = _boxed(np.diff(own, prepend=0), [len(w) for w in text], text=b"".join(text))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(boxes), chunk)), pa.array(list(boxes), pa.int32()), pa.array(list(boxes.values()), pa.binary()),
+            ], ["chunk", "bucket", "blob"])
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
@@ -366,19 +413,47 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS,
     spark = docs.sparkSession
     # Words come one after another, so the edges of many words fit into a hash map.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "300000")
-    packed = pack(docs, pieces, chunk_chars)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, size // BUCKET_BYTES)
+    packed = pack(docs, pieces, chunk_chars, buckets)
     if staged:
         packed = block_batches(stage_table(packed, "chunks"))
-    # A shuffle of its own, so that partitions count alike here and below.
-    blobs = packed.where("number < 0").select("chunk", "blob").repartition("chunk")
-    wanted = packed.where("number >= 0 AND word IS NOT NULL").select("chunk", "number", "word").repartition("word")
-    # The distinct words read the columns of `wanted`, and are told apart by aggregates that no
-    # filter below the shuffle can stand for, so that all share one shuffle.
-    distinct = wanted.groupBy("word").agg(
-        F.max("chunk").alias("of"), F.max("number").alias("n"), F.max(F.char_length("word")).alias("n_chars")
-    )
-    solved = segmented(distinct.where("of IS NOT NULL AND n IS NOT NULL").select("word", "n_chars"), pieces)
-    answers = wanted.join(solved.hint("shuffle_merge"), "word").select(F.col("chunk").alias("of"), "number", "ids")
+    # Shuffles of their own, so that partitions count alike here and below.
+    blobs = packed.where("bucket < 0").select("chunk", "blob").repartition("chunk")
+    wanted = packed.where("bucket >= 0").repartition("bucket")
+
+    def distinct(boxes):
+        import pyarrow as pa
+
+        words = {}
+        for blob in boxes.column("blob").to_pylist():
+            _, lengths, text = _unboxed(blob, 2)
+            words.update(dict.fromkeys(_cut(text, lengths)))
+        return pa.table({"word": pa.array([w.decode() for w in words], pa.string())})
+
+    words = wanted.groupBy("bucket").applyInArrow(distinct, "word string")
+    # No filter on this column can pass below its shuffle, so that short and long words share it.
+    words = words.groupBy("word").agg(F.max(F.char_length("word")).alias("n_chars"))
+    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(buckets)).cast("int")
+    solved = segmented(words, pieces).select(bucket.alias("bucket"), "word", "ids")
+
+    def answer(boxes, found):
+        import numpy as np
+        import pyarrow as pa
+
+        index = {w.encode(): i for i, w in enumerate(found.column("word").to_pylist())}
+        lists = found.column("ids").combine_chunks()
+        flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - (offsets[0] if len(offsets) else 0)
+        out = []
+        for blob in boxes.column("blob").to_pylist():
+            steps, lengths, text = _unboxed(blob, 2)
+            own = np.array([index[w] for w in _cut(text, lengths)], dtype=np.int64)
+            ids, count = _taken(flat, offsets[:-1][own], np.diff(offsets)[own])
+            out.append(_boxed(steps, count, ids))
+        return pa.table({"of": boxes.column("chunk"), "blob": pa.array(out, pa.binary())})
+
+    answers = wanted.groupBy("bucket").cogroup(solved.groupBy("bucket")).applyInArrow(answer, "of long, blob binary")
     shared = spark.sparkContext.broadcast(pieces)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -394,14 +469,16 @@ def encode(docs: DataFrame, pieces: PieceTable, chunk_chars: int = CHUNK_CHARS,
         table = shared.value
         raw = zstandard.ZstdDecompressor().decompress(blob.column("blob")[0].as_py())
         one = pa.ipc.open_stream(raw).read_all()
-        lengths, stream, sizes, parts = (one.column(c)[0].values.to_numpy() for c in ("lengths", "stream", "sizes", "parts"))
-        order = np.argsort(found.column("number").to_numpy(), kind="stable")
+        lengths, stream, sizes, parts = (_numbers(one.column(c)[0].as_py()) for c in ("lengths", "stream", "sizes", "parts"))
+        told = [_unboxed(x, 3) for x in found.column("blob").to_pylist()]
+        none = np.empty(0, "<i4")
+        number = np.concatenate([none, *[steps.cumsum() for steps, *_ in told]])
+        count, flat = (np.concatenate([none, *[x[c] for x in told]]).astype(np.int64) for c in (1, 2))
+        del told
+        order = np.argsort(number, kind="stable")
         if len(order) != (int(parts.max()) + 1 if len(parts) else 0):
             raise ValueError("a chunk's words are not complete")
-        lists = found.column("ids").combine_chunks()
-        flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-        offsets = offsets - (offsets[0] if len(offsets) else 0)
-        flat, count = _taken(flat, offsets[:-1][order], np.diff(offsets)[order])
+        flat, count = _taken(flat, (np.cumsum(count) - count)[order], count[order])
         if len(flat) and flat.max() >= table.size:
             flat, count = _spelled(flat, count, table)
         # Word ids -> ids of the runs between spaces, which are few.
