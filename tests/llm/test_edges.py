@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,21 @@ def test_topk(spark):
     assert [(r["vec_id"], r["score"]) for r in got] == [(1, 256 * 3000000 * 256 * 2000000 - 65536), (2, 256 * 3000000 * 256 + 65536)]
 
 
+def test_topk_broadcasts_no_blocks(spark):
+    df = spark.range(200).select(F.col("id").alias("vec_id"), F.array(*[F.rand(i).cast("float") for i in range(4)]).alias("embedding"))
+    found = topk.exact_topk(df, F.col("vec_id") % 50 == 0, shard_rows=20, block_rows=1)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dim#" in plan and "BroadcastHashJoin [dim#" not in plan
+
+
+def test_topk_packs_numbers_of_any_size():
+    for top in (1, 1 << 15, 1 << 31, 1 << 62):
+        values = np.array([[top, -top], [0, 1]], "<i8")
+        assert (topk.unpacked(topk.packed(values), 2, 2) == values).all()
+    assert topk.unpacked(topk.packed(np.zeros(0, "<i8")), 0, 3).shape == (0, 3)
+
+
 def test_topk_of_many_shards_at_once(spark, monkeypatch):
     """Shards that one task searches in turn: one tree each, thresholds handed on, values of any size."""
     import random

@@ -129,6 +129,22 @@ def search_shard(tree, ids, queries, query_ids, best, k):
     return best
 
 
+def packed(values) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs: 2, 4 or 8."""
+    import numpy as np
+
+    low, high = values.min(initial=0), values.max(initial=0)
+    kind = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return values.astype(kind).tobytes()
+
+
+def unpacked(data: bytes, rows: int, dim: int):
+    """What packed() made of rows of dim numbers, as 64-bit numbers."""
+    import numpy as np
+
+    return np.frombuffer(data, f"<i{len(data) // max(rows * dim, 1) or 8}").astype("<i8").reshape(rows, dim)
+
+
 def _gather(rows: DataFrame, by: str) -> DataFrame:
     """One row for each (dim, by) with its ids and components, packed as bytes."""
 
@@ -143,7 +159,7 @@ def _gather(rows: DataFrame, by: str) -> DataFrame:
         kth = np.array([np.iinfo("<i8").min if x is None else x for x in kth], "<i8")
         return pa.table({
             "dim": group.column("dim")[:1], by: group.column(by)[:1],
-            "ids": pa.array([ids.tobytes()], pa.binary()), "values": pa.array([values.tobytes()], pa.binary()),
+            "ids": pa.array([ids.tobytes()], pa.binary()), "values": pa.array([packed(values)], pa.binary()),
             "kths": pa.array([kth.tobytes()], pa.binary()),
         })
 
@@ -167,9 +183,9 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
                 dim = row["dim"]
                 if here != (dim, row["shard"]):
                     ids, here = np.frombuffer(row["shard_ids"], "<i8"), (dim, row["shard"])
-                    tree = BallTree(np.frombuffer(row["shard_values"], "<i8").reshape(len(ids), dim))
+                    tree = BallTree(unpacked(row["shard_values"], len(ids), dim))
                 query_ids = np.frombuffer(row["ids"], "<i8")
-                queries = np.frombuffer(row["values"], "<i8").reshape(len(query_ids), dim)
+                queries = unpacked(row["values"], len(query_ids), dim)
                 floor = np.frombuffer(row["kths"], "<i8")
                 floor = np.maximum(floor, shared.get((dim, row["block"]), floor))
                 # A known k-th score stands as k places that any row as good may take.
@@ -209,7 +225,8 @@ def exact_topk(
     )
 
     def search(blocks: DataFrame, chosen: Column) -> DataFrame:
-        asked = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("s")).where(chosen)
+        # A block stands once for each shard, which no size estimate knows: neither side may be broadcast.
+        asked = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("s")).where(chosen).hint("merge")
         met = asked.join(trees, (F.col("dim") == F.col("d")) & (F.col("s") == F.col("shard")))
         met = met.select("dim", "shard", "block", "ids", "values", "kths", "shard_ids", "shard_values")
         return _search(met.sortWithinPartitions("dim", "shard"), k)
