@@ -262,3 +262,80 @@ def test_variation_from_marks_and_shared_sets(spark):
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" not in plan and "core_norm" not in [c for c in marked.columns]
     assert sum(r.n for r in counted.collect()) == len(rows)
+
+
+def test_band_families_of_all_cells_at_once(spark, monkeypatch):
+    """Families of the texts that share a band, for buckets of any size, against all pairs; no job per cell."""
+    from pyspark.sql import functions as F
+
+    from touchgrid.session import stored
+
+    ts = texts()
+    unique = stored(sim.unique_texts(spark.createDataFrame([(t,) for t in ts], "core_norm string")))
+    key = {r.text: r.text_key for r in unique.collect()}
+    bands = {}
+    for r in sim.band_keys(stored(sim.text_sets(unique, 4))).collect():
+        bands.setdefault(r.text_key, set()).add(r.key)
+    mine = {}
+    for r in sim.band_members(unique).collect():
+        mine.setdefault(r.text_key, set()).add(r.key)
+    assert all(bool(bands[a] & bands[b]) == bool(mine[a] & mine[b]) for a in mine for b in mine)
+
+    def windows(t, k):
+        w = t.split()
+        return {" ".join(w[i:i + k]) for i in range(max(len(w) - k + 1, 1))} if w else set()
+
+    grid = [(k, t) for k in (1, 4, 5) for t in (0.3, 0.45, 0.7)]
+    want = set()
+    for i, (k, limit) in enumerate(grid):
+        sets = {key[t]: windows(t, k) for t in ts}
+        near = {a: [b for b in sets if bands[a] & bands[b] and len(sets[a] & sets[b]) >= limit * len(sets[a] | sets[b])] for a in sets}
+        least = {a: a for a in sets}
+        for _ in sets:
+            least = {a: min(least[b] for b in near[a]) for a in sets}
+        want |= {(i, a, f) for a, f in least.items() if len(near[a]) > 1}
+    assert len({i for i, _, _ in want}) == len(grid)
+    for size in (64, 2, 1):
+        monkeypatch.setattr(sim, "BUCKET_TEXTS", size)
+        assert {tuple(r) for r in sim.band_families(unique, grid).collect()} == want
+    jobs = []
+    monkeypatch.setattr(sim, "BUCKET_TEXTS", 64)
+    for cells in (grid[:1], grid * 3):
+        spark.sparkContext.setJobGroup(f"cells {len(cells)}", "")
+        sim.band_families(unique, cells).agg(F.count("*")).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cells {len(cells)}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] < 2 * jobs[0]
+
+
+def test_sweep_of_banded_families_counts_rows(spark):
+    """Counts from one row per text against the labels of all rows; no job per cell."""
+    rng = random.Random(4)
+    ts = texts()
+    rows = [(str(i), rng.choice(ts), rng.choice([True, False, None])) for i in range(200)] + [("none", None, True)]
+    corpus = spark.createDataFrame(rows, "activity_id string, core_norm string, is_reply boolean")
+    told = [(str(i), rng.choice(["Templated", "Personalized", None]), rng.choice([1, 12, None])) for i in range(0, 260, 2)]
+    truth = spark.createDataFrame(told, "activity_id string, label string, fam_sim int")
+    grid, sizes = [(1, 0.3), (4, 0.45), (4, 0.7)], [2, 5]
+    got = {(r.k, r.threshold, r.least_size): r for r in reuse.sweep(corpus, truth, grid, sizes).collect()}
+    assert len(got) == len(grid) * len(sizes)
+    label = {i: (x, f) for i, x, f in told}
+    for k, t in grid:
+        fam = sim.text_families(sim.unique_texts(corpus), k, t)
+        sized = [(r.fam_size, r.is_reply, *label.get(r.activity_id, (None, None))) for r in reuse.label_corpus(corpus, families=fam).collect()]
+        for least in sizes:
+            r, big = got[k, t, least], [x for x in sized if x[0] >= least]
+            small = [x for x in sized if x[0] < least]
+            has = lambda xs, what: sum(x[2] == what for x in xs)
+            want = (len(sized), len(big), sum(x[1] is False for x in big), has(big, "Templated"), has(small, "Personalized"),
+                    has(big, "Personalized"), has(small, "Templated"), sum(x[2] == "Templated" and (x[3] or 0) >= 10 for x in small))
+            assert (r.n, r.templated, r.fresh_templated, r.tp, r.tn, r.fp, r.fn, r.hard_blast) == want
+
+
+def test_banded_families_write_no_sets(spark, monkeypatch):
+    """Sets of windows are larger than the texts; only pairs that share a band are compared, from their texts."""
+    monkeypatch.setattr(sim, "text_sets", None)
+    ts = [" ".join(f"w{j}" for j in range(i, i + 30)) for i in (0, 1, 100)]
+    unique = sim.unique_texts(spark.createDataFrame([(t,) for t in ts], "core_norm string"))
+    got = {r.text: r.family for r in sim.text_families(unique).join(unique, "text_key").collect()}
+    assert got[ts[0]] == got[ts[1]] != got[ts[2]]
