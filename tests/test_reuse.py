@@ -339,3 +339,23 @@ def test_banded_families_write_no_sets(spark, monkeypatch):
     unique = sim.unique_texts(spark.createDataFrame([(t,) for t in ts], "core_norm string"))
     got = {r.text: r.family for r in sim.text_families(unique).join(unique, "text_key").collect()}
     assert got[ts[0]] == got[ts[1]] != got[ts[2]]
+
+
+def test_nearest_representative_reads_no_texts(spark):
+    """From shared sets and labels without texts: as from the texts of all representatives."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    ts = texts()
+    mixed = [" ".join(rng.choice(ts[2:]).split()[:20] + rng.choice(ts[2:]).split()[5:rng.randrange(6, 30)]) for _ in range(30)]
+    rows = [(str(i), t, i % 2 == 0) for i, t in enumerate(ts + mixed + ts[:9])]
+    corpus = spark.createDataFrame(rows, "activity_id string, core_norm string, is_reply boolean")
+    full = reuse.label_corpus(corpus, exact=True).selectExpr("*", "length(core_norm) AS core_len").cache()
+    left = full.groupBy("text_key", "family").agg(F.any_value("core_norm").alias("text"))
+    want = {r.text_key: (r.nearest_family, round(r.nearest_j, 3)) for r in sim.nearest_other(left, reuse.representatives(full, 3)).collect()}
+    slim, sets = full.drop("core_norm"), sim.shared_sets(sim.unique_texts(corpus), 4)
+    got = {r.text_key: (r.nearest_family, r.nearest_j) for r in reuse.nearest_representative(slim, sets).collect()}
+    assert got == want and len({f for f, _ in got.values()}) > 2
+    near = {(r.activity_id, r.nearest_family, r.nearest_j) for r in reuse.near_misses(slim, sets, low=0.02).collect()}
+    assert near == {(r.activity_id, *want[r.text_key]) for r in full.where("fam_size < 3").collect() if 0.02 <= want[r.text_key][1] < 0.5}
+    assert near
