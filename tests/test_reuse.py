@@ -359,3 +359,32 @@ def test_nearest_representative_reads_no_texts(spark):
     near = {(r.activity_id, r.nearest_family, r.nearest_j) for r in reuse.near_misses(slim, sets, low=0.02).collect()}
     assert near == {(r.activity_id, *want[r.text_key]) for r in full.where("fam_size < 3").collect() if 0.02 <= want[r.text_key][1] < 0.5}
     assert near
+
+
+def test_ablation_runs_all_choices_at_once(spark, monkeypatch):
+    """The corpora of all choices in one run: as each by itself, with empty texts and texts that several choices share."""
+    steps = ("strip_greeting", "neutralize_merge")
+    bodies = [f"<div>Hi {n},</div><div>see our new plan for {a} and tell me what you think of {p} today</div>"
+              for n in ("Ann", "Bob") for a in ("Acme Works", "Blue Ltd", "Acme Works") for p in ("it", "them all")]
+    bodies += ["", "<div>Hi Ann,</div>", "<div>quite another text of some words</div>", "<blockquote>old</blockquote>"]
+    bodies += [f"<div>Hi {n},</div><div>our first offer is ready</div>" for n in ("Cid", "Dan", "Eve")]
+    rows = [(str(i), b, "Ann", "Doe", "Acme Works" if i % 3 else "Blue Ltd", "Engineer", "Will") for i, b in enumerate(bodies)]
+    messages = spark.createDataFrame(rows, "activity_id string, body_html string, contact_firstname string, contact_lastname string, "
+                                     "account_name string, contact_jobtitle string, ca_name string")
+    truth = spark.createDataFrame([(str(i), "Templated" if i % 2 else "Personalized", i) for i in range(len(rows))], "activity_id string, label string, fam_sim int")
+    monkeypatch.setattr(reuse, "STEPS", steps)
+    runs, shared = [], reuse.shared_sets
+    monkeypatch.setattr(reuse, "shared_sets", lambda *x: runs.append(1) or shared(*x))
+    got = {r.switched_off: r[1:] for r in reuse.normalization_ablation(messages, truth, "corp.example.com", "corp", exact=True).collect()}
+    assert len(runs) == 1
+    for off in (None, *steps):
+        corpus = reuse.normalize_bodies(messages, "corp.example.com", "corp", [s for s in steps if s != off])
+        fam = sim.text_families(sim.unique_texts(corpus), exact=True)
+        sized = [(r.activity_id, r.fam_size) for r in reuse.label_corpus(corpus, families=fam).collect()]
+        small = [int(i) for i, n in sized if n < 3]
+        want = (4, 0.45, 3, len(rows), len(rows) - len(small))
+        assert got[off or "none"][:5] == want
+        odd, even = len(rows) // 2, len(rows) - len(rows) // 2
+        left = sum(i % 2 == 0 for i in small)
+        assert got[off or "none"][6:9] == (odd - len(small) + left, left, even - left)
+    assert len({tuple(x) for x in got.values()}) > 1
