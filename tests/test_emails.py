@@ -232,3 +232,16 @@ def test_small_islands_are_linked_without_keys(spark, monkeypatch, most):
     got = em.linked_emails(staged, most=most).collect()
     assert len(got) == len(rows) and {r.id: r.component for r in got} == want
     assert sum(linked) < len(rows) and (most == 64) == (not linked)
+
+
+def test_facts_without_bodies_leave_the_raw_rows_alone(spark):
+    """Once clusters are decided, only queries that show bodies join the raw rows again."""
+    from touchgrid.catalog import domain, facts, raw_reports
+
+    t = domain.Domain(spark, "/root/testdata/sf0.001")
+    reads = lambda df: df.drop("body_html")._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey")
+    bare, full = facts.email_fact(t), facts.email_fact(t, bodies=True)
+    assert reads(full) == reads(bare) + 1 and bare.dtypes == full.dtypes
+    assert reads(raw_reports.flat(t, bodies=True)) == reads(raw_reports.flat(t)) + 1
+    assert bare.drop("body_html").exceptAll(full.drop("body_html")).isEmpty() and bare.count() == full.count()
+    assert not full.where("body_html IS NOT NULL").isEmpty() and bare.where("body_html IS NOT NULL").isEmpty()
